@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = _dt.datetime(1970, 1, 1)
+# Parsed as text: independent of both the Python and the session time zone.
+EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def parse_event_time(text: Column | str) -> Column:
@@ -19,4 +18,4 @@ def parse_event_time(text: Column | str) -> Column:
     """
     text = F.col(text) if isinstance(text, str) else text
     instant = F.try_to_timestamp(text).cast("timestamp")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))

@@ -116,7 +116,218 @@ def _filter_rule(pred: str) -> str:
     return _q(f"SELECT * FROM bronze WHERE {pred}")
 
 
+_BRONZE_COLS = _SILVER_COLS
+
+_RULES = [
+    ("transaction_id_null", "transaction_id IS NOT NULL"),
+    ("product_name_null", "product_name IS NOT NULL"),
+    ("unit_price_not_positive", "unit_price > 0"),
+    ("total_amount_not_positive", "total_amount > 0"),
+    ("unit_price_over_cap", f"unit_price < {PRICE_CAP}"),
+    ("quantity_not_positive", "quantity > 0"),
+    ("total_amount_not_finite", "isfinite(total_amount)"),
+]
+_REASON = (
+    "CASE "
+    + " ".join(f"WHEN NOT coalesce({pred}, false) THEN '{name}'" for name, pred in _RULES)
+    + " END"
+)
+_MISSING = [f"CASE WHEN {k} IS NULL THEN '{k}' END" for k in REQUIRED_KEYS]
+_EXPECTED = "ROUND(CAST(unit_price AS DECIMAL(18,2)) * quantity, 2)"
+_FRAUD_MISMATCH = (
+    "is_fraud_flag AND NOT ((unit_price > 0 AND unit_price < 1) OR unit_price < 0 "
+    "OR unit_price > 284)"
+)
+_ERRORS = (
+    "list_filter(["
+    + ", ".join(f"CASE WHEN {k} IS NULL THEN 'missing_field:{k}' END" for k in REQUIRED_KEYS)
+    + ", CASE WHEN unit_price = 0 THEN 'zero_price' END"
+    + ", CASE WHEN coalesce(quantity, 0) <= 0 THEN 'bad_quantity' END"
+    + f", CASE WHEN CAST(total_amount AS DECIMAL(18,2)) <> {_EXPECTED} THEN 'total_mismatch' END"
+    + f", CASE WHEN {_FRAUD_MISMATCH} THEN 'fraud_pattern_mismatch' END"
+    + "], lambda x: x IS NOT NULL)"
+)
+_PRODUCTS = (
+    "(SELECT concat('SKU-', p_partkey) AS sku, p_name AS catalog_name, p_type AS catalog_category, "
+    "CAST(p_retailprice AS DECIMAL(18,2)) AS base_price_usd FROM part)"
+)
+_STORES = (
+    "(SELECT printf('R%04d', s_suppkey) AS store_id, s_name AS store_name, "
+    "concat('City-', s_nationkey) AS city, r_name AS region "
+    "FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
+)
+_RATE = "COALESCE(fx.rate, CAST(1.0 AS DECIMAL(10,4)))"
+_CLASSIFIED = f"""
+classified AS (
+  SELECT transaction_id, sku, currency, unit_price,
+         CASE WHEN unit_price IS NULL THEN 'unknown'
+              WHEN unit_price < 0 THEN 'negative'
+              WHEN unit_price < 1 THEN 'near_zero'
+              WHEN base_price_usd IS NULL THEN 'unknown'
+              WHEN CAST(unit_price AS DECIMAL(18,2)) >= base_price_usd * {_RATE} * CAST(7.84 AS DECIMAL(4,2))
+                THEN 'spike'
+              ELSE 'normal' END AS fraud_type,
+         is_fraud_flag
+  FROM produced LEFT JOIN {_PRODUCTS} USING (sku) LEFT JOIN fx USING (currency)),
+scored AS (
+  SELECT *, fraud_type IN ('negative', 'near_zero', 'spike') AS detected FROM classified)
+"""
+_USD = f"""
+usd AS (
+  SELECT *, (CAST(CAST(total_amount AS DECIMAL(18,2)) * 100 AS BIGINT) * 20000 + r4) // (2 * r4)
+            AS usd_cents
+  FROM (SELECT silver.*, CAST({_RATE} * 10000 AS BIGINT) AS r4
+        FROM silver LEFT JOIN fx USING (currency)))
+"""
+
+
+def _with(extra: str, body: str) -> str:
+    return BASE.rstrip() + "," + extra + body
+
+
+def _dedup(src: str, cols: str) -> str:
+    order = "event_time, store_id, product_name, unit_price, quantity, total_amount, country, currency"
+    return _q(
+        f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id "
+        f"ORDER BY {order.replace(',', ' NULLS FIRST,')} NULLS FIRST) AS rn "
+        f"FROM {src} WHERE transaction_id IS NOT NULL) WHERE rn = 1"
+    )
+
+
+_GOLD_COUNTRY = _q("SELECT * FROM gold_country")
+_GOLD_PRODUCTS = _q("SELECT * FROM gold_products")
+_GOLD_STORE = _q("SELECT * FROM gold_store")
+_GOLD_TAGGED = _q("SELECT * FROM gold_tagged")
+_TOP_STORES = _q(
+    "SELECT store_id, country, total_transactions, ROUND(total_revenue, 2) AS total_revenue "
+    "FROM gold_store ORDER BY total_transactions DESC, store_id, country"
+)
+_SILVER = _q(f"SELECT {_SILVER_COLS} FROM silver")
+_BRONZE = _q("SELECT * FROM bronze")
+
 QUERIES: dict[str, str] = {
+    # --- parsing ----------------------------------------------------------
+    "parse_events": _BRONZE,
+    "bronze_projection": _q("SELECT * FROM produced"),
+    "silver_event_time": _q("SELECT * FROM typed"),
+    "silver_processed_time": _q("SELECT *, TRUE AS processed_time_set FROM typed"),
+    "line_total": _q(
+        f"SELECT transaction_id, unit_price, quantity, CAST({_EXPECTED} AS DOUBLE) AS line_total FROM bronze"
+    ),
+    # --- filters -----------------------------------------------------------
+    **{
+        key: _filter_rule(pred)
+        for key, (_, pred) in zip(
+            [
+                "filter_txn_not_null",
+                "filter_product_not_null",
+                "filter_price_positive",
+                "filter_total_positive",
+                "filter_price_cap",
+                "filter_quantity_positive",
+                "filter_total_finite",
+            ],
+            _RULES,
+        )
+    },
+    "silver_rejects": _q(
+        f"SELECT * FROM (SELECT *, {_REASON} AS reject_reason FROM typed) WHERE reject_reason IS NOT NULL"
+    ),
+    "silver_reject_summary": _q(
+        f"SELECT reject_reason, COUNT(*) AS rejected_rows FROM "
+        f"(SELECT {_REASON} AS reject_reason FROM typed) WHERE reject_reason IS NOT NULL GROUP BY reject_reason"
+    ),
+    # --- data quality --------------------------------------------------------
+    "dq_missing_fields": _q(
+        f"SELECT transaction_id, missing_fields FROM (SELECT transaction_id, "
+        f"concat_ws(',', {', '.join(_MISSING)}) AS missing_fields FROM ledger) WHERE missing_fields <> ''"
+    ),
+    "dq_zero_price": _q("SELECT transaction_id, unit_price FROM ledger WHERE unit_price = 0"),
+    "dq_bad_quantity": _q(
+        "SELECT transaction_id, quantity FROM ledger WHERE coalesce(quantity, 0) <= 0"
+    ),
+    "dq_total_mismatch": _q(
+        f"SELECT transaction_id, unit_price, quantity, total_amount, "
+        f"CAST({_EXPECTED} AS DOUBLE) AS expected_total FROM ledger "
+        f"WHERE CAST(total_amount AS DECIMAL(18,2)) <> {_EXPECTED}"
+    ),
+    "dq_fraud_sanity": _q(
+        f"SELECT transaction_id, unit_price FROM ledger WHERE {_FRAUD_MISMATCH}"
+    ),
+    "dq_errors": _q(
+        f"SELECT transaction_id, CAST(len(errs) AS INTEGER) AS n_errors, "
+        f"array_to_string(errs, ';') AS errors FROM (SELECT transaction_id, {_ERRORS} AS errs FROM ledger) "
+        f"WHERE len(errs) > 0"
+    ),
+    "dq_summary": _q(
+        f"SELECT COUNT(*) AS n_checked, COUNT(*) FILTER (WHERE len(errs) = 0) AS n_passed, "
+        f"COUNT(*) FILTER (WHERE len(errs) > 0) AS n_failed, "
+        f"COUNT(*) FILTER (WHERE coalesce(is_fraud_flag, false)) AS n_fraud "
+        f"FROM (SELECT is_fraud_flag, {_ERRORS} AS errs FROM ledger)"
+    ),
+    # --- fraud ------------------------------------------------------------------
+    "fraud_classify": _with(_CLASSIFIED, "SELECT * FROM scored"),
+    "fraud_confusion": _with(
+        _CLASSIFIED, "SELECT is_fraud_flag, detected, COUNT(*) AS n FROM scored GROUP BY is_fraud_flag, detected"
+    ),
+    "fraud_scores": _with(
+        _CLASSIFIED,
+        "SELECT tp, fp, fn, tn, "
+        "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END AS precision, "
+        "CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END AS recall FROM ("
+        "SELECT COUNT(*) FILTER (WHERE coalesce(is_fraud_flag, false) AND detected) AS tp, "
+        "COUNT(*) FILTER (WHERE NOT coalesce(is_fraud_flag, false) AND detected) AS fp, "
+        "COUNT(*) FILTER (WHERE coalesce(is_fraud_flag, false) AND NOT detected) AS fn, "
+        "COUNT(*) FILTER (WHERE NOT coalesce(is_fraud_flag, false) AND NOT detected) AS tn FROM scored)",
+    ),
+    # --- lookups and currency -------------------------------------------------------
+    "enrich_store": _q(f"SELECT * FROM bronze LEFT JOIN {_STORES} USING (store_id)"),
+    "enrich_product": _q(
+        f"SELECT transaction_id, sku, product_name, catalog_name, catalog_category, "
+        f"CAST(base_price_usd AS DOUBLE) AS base_price_usd "
+        f"FROM produced LEFT JOIN {_PRODUCTS} USING (sku)"
+    ),
+    "fx_local_price": _q(
+        f"SELECT transaction_id, sku, currency, "
+        f"CAST(round(base_price_usd * {_RATE}, 2) AS DOUBLE) AS list_price_local "
+        f"FROM produced LEFT JOIN {_PRODUCTS} USING (sku) LEFT JOIN fx USING (currency)"
+    ),
+    "fx_usd_amount": _with(
+        _USD, "SELECT transaction_id, currency, total_amount, CAST(usd_cents AS DOUBLE) / 100 AS total_usd FROM usd"
+    ),
+    "gold_usd_by_country": _with(
+        _USD,
+        "SELECT country, CAST(SUM(usd_cents) AS DOUBLE) / 100 AS total_revenue_usd, "
+        "COUNT(transaction_id) AS total_transactions FROM usd GROUP BY country",
+    ),
+    "gold_usd_by_store": _with(
+        _USD,
+        "SELECT store_id, country, CAST(SUM(usd_cents) AS DOUBLE) / 100 AS total_revenue_usd, "
+        "COUNT(transaction_id) AS total_transactions FROM usd GROUP BY store_id, country",
+    ),
+    "gold_usd_by_product": _with(
+        _USD,
+        "SELECT product_name, CAST(SUM(usd_cents) AS DOUBLE) / 100 AS total_revenue_usd, "
+        "COUNT(transaction_id) AS total_transactions FROM usd GROUP BY product_name",
+    ),
+    "dedup_transactions": _dedup("bronze", _BRONZE_COLS),
+    # --- lake ---------------------------------------------------------------------------
+    "scan_silver": _SILVER,
+    "scan_gold": _GOLD_TAGGED,
+    "gold_views": _TOP_STORES,
+    "gold_roundtrip": _GOLD_TAGGED,
+    "csv_export_country": _GOLD_COUNTRY,
+    "csv_export_products": _GOLD_PRODUCTS,
+    "csv_export_store": _GOLD_STORE,
+    # --- streaming (read back from the sink; same answer as the batch operator) ----------
+    "stream_bronze": _BRONZE,
+    "stream_restart": _BRONZE,
+    "stream_tail": _BRONZE,
+    "stream_silver": _SILVER,
+    "stream_gold_country": _GOLD_COUNTRY,
+    "stream_gold_products": _GOLD_PRODUCTS,
+    "stream_gold_store": _GOLD_STORE,
+    "stream_dedup": _dedup("typed", _BRONZE_COLS),
     # --- silver ---------------------------------------------------------
     "silver_clean": _q(f"SELECT {_SILVER_COLS} FROM silver"),
     "silver_row_count": _q("SELECT COUNT(*) AS n_rows FROM silver"),

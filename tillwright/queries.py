@@ -10,10 +10,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from .config import scratch_path
 from .operators import clean as C
+from .operators import dedup as D
+from .operators import enrich as E
+from .operators import fraud as FR
 from .operators import gold as G
+from .operators import quality as Q
 from .operators import reports as R
-from .sources.ledger import bronze_rows
+from .operators.parse import parse_events, with_event_time, with_processed_time
+from .plans import lake as L
+from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS
+from .sources.dims import fx_dim, product_dim, store_dim
+from .sources.ledger import bronze_rows, ledger
+from .sources.topic import read_events, to_messages, write_topic
+from .streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,7 +92,330 @@ def kpi_row(spark, sf_dir):
     return R.kpi_row(G.gold_all(_silver(spark, sf_dir)))
 
 
+# --- parsing ----------------------------------------------------------------
+
+
+def _messages(spark, sf_dir):
+    return to_messages(ledger(spark, sf_dir))
+
+
+def publish_payload(spark, sf_dir):
+    """Keyed JSON messages as published to the topic (rows-only check)."""
+    return _messages(spark, sf_dir)
+
+
+def parse_events_q(spark, sf_dir):
+    return parse_events(_messages(spark, sf_dir))
+
+
+def bronze_projection(spark, sf_dir):
+    """Full mode: all 18 producer fields survive parsing (raw text dropped here)."""
+    return parse_events(_messages(spark, sf_dir), full=True)
+
+
+def silver_event_time(spark, sf_dir):
+    return with_event_time(parse_events(_messages(spark, sf_dir)))
+
+
+def silver_processed_time(spark, sf_dir):
+    stamped = with_processed_time(with_event_time(bronze_rows(spark, sf_dir)))
+    return stamped.withColumn("processed_time_set", F.col("processed_time").isNotNull()).drop(
+        "processed_time"
+    )
+
+
+# --- filters ------------------------------------------------------------------
+
+
+def _filter(rule_name: str) -> Query:
+    return lambda spark, sf_dir: C.filter_rule(bronze_rows(spark, sf_dir), rule_name)
+
+
+def silver_rejects(spark, sf_dir):
+    return C.rejects(bronze_rows(spark, sf_dir))
+
+
+def silver_reject_summary(spark, sf_dir):
+    return C.reject_summary(bronze_rows(spark, sf_dir))
+
+
+def line_total(spark, sf_dir):
+    from .functions import line_total as lt
+
+    return bronze_rows(spark, sf_dir).select(
+        "transaction_id", "unit_price", "quantity", lt("unit_price", "quantity").cast("double").alias("line_total")
+    )
+
+
+# --- data quality and fraud ----------------------------------------------------
+
+
+def _checked(spark, sf_dir):
+    """Fully parsed events with their raw JSON, as the QA rules need."""
+    return parse_events(_messages(spark, sf_dir), full=True, keep_raw=True)
+
+
+def _full(spark, sf_dir):
+    return bronze_rows(spark, sf_dir, full=True)
+
+
+def dq_missing_fields(spark, sf_dir):
+    return Q.missing_field_rows(_checked(spark, sf_dir))
+
+
+def dq_zero_price(spark, sf_dir):
+    return Q.zero_price_rows(_full(spark, sf_dir))
+
+
+def dq_bad_quantity(spark, sf_dir):
+    return Q.bad_quantity_rows(_full(spark, sf_dir))
+
+
+def dq_total_mismatch(spark, sf_dir):
+    return Q.total_mismatch_rows(_full(spark, sf_dir))
+
+
+def dq_fraud_sanity(spark, sf_dir):
+    return Q.fraud_sanity_rows(_full(spark, sf_dir))
+
+
+def dq_errors(spark, sf_dir):
+    return Q.error_rows(_checked(spark, sf_dir))
+
+
+def dq_summary(spark, sf_dir):
+    return Q.summary(_checked(spark, sf_dir))
+
+
+def _classified(spark, sf_dir):
+    return FR.classify(_full(spark, sf_dir), product_dim(spark, sf_dir), fx_dim(spark))
+
+
+def fraud_classify(spark, sf_dir):
+    return _classified(spark, sf_dir)
+
+
+def fraud_confusion(spark, sf_dir):
+    return FR.confusion(_classified(spark, sf_dir))
+
+
+def fraud_scores(spark, sf_dir):
+    return FR.scores(_classified(spark, sf_dir))
+
+
+# --- lookups and currency --------------------------------------------------------
+
+
+def enrich_store(spark, sf_dir):
+    return E.enrich_store(bronze_rows(spark, sf_dir), store_dim(spark, sf_dir))
+
+
+def enrich_product(spark, sf_dir):
+    events = _full(spark, sf_dir).select("transaction_id", "sku", "product_name")
+    return E.enrich_product(events, product_dim(spark, sf_dir)).withColumn(
+        "base_price_usd", F.col("base_price_usd").cast("double")
+    )
+
+
+def fx_local_price(spark, sf_dir):
+    return E.local_list_price(_full(spark, sf_dir), product_dim(spark, sf_dir), fx_dim(spark))
+
+
+def fx_usd_amount(spark, sf_dir):
+    return E.usd_amounts(_silver(spark, sf_dir), fx_dim(spark))
+
+
+def _usd(by: str) -> Query:
+    return lambda spark, sf_dir: E.usd_revenue(_silver(spark, sf_dir), fx_dim(spark), by)
+
+
+def dedup_transactions(spark, sf_dir):
+    """Every event arrives twice (a producer retry); one copy per id remains."""
+    bronze = bronze_rows(spark, sf_dir)
+    return D.dedup_transactions(bronze.unionByName(bronze))
+
+
+# --- lake reads and writes -------------------------------------------------------
+
+
+def scan_silver(spark, sf_dir):
+    path = scratch_path(spark, "silver")
+    L.write_silver(C.silver(bronze_rows(spark, sf_dir)), path)
+    return L.read_silver(spark, path).drop("processed_time")
+
+
+def _published(spark, sf_dir) -> str:
+    root = scratch_path(spark, "gold")
+    L.publish_gold(_silver(spark, sf_dir), root)
+    return root
+
+
+def scan_gold(spark, sf_dir):
+    root = _published(spark, sf_dir)
+    return G.tagged_gold({n: L.read_gold_glob(spark, root, n) for n in G.GOLD_TABLES})
+
+
+def gold_roundtrip(spark, sf_dir):
+    """Publish twice; readers see exactly the latest version, never a mix."""
+    root = _published(spark, sf_dir)
+    L.publish_gold(_silver(spark, sf_dir), root)
+    return G.tagged_gold({n: L.read_gold(spark, root, n) for n in G.GOLD_TABLES})
+
+
+def gold_views(spark, sf_dir):
+    L.gold_views(spark, _published(spark, sf_dir))
+    return spark.sql(
+        "SELECT store_id, country, total_transactions, ROUND(total_revenue, 2) AS total_revenue "
+        "FROM revenue_by_store ORDER BY total_transactions DESC, store_id, country"
+    )
+
+
+def _csv(name: str) -> Query:
+    def run(spark, sf_dir):
+        root = _published(spark, sf_dir)
+        out = scratch_path(spark, f"csv-{name}")
+        L.export_csv(
+            L.read_gold(spark, root, name),
+            out,
+            [F.col("total_transactions").desc(), *[F.col(k).asc_nulls_last() for k in G._KEYS[name]]],
+        )
+        return L.read_csv(spark, out, GOLD_SCHEMAS[name])
+
+    return run
+
+
+# --- streaming ----------------------------------------------------------------------
+
+
+def _topic(spark, sf_dir, copies: int = 1) -> str:
+    path = scratch_path(spark, "topic")
+    msgs = _messages(spark, sf_dir)
+    for _ in range(copies - 1):
+        msgs = msgs.unionByName(_messages(spark, sf_dir))
+    write_topic(msgs, path)
+    return path
+
+
+def stream_bronze(spark, sf_dir):
+    topic = _topic(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt-bronze")
+    stream = S.bronze_stream(read_events(spark, topic, max_files_per_trigger=3))
+    S.run_until_done(S.start_file_sink(stream, sink, ckpt, available_now=True))
+    return L.read_bronze(spark, sink, BRONZE_READ_SCHEMA)
+
+
+def stream_restart(spark, sf_dir):
+    """Run the bronze stream twice on one checkpoint; the rerun adds nothing."""
+    topic = _topic(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt-bronze")
+    for _ in range(2):
+        stream = S.bronze_stream(read_events(spark, topic, max_files_per_trigger=3))
+        S.run_until_done(S.start_file_sink(stream, sink, ckpt, available_now=True))
+    return L.read_bronze(spark, sink, BRONZE_READ_SCHEMA)
+
+
+def stream_tail(spark, sf_dir):
+    """Tail started before any event exists sees exactly the events that arrive."""
+    from .schemas import MESSAGE_SCHEMA
+
+    topic = scratch_path(spark, "topic")
+    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(topic)
+    sink, ckpt = scratch_path(spark, "tail"), scratch_path(spark, "ckpt-tail")
+
+    def run():
+        stream = S.bronze_stream(read_events(spark, topic, starting="latest"))
+        S.run_until_done(S.start_file_sink(stream, sink, ckpt, partition_by=(), available_now=True))
+
+    run()
+    write_topic(_messages(spark, sf_dir), topic)
+    run()
+    return spark.read.schema(BRONZE_READ_SCHEMA).parquet(sink).select(*PARSED_FIELDS)
+
+
+def stream_silver(spark, sf_dir):
+    topic = _topic(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "silver"), scratch_path(spark, "ckpt-silver")
+    stream = S.silver_stream(read_events(spark, topic, max_files_per_trigger=3))
+    S.run_until_done(S.start_file_sink(stream, sink, ckpt, available_now=True))
+    return L.read_silver(spark, sink).drop("processed_time")
+
+
+def _stream_gold(name: str) -> Query:
+    def run(spark, sf_dir):
+        topic = _topic(spark, sf_dir)
+        root, ckpt = scratch_path(spark, "live-gold"), scratch_path(spark, f"ckpt-{name}")
+        stream = S.silver_stream(read_events(spark, topic, max_files_per_trigger=3))
+        S.run_until_done(S.start_live_gold(stream, name, root, ckpt, available_now=True))
+        return L.read_gold(spark, root, name)
+
+    return run
+
+
+def stream_dedup(spark, sf_dir):
+    """Every event published twice; the watermark dedup keeps one per id."""
+    topic = _topic(spark, sf_dir, copies=2)
+    sink, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt-dedup")
+    stream = S.dedup_stream(S.typed_stream(read_events(spark, topic)))
+    S.run_until_done(S.start_file_sink(stream, sink, ckpt, partition_by=(), available_now=True))
+    return spark.read.parquet(sink)
+
+
 QUERIES: dict[str, Query] = {
+    # sources, parsing
+    "publish_payload": publish_payload,
+    "parse_events": parse_events_q,
+    "bronze_projection": bronze_projection,
+    "silver_event_time": silver_event_time,
+    "silver_processed_time": silver_processed_time,
+    "line_total": line_total,
+    # filters
+    "filter_txn_not_null": _filter("transaction_id_null"),
+    "filter_product_not_null": _filter("product_name_null"),
+    "filter_price_positive": _filter("unit_price_not_positive"),
+    "filter_total_positive": _filter("total_amount_not_positive"),
+    "filter_price_cap": _filter("unit_price_over_cap"),
+    "filter_quantity_positive": _filter("quantity_not_positive"),
+    "filter_total_finite": _filter("total_amount_not_finite"),
+    "silver_rejects": silver_rejects,
+    "silver_reject_summary": silver_reject_summary,
+    # quality, fraud
+    "dq_missing_fields": dq_missing_fields,
+    "dq_zero_price": dq_zero_price,
+    "dq_bad_quantity": dq_bad_quantity,
+    "dq_total_mismatch": dq_total_mismatch,
+    "dq_fraud_sanity": dq_fraud_sanity,
+    "dq_errors": dq_errors,
+    "dq_summary": dq_summary,
+    "fraud_classify": fraud_classify,
+    "fraud_confusion": fraud_confusion,
+    "fraud_scores": fraud_scores,
+    # lookups, currency
+    "enrich_store": enrich_store,
+    "enrich_product": enrich_product,
+    "fx_local_price": fx_local_price,
+    "fx_usd_amount": fx_usd_amount,
+    "gold_usd_by_country": _usd("country"),
+    "gold_usd_by_store": _usd("store"),
+    "gold_usd_by_product": _usd("product"),
+    "dedup_transactions": dedup_transactions,
+    # lake
+    "scan_silver": scan_silver,
+    "scan_gold": scan_gold,
+    "gold_views": gold_views,
+    "gold_roundtrip": gold_roundtrip,
+    "csv_export_country": _csv(G.COUNTRY),
+    "csv_export_products": _csv(G.PRODUCTS),
+    "csv_export_store": _csv(G.STORE),
+    # streaming
+    "stream_bronze": stream_bronze,
+    "stream_restart": stream_restart,
+    "stream_tail": stream_tail,
+    "stream_silver": stream_silver,
+    "stream_gold_country": _stream_gold(G.COUNTRY),
+    "stream_gold_products": _stream_gold(G.PRODUCTS),
+    "stream_gold_store": _stream_gold(G.STORE),
+    "stream_dedup": stream_dedup,
+    # silver, gold, reports
     "silver_clean": silver_clean,
     "silver_row_count": silver_row_count,
     "gold_revenue_by_country": _gold(G.COUNTRY),
