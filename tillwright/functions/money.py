@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import MONEY
 
+_MAX_DOUBLE = 1.7976931348623157e308
+
 
 def cents(c: Column | str) -> Column:
     """A double amount as an exact ``decimal(18,2)`` (NaN / Infinity -> null)."""
@@ -50,4 +52,6 @@ def to_local(usd: Column | str, rate: Column | str) -> Column:
 def is_finite(c: Column | str) -> Column:
     """True for a real number; false for NaN and +/-Infinity; null stays null."""
     c = F.col(c) if isinstance(c, str) else c
-    return ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
+    # Spark orders NaN above every double, so one range test excludes NaN and
+    # both infinities.
+    return c.between(F.lit(-_MAX_DOUBLE), F.lit(_MAX_DOUBLE))

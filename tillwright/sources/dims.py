@@ -7,18 +7,29 @@ FX rates are fixed values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FX_RATES, MONEY, RATE
-from .tables import broadcast_if_small, table
+from .tables import table
+
+
+def store_code(key: Column) -> Column:
+    """``R`` + the key padded to at least four digits (never truncated)."""
+    text = key.cast("string")
+    return F.concat(F.lit("R"), F.when(key < 10000, F.lpad(text, 4, "0")).otherwise(text))
 
 
 def fx_dim(spark: SparkSession) -> DataFrame:
     """currency, rate (units per USD), fx_id (position, used to assign nations)."""
-    rows = [(i, cur, rate) for i, (cur, rate) in enumerate(FX_RATES)]
-    df = spark.createDataFrame(rows, "fx_id int, currency string, rate string")
-    return df.select("fx_id", "currency", F.col("rate").cast(RATE).alias("rate"))
+    rows = F.array(
+        *[
+            F.struct(F.lit(i).alias("fx_id"), F.lit(cur).alias("currency"), F.lit(rate).cast(RATE).alias("rate"))
+            for i, (cur, rate) in enumerate(FX_RATES)
+        ]
+    )
+    # A JVM-side literal relation: no Python worker is involved in reading it.
+    return spark.range(1).select(F.inline(rows))
 
 
 def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +38,7 @@ def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     fx = F.broadcast(fx_dim(spark))  # 9 literal rows
     return (
-        nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey)
+        nation.join(region, nation.n_regionkey == region.r_regionkey)
         .join(fx, (F.col("n_nationkey") % F.lit(len(FX_RATES))) == fx.fx_id)
         .select("n_nationkey", "n_name", "r_name", "currency", "rate")
     )
@@ -36,10 +47,10 @@ def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per store (supplier): ids, names, location, currency and rate."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nations = broadcast_if_small(nation_dim(spark, sf_dir))
+    nations = nation_dim(spark, sf_dir)
     return supplier.join(nations, supplier.s_nationkey == nations.n_nationkey).select(
         "s_suppkey",
-        F.format_string("R%04d", F.col("s_suppkey")).alias("store_id"),
+        store_code(F.col("s_suppkey")).alias("store_id"),
         F.col("s_name").alias("store_name"),
         F.concat(F.lit("City-"), F.col("s_nationkey").cast("string")).alias("city"),
         F.col("n_name").alias("country"),

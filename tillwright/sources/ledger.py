@@ -8,9 +8,9 @@ rows. The fault code ``h`` (0-99) selects:
     3 quantity 0                 4 null product_name      5 null transaction_id
     6 total off by +1            7 price at the 10,000,000 cap (not flagged)
 
-Join plan: the small dimensions (stores, products, customers) go through
-``broadcast_if_small``; ``orders`` is joined on ``o_orderkey`` by a shuffle
-join, the only one that grows with the fact table.
+Join plan: every dimension table joins the fact stream directly, so the
+broadcast-or-shuffle choice rests on each table's own size; ``orders`` (as
+big as the facts divided by ~4) is joined on ``o_orderkey`` by a shuffle join.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import EVENT_FIELDS, MONEY, PARSED_FIELDS, PRICE_CAP
-from .dims import product_dim, store_dim
-from .tables import broadcast_if_small, table
+from ..schemas import EVENT_FIELDS, FX_RATES, MONEY, PARSED_FIELDS, PRICE_CAP
+from .dims import fx_dim, store_code
+from .tables import table
 
 
 def fault_code() -> Column:
@@ -29,8 +29,10 @@ def fault_code() -> Column:
     ) % 100
 
 
-def _money(text: str) -> Column:
-    return F.lit(text).cast(MONEY)
+def cents_to_double(cents: Column) -> Column:
+    """Exact cents -> double; equal to casting ``decimal(.., 2)`` to double
+    (both are the correctly rounded double of the same decimal value)."""
+    return cents.cast("double") / F.lit(100.0)
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,33 +40,55 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
     )
-    customers = broadcast_if_small(
-        table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     order_attrs = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
         "o_orderkey", "o_orderpriority", "c_mktsegment"
     )
-    stores = broadcast_if_small(store_dim(spark, sf_dir))
-    products = broadcast_if_small(product_dim(spark, sf_dir))
-
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("category"),
+        # Exact cents, converted once per part on the broadcast side.
+        (F.col("p_retailprice").cast(MONEY) * 100).cast("long").alias("base_cents"),
+    )
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    regions = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    fx = F.broadcast(
+        fx_dim(spark).select("fx_id", "currency", (F.col("rate") * 10000).cast("long").alias("rate_e4"))
+    )  # nine literal rows
+
+    # The facts must be shuffled on l_orderkey for the orders join anyway, so
+    # that join comes first, straight after the pruned, filtered scan; the
+    # dimension joins then run on every shuffle partition. Each dimension
+    # meets the facts as a plain table scan, so Spark's size check
+    # (autoBroadcastJoinThreshold at planning, AQE at run time) sees a
+    # reliable size: small tables are broadcast, big ones shuffle-joined.
+    # The hint keeps Spark from broadcasting the *fact* side when pruning and
+    # pushed filters make its compressed-file estimate look small.
     joined = (
-        lines.join(products, lines.l_partkey == products.p_partkey)
-        .join(stores, lines.l_suppkey == stores.s_suppkey)
-        .join(order_attrs, lines.l_orderkey == order_attrs.o_orderkey)
+        lines.join(order_attrs.hint("shuffle_merge"), lines.l_orderkey == order_attrs.o_orderkey)
+        .join(parts, lines.l_partkey == parts.p_partkey)
+        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+        .join(nations, F.col("s_nationkey") == nations.n_nationkey)
+        .join(regions, F.col("n_regionkey") == regions.r_regionkey)
+        .join(fx, (F.col("n_nationkey") % F.lit(len(FX_RATES))) == fx.fx_id)
     )
 
+    # Money in exact integer cents (long arithmetic, no wide decimals on the
+    # fact rows): round(base * rate, 2) half-up, prices and totals from it.
     h = fault_code()
-    normal = F.round(F.col("base_price_usd") * F.col("rate"), 2)
+    normal = F.floor((F.col("base_cents") * F.col("rate_e4") + 5000) / 10000).cast("long")
     price = (
         F.when(h == 0, -normal)
-        .when(h == 1, _money("0.50"))
+        .when(h == 1, F.lit(50).cast("long"))
         .when(h == 2, normal * 12)
-        .when(h == 7, _money(str(PRICE_CAP)))
+        .when(h == 7, F.lit(PRICE_CAP * 100).cast("long"))
         .otherwise(normal)
     )
     qty = F.when(h == 3, F.lit(0)).otherwise(F.col("l_quantity").cast("int"))
-    total = F.when(F.col("h") == 6, F.col("price") * F.col("qty") + 1).otherwise(
+    total = F.when(F.col("h") == 6, F.col("price") * F.col("qty") + 100).otherwise(
         F.col("price") * F.col("qty")
     )
     txn_id = F.concat_ws(
@@ -76,13 +100,13 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         h.alias("h"),
         F.when(h == 5, F.lit(None).cast("string")).otherwise(txn_id).alias("transaction_id"),
         F.col("l_shipdate").alias("event_time"),
-        "store_id",
-        "store_name",
-        "city",
-        "country",
-        "region",
+        store_code(F.col("l_suppkey")).alias("store_id"),
+        F.col("s_name").alias("store_name"),
+        F.concat(F.lit("City-"), F.col("s_nationkey").cast("string")).alias("city"),
+        F.col("n_name").alias("country"),
+        F.col("r_name").alias("region"),
         "currency",
-        "sku",
+        F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
         F.when(h == 4, F.lit(None).cast("string"))
         .otherwise(F.col("product_name"))
         .alias("product_name"),
@@ -104,9 +128,9 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sku",
         "product_name",
         "category",
-        F.col("price").cast("double").alias("unit_price"),
+        cents_to_double(F.col("price")).alias("unit_price"),
         F.col("qty").alias("quantity"),
-        total.cast("double").alias("total_amount"),
+        cents_to_double(total).alias("total_amount"),
         "payment_method",
         "customer_type",
         (F.col("h") <= 2).alias("is_fraud_flag"),
