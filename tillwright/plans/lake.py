@@ -16,21 +16,30 @@ from pyspark.sql import functions as F
 
 from ..operators import gold as G
 from ..schemas import GOLD_SCHEMAS, SILVER_READ_SCHEMA
+from . import manifest
 
-# Files per country partition in a silver write: countries are few, so
-# partitioning by country alone would put a hot country in one task.
-SILVER_FILES_PER_COUNTRY = 8
+# Rows per Parquet file in layer writes (bounds file size at any scale).
+MAX_RECORDS_PER_FILE = 5_000_000
 # Largest export that is written as one CSV file (ordered); above it the
 # export is several part files whose name order is the sort order.
 SINGLE_FILE_EXPORT_ROWS = 1_000_000
 
 
-def write_silver(silver: DataFrame, path: str, files_per_country: int = SILVER_FILES_PER_COUNTRY) -> None:
-    """Append silver as Parquet partitioned by country, size-bounded per task."""
-    spread = F.pmod(F.xxhash64("transaction_id"), F.lit(files_per_country))
+def write_silver(silver: DataFrame, path: str, spread: int | None = None) -> None:
+    """Append silver as Parquet partitioned by country.
+
+    Countries are few and one may hold a third of all rows, so rows are
+    shuffled on (country, hash(id) mod ``spread``): a hot country is split
+    over ``spread`` tasks (default: the session's shuffle width; AQE merges
+    the buckets again when data is small), and files are capped in rows.
+    """
+    spark = silver.sparkSession
+    n = spread or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64("transaction_id"), F.lit(n))
     (
-        silver.repartition("country", spread)
+        silver.repartition("country", bucket)
         .write.mode("append")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy("country")
         .parquet(path)
     )
@@ -64,26 +73,13 @@ def publish_gold(silver: DataFrame, gold_root: str) -> str:
     tagged = spark.read.parquet(stage)
     for name in G.GOLD_TABLES:
         G.split_gold(tagged, name).write.parquet(f"{root}/{name}/v={version}")
-    committed = spark.createDataFrame(
-        [(name, version, f"{root}/{name}/v={version}", dt.datetime.now(dt.timezone.utc)) for name in G.GOLD_TABLES],
-        "gold_table string, version string, path string, committed_at timestamp",
-    )
-    committed.coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
+    manifest.commit(spark, root, [(name, version, f"{root}/{name}/v={version}") for name in G.GOLD_TABLES])
     return version
 
 
 def current_gold_path(spark: SparkSession, gold_root: str, name: str) -> str:
     """Folder of the latest committed version of one gold table."""
-    row = (
-        spark.read.parquet(f"{gold_root.rstrip('/')}/_manifest")
-        .filter(F.col("gold_table") == name)
-        .orderBy(F.col("committed_at").desc(), F.col("version").desc())
-        .select("path")
-        .first()
-    )
-    if row is None:
-        raise FileNotFoundError(f"no committed version of gold table {name!r} under {gold_root}")
-    return row["path"]
+    return manifest.current_path(spark, gold_root, name)
 
 
 def read_gold(spark: SparkSession, gold_root: str, name: str) -> DataFrame:

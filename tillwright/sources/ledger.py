@@ -78,7 +78,8 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Money in exact integer cents (long arithmetic, no wide decimals on the
     # fact rows): round(base * rate, 2) half-up, prices and totals from it.
-    h = fault_code()
+    joined = joined.withColumn("h", fault_code())
+    h = F.col("h")
     normal = F.floor((F.col("base_cents") * F.col("rate_e4") + 5000) / 10000).cast("long")
     price = (
         F.when(h == 0, -normal)
@@ -88,7 +89,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(normal)
     )
     qty = F.when(h == 3, F.lit(0)).otherwise(F.col("l_quantity").cast("int"))
-    total = F.when(F.col("h") == 6, F.col("price") * F.col("qty") + 100).otherwise(
+    total = F.when(h == 6, F.col("price") * F.col("qty") + 100).otherwise(
         F.col("price") * F.col("qty")
     )
     txn_id = F.concat_ws(
@@ -97,7 +98,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     staged = joined.select(
-        h.alias("h"),
+        "h",
         F.when(h == 5, F.lit(None).cast("string")).otherwise(txn_id).alias("transaction_id"),
         F.col("l_shipdate").alias("event_time"),
         store_code(F.col("l_suppkey")).alias("store_id"),
@@ -133,7 +134,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         cents_to_double(total).alias("total_amount"),
         "payment_method",
         "customer_type",
-        (F.col("h") <= 2).alias("is_fraud_flag"),
+        (h <= 2).alias("is_fraud_flag"),
         F.lit("1.0.0").alias("producer_version"),
     )
 

@@ -8,7 +8,6 @@ keeps a replayed batch from adding rows twice.
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame
@@ -19,6 +18,7 @@ from ..functions.timeparse import EPOCH_NTZ
 from ..operators import clean as C
 from ..operators import gold as G
 from ..operators.parse import parse_events, with_event_time
+from ..plans import manifest
 
 DEFAULT_TRIGGER = "30 seconds"
 
@@ -82,10 +82,7 @@ def _commit_version(batch: DataFrame, gold_root: str, name: str, batch_id: int)
     version = f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
     path = f"{root}/{name}/v={version}"
     G.sort_gold(batch, name).write.parquet(path)
-    spark.createDataFrame(
-        [(name, version, path, dt.datetime.now(dt.timezone.utc))],
-        "gold_table string, version string, path string, committed_at timestamp",
-    ).coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
+    manifest.commit(spark, root, [(name, version, path)])
 
 
 def start_live_gold(
