@@ -350,7 +350,7 @@ QUERIES: dict[str, str] = {
         "FROM gold_store ORDER BY total_transactions DESC, store_id, country"
     ),
     "kpi_total_transactions": _q(
-        "SELECT SUM(total_transactions) AS total_transactions FROM gold_country"
+        "SELECT CAST(SUM(total_transactions) AS BIGINT) AS total_transactions FROM gold_country"
     ),
     "kpi_total_countries": _q(
         "SELECT COUNT(DISTINCT country) AS total_countries FROM gold_country"
@@ -365,7 +365,7 @@ QUERIES: dict[str, str] = {
         "ORDER BY total_transactions DESC, store_id NULLS FIRST LIMIT 1) AS busiest_store"
     ),
     "kpi_row": _q(
-        "SELECT (SELECT SUM(total_transactions) FROM gold_country) AS total_transactions, "
+        "SELECT (SELECT CAST(SUM(total_transactions) AS BIGINT) FROM gold_country) AS total_transactions, "
         "(SELECT COUNT(DISTINCT country) FROM gold_country) AS total_countries, "
         "(SELECT COUNT(*) FROM gold_country) AS country_groups, "
         "(SELECT product_name FROM gold_products "
