@@ -299,7 +299,7 @@ def _topic(spark, sf_dir, copies: int = 1) -> str:
 def stream_bronze(spark, sf_dir):
     topic = _topic(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt-bronze")
-    stream = S.bronze_stream(read_events(spark, topic, max_files_per_trigger=3))
+    stream = S.bronze_stream(read_events(spark, topic))
     S.run_until_done(S.start_file_sink(stream, sink, ckpt, available_now=True))
     return L.read_bronze(spark, sink, BRONZE_READ_SCHEMA)
 
@@ -309,7 +309,7 @@ def stream_restart(spark, sf_dir):
     topic = _topic(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt-bronze")
     for _ in range(2):
-        stream = S.bronze_stream(read_events(spark, topic, max_files_per_trigger=3))
+        stream = S.bronze_stream(read_events(spark, topic))
         S.run_until_done(S.start_file_sink(stream, sink, ckpt, available_now=True))
     return L.read_bronze(spark, sink, BRONZE_READ_SCHEMA)
 
@@ -335,7 +335,7 @@ def stream_tail(spark, sf_dir):
 def stream_silver(spark, sf_dir):
     topic = _topic(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "silver"), scratch_path(spark, "ckpt-silver")
-    stream = S.silver_stream(read_events(spark, topic, max_files_per_trigger=3))
+    stream = S.silver_stream(read_events(spark, topic))
     S.run_until_done(S.start_file_sink(stream, sink, ckpt, available_now=True))
     return L.read_silver(spark, sink).drop("processed_time")
 
@@ -344,7 +344,7 @@ def _stream_gold(name: str) -> Query:
     def run(spark, sf_dir):
         topic = _topic(spark, sf_dir)
         root, ckpt = scratch_path(spark, "live-gold"), scratch_path(spark, f"ckpt-{name}")
-        stream = S.silver_stream(read_events(spark, topic, max_files_per_trigger=3))
+        stream = S.silver_stream(read_events(spark, topic))
         S.run_until_done(S.start_live_gold(stream, name, root, ckpt, available_now=True))
         return L.read_gold(spark, root, name)
 
