@@ -57,12 +57,25 @@ def main(argv):
             df.write.format("noop").mode("overwrite").save()
             print(f"{name} run {attempt}: build {t1 - t0:.3f}s execute {time.perf_counter() - t1:.3f}s", flush=True)
     spark.stop()
+    tasks: dict[int, dict] = {}
     for e in _events(log_dir):
+        if e["Event"] == "SparkListenerTaskEnd" and e.get("Task Metrics"):
+            m, agg = e["Task Metrics"], tasks.setdefault(e["Stage ID"], {"run": 0, "cpu": 0, "gc": 0, "rows": 0, "shw": 0})
+            agg["run"] += m["Executor Run Time"]
+            agg["cpu"] += m["Executor CPU Time"] // 1_000_000
+            agg["gc"] += m["JVM GC Time"]
+            agg["rows"] += m["Input Metrics"]["Records Read"] + m["Shuffle Read Metrics"]["Total Records Read"]
+            agg["shw"] += m["Shuffle Write Metrics"]["Shuffle Bytes Written"]
         if e["Event"] == "SparkListenerStageCompleted":
             si = e["Stage Info"]
             ms = si["Completion Time"] - si["Submission Time"]
             if ms >= 100:
-                print(f"  stage {si['Stage ID']:4d} tasks {si['Number of Tasks']:3d} {ms:6d} ms  {si['Stage Name'][:60]}")
+                a = tasks.get(si["Stage ID"], {})
+                print(
+                    f"  stage {si['Stage ID']:4d} tasks {si['Number of Tasks']:3d} wall {ms:6d} ms"
+                    f"  run {a.get('run', 0):6d} cpu {a.get('cpu', 0):6d} gc {a.get('gc', 0):5d} ms"
+                    f"  rows in {a.get('rows', 0):8d}  shuffle out {a.get('shw', 0) // 1024:7d} KiB"
+                )
 
 
 if __name__ == "__main__":
