@@ -25,7 +25,7 @@ from .plans import lake as L
 from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS
 from .sources.dims import fx_dim, product_dim, store_dim
 from .sources.ledger import bronze_rows, ledger
-from .sources.topic import read_events, to_messages, write_topic
+from .sources.topic import read_events, resent, to_messages, write_topic
 from .streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,13 +95,14 @@ def kpi_row(spark, sf_dir):
 # --- parsing ----------------------------------------------------------------
 
 
-def _messages(spark, sf_dir):
-    return to_messages(ledger(spark, sf_dir))
+def _messages(spark, sf_dir, ordered: bool = False):
+    """The topic's messages; consumers need no publish order."""
+    return to_messages(ledger(spark, sf_dir), ordered=ordered)
 
 
 def publish_payload(spark, sf_dir):
     """Keyed JSON messages as published to the topic (rows-only check)."""
-    return _messages(spark, sf_dir)
+    return _messages(spark, sf_dir, ordered=True)
 
 
 def parse_events_q(spark, sf_dir):
@@ -231,8 +232,7 @@ def _usd(by: str) -> Query:
 
 def dedup_transactions(spark, sf_dir):
     """Every event arrives twice (a producer retry); one copy per id remains."""
-    bronze = bronze_rows(spark, sf_dir)
-    return D.dedup_transactions(bronze.unionByName(bronze))
+    return D.dedup_transactions(resent(bronze_rows(spark, sf_dir)))
 
 
 # --- lake reads and writes -------------------------------------------------------
@@ -289,10 +289,8 @@ def _csv(name: str) -> Query:
 
 def _topic(spark, sf_dir, copies: int = 1) -> str:
     path = scratch_path(spark, "topic")
-    msgs = _messages(spark, sf_dir)
-    for _ in range(copies - 1):
-        msgs = msgs.unionByName(_messages(spark, sf_dir))
-    write_topic(msgs, path)
+    msgs = _messages(spark, sf_dir, ordered=True)
+    write_topic(resent(msgs, copies) if copies > 1 else msgs, path)
     return path
 
 
@@ -327,7 +325,7 @@ def stream_tail(spark, sf_dir):
         S.run_until_done(S.start_file_sink(stream, sink, ckpt, partition_by=(), available_now=True))
 
     run()
-    write_topic(_messages(spark, sf_dir), topic)
+    write_topic(_messages(spark, sf_dir, ordered=True), topic)
     run()
     return spark.read.schema(BRONZE_READ_SCHEMA).parquet(sink).select(*PARSED_FIELDS)
 

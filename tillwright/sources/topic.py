@@ -14,25 +14,31 @@ from ..schemas import EVENT_FIELDS, MESSAGE_SCHEMA
 from .ledger import as_produced
 
 
-def to_messages(events: DataFrame) -> DataFrame:
+def to_messages(events: DataFrame, ordered: bool = True) -> DataFrame:
     """Events (18 fields, ``event_time`` as timestamp) -> keyed JSON messages.
 
     The JSON carries the producer's field order; null fields are left out.
     Rows are not shuffled by key: a Kafka sink routes each key to one topic
     partition itself. Within each task a store's events are sent in event
     time order, so the topic keeps per-store order for every writer task
-    without ever gathering a hot store into a single task.
+    without ever gathering a hot store into a single task. ``ordered=False``
+    skips that local sort for consumers that do not publish.
     """
     produced = as_produced(events)
-    return (
-        produced.select(
-            F.col("store_id").alias("key"),
-            F.to_json(F.struct(*[n for n, _ in EVENT_FIELDS])).alias("value"),
-            F.col("event_time").alias("_t"),
-        )
-        .sortWithinPartitions("key", "_t")
-        .drop("_t")
+    messages = produced.select(
+        F.col("store_id").alias("key"),
+        F.to_json(F.struct(*[n for n, _ in EVENT_FIELDS])).alias("value"),
+        F.col("event_time").alias("_t"),
     )
+    if ordered:
+        messages = messages.sortWithinPartitions("key", "_t")
+    return messages.drop("_t")
+
+
+def resent(df: DataFrame, copies: int = 2) -> DataFrame:
+    """Every row delivered ``copies`` times (a producer retrying every send),
+    from one pass over ``df``."""
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
 
 
 def write_topic(messages: DataFrame, target: str, fmt: str = "files", options: dict | None = None) -> None:
