@@ -103,13 +103,18 @@ def export_csv(
     path: str,
     order_by: list,
     single_file_rows: int = SINGLE_FILE_EXPORT_ROWS,
+    money_columns: tuple[str, ...] = ("total_revenue", "total_revenue_usd"),
 ) -> None:
     """Ordered CSV with a header and comma delimiter.
 
     A range-partitioned sort keeps the global order across part files. When
     the export is proven small it is merged into one file; a big export is
-    never funnelled through one task.
+    never funnelled through one task. Money (already rounded to cents) is
+    written as plain decimals, not in scientific notation.
     """
+    df = df.select(
+        *[F.col(c).cast("decimal(38,2)").alias(c) if c in money_columns else F.col(c) for c in df.columns]
+    )
     ordered = df.orderBy(*order_by)
     small = df.limit(single_file_rows + 1).count() <= single_file_rows
     if small:
