@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cents, line_total, missing_keys
+from ..functions.once import computed_once
 from ..schemas import NEAR_ZERO_LIMIT, QA_SPIKE_THRESHOLD, REQUIRED_KEYS
 
 MISSING_PREFIX = "missing_field:"
@@ -61,13 +62,14 @@ def errors(raw: str = "value") -> Column:
 
 
 def with_errors(events: DataFrame, raw: str = "value") -> DataFrame:
-    return events.withColumn("errors", errors(raw))
+    """Add ``errors``, evaluated once per row even when filtered on and output."""
+    return computed_once(events, "errors", errors(raw))
 
 
 def missing_field_rows(events: DataFrame, raw: str = "value") -> DataFrame:
-    m = missing_fields(raw)
-    return events.filter(F.size(m) > 0).select(
-        "transaction_id", F.concat_ws(",", m).alias("missing_fields")
+    m = computed_once(events, "_missing", missing_fields(raw))
+    return m.filter(F.size("_missing") > 0).select(
+        "transaction_id", F.concat_ws(",", "_missing").alias("missing_fields")
     )
 
 
