@@ -135,7 +135,7 @@ def main(argv: list[str] | None = None) -> None:
         kpis.withColumn("total_transactions", F.format_number("total_transactions", 0)).show(truncate=False)
     elif a.job == "export":
         for name, df in tables.items():
-            keys = [F.col(k).asc_nulls_last() for k in G._KEYS[name]]
+            keys = [F.col(k).asc_nulls_last() for k in G.KEYS[name]]
             L.export_csv(df, f"{a.out.rstrip('/')}/{name}", [F.col("total_transactions").desc(), *keys])
 
 

@@ -18,7 +18,7 @@ PRODUCTS = "top_products"
 STORE = "revenue_by_store"
 GOLD_TABLES = (COUNTRY, PRODUCTS, STORE)
 
-_KEYS = {
+KEYS = {
     COUNTRY: ["country", "currency"],
     PRODUCTS: ["product_name"],
     STORE: ["store_id", "country"],
@@ -42,11 +42,11 @@ def _measures():
 
 def sort_gold(df: DataFrame, name: str, measure: str | None = None) -> DataFrame:
     m = measure or _SORT_MEASURE[name]
-    return df.orderBy(F.col(m).desc(), *[F.col(k).asc_nulls_last() for k in _KEYS[name]])
+    return df.orderBy(F.col(m).desc(), *[F.col(k).asc_nulls_last() for k in KEYS[name]])
 
 
 def gold_table(silver: DataFrame, name: str, sort: bool = True) -> DataFrame:
-    out = silver.groupBy(*_KEYS[name]).agg(*_measures()).select(*_COLUMNS[name])
+    out = silver.groupBy(*KEYS[name]).agg(*_measures()).select(*_COLUMNS[name])
     return sort_gold(out, name) if sort else out
 
 
@@ -69,7 +69,7 @@ def gold_all(silver: DataFrame) -> DataFrame:
     total_revenue, total_transactions. Keys a table does not group by are null.
     """
     grouped = silver.groupingSets(
-        [_KEYS[COUNTRY], _KEYS[PRODUCTS], _KEYS[STORE]],
+        [KEYS[COUNTRY], KEYS[PRODUCTS], KEYS[STORE]],
         "country",
         "currency",
         "product_name",

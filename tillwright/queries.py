@@ -277,7 +277,7 @@ def _csv(name: str) -> Query:
         L.export_csv(
             L.read_gold(spark, root, name),
             out,
-            [F.col("total_transactions").desc(), *[F.col(k).asc_nulls_last() for k in G._KEYS[name]]],
+            [F.col("total_transactions").desc(), *[F.col(k).asc_nulls_last() for k in G.KEYS[name]]],
         )
         return L.read_csv(spark, out, GOLD_SCHEMAS[name])
 
