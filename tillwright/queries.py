@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from .config import scratch_path
+from .functions import line_total as exact_line_total
 from .operators import clean as C
 from .operators import dedup as D
 from .operators import enrich as E
@@ -22,7 +22,7 @@ from .operators import quality as Q
 from .operators import reports as R
 from .operators.parse import parse_events, with_event_time, with_processed_time
 from .plans import lake as L
-from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS
+from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, MESSAGE_SCHEMA, PARSED_FIELDS
 from .sources.dims import fx_dim, product_dim, store_dim
 from .sources.ledger import bronze_rows, ledger
 from .sources.topic import read_events, resent, to_messages, write_topic
@@ -141,10 +141,11 @@ def silver_reject_summary(spark, sf_dir):
 
 
 def line_total(spark, sf_dir):
-    from .functions import line_total as lt
-
     return bronze_rows(spark, sf_dir).select(
-        "transaction_id", "unit_price", "quantity", lt("unit_price", "quantity").cast("double").alias("line_total")
+        "transaction_id",
+        "unit_price",
+        "quantity",
+        exact_line_total("unit_price", "quantity").cast("double").alias("line_total"),
     )
 
 
@@ -314,10 +315,9 @@ def stream_restart(spark, sf_dir):
 
 def stream_tail(spark, sf_dir):
     """Tail started before any event exists sees exactly the events that arrive."""
-    from .schemas import MESSAGE_SCHEMA
-
     topic = scratch_path(spark, "topic")
-    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(topic)
+    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields])
+    empty.write.parquet(topic)
     sink, ckpt = scratch_path(spark, "tail"), scratch_path(spark, "ckpt-tail")
 
     def run():
