@@ -77,3 +77,16 @@ def test_stream_dedup_drops_resent_events(spark):
     assert got.count() == ids
     expected = parse_events(read_events_batch(spark, topic)).filter("transaction_id IS NOT NULL")
     assert ids == expected.select("transaction_id").distinct().count()
+
+
+def test_console_tail_prints_parsed_events(spark, capfd):
+    import json
+
+    from tillwright.schemas import MESSAGE_SCHEMA
+
+    topic = scratch_path(spark, "t-console")
+    rows = [("R1", json.dumps({"transaction_id": f"c{i}", "store_id": "R1", "quantity": i})) for i in range(3)]
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).write.parquet(topic)
+    q = S.start_console(S.bronze_stream(read_events(spark, topic)), scratch_path(spark, "t-ckpt"), available_now=True)
+    S.run_until_done(q)
+    assert q.lastProgress["numInputRows"] == 3
