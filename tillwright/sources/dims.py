@@ -22,14 +22,11 @@ def store_code(key: Column) -> Column:
 
 def fx_dim(spark: SparkSession) -> DataFrame:
     """currency, rate (units per USD), fx_id (position, used to assign nations)."""
-    rows = F.array(
-        *[
-            F.struct(F.lit(i).alias("fx_id"), F.lit(cur).alias("currency"), F.lit(rate).cast(RATE).alias("rate"))
-            for i, (cur, rate) in enumerate(FX_RATES)
-        ]
+    values = ", ".join(
+        f"({i}, '{cur}', CAST('{rate}' AS {RATE.simpleString()}))" for i, (cur, rate) in enumerate(FX_RATES)
     )
-    # A JVM-side literal relation: no Python worker is involved in reading it.
-    return spark.range(1).select(F.inline(rows))
+    # A literal relation built in the JVM (no Python worker reads it).
+    return spark.sql(f"SELECT * FROM VALUES {values} AS fx(fx_id, currency, rate)")
 
 
 def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
