@@ -90,3 +90,15 @@ def test_console_tail_prints_parsed_events(spark, capfd):
     q = S.start_console(S.bronze_stream(read_events(spark, topic)), scratch_path(spark, "t-ckpt"), available_now=True)
     S.run_until_done(q)
     assert q.lastProgress["numInputRows"] == 3
+
+
+def test_one_streaming_query_keeps_all_three_gold_tables(spark):
+    topic = _topic(spark)
+    root, ckpt = scratch_path(spark, "t-live-all"), scratch_path(spark, "t-ckpt")
+    stream = S.silver_stream(read_events(spark, topic, max_files_per_trigger=2))
+    S.run_until_done(S.start_live_gold_all(stream, root, ckpt, available_now=True))
+    silver = C.silver(parse_events(read_events_batch(spark, topic)), stamp=False)
+    for name in G.GOLD_TABLES:
+        live = L.read_gold(spark, root, name)
+        cols = live.columns
+        assert _rows(live, cols) == _rows(G.gold_table(silver, name), cols), name

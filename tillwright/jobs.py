@@ -7,7 +7,7 @@
     python -m tillwright.jobs gold      --silver PATH --gold-root PATH
     python -m tillwright.jobs report    --gold-root PATH
     python -m tillwright.jobs export    --gold-root PATH --out DIR
-    python -m tillwright.jobs live-gold --topic PATH --gold-root PATH --table NAME [--once]
+    python -m tillwright.jobs live-gold --topic PATH --gold-root PATH [--table all|NAME] [--once]
 
 The session comes from the cluster (``spark-submit`` / defaults); nothing
 here sets a master. Checkpoints default to sub-folders of the shared
@@ -83,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("live-gold", help="topic -> continuously refreshed gold table")
     topic_args(p)
     p.add_argument("--gold-root", required=True)
-    p.add_argument("--table", required=True, choices=list(G.GOLD_TABLES))
+    p.add_argument("--table", default="all", choices=["all", *G.GOLD_TABLES])
 
     p = sub.add_parser("gold", help="silver -> the three gold tables (one scan)")
     p.add_argument("--silver", required=True)
@@ -113,6 +113,11 @@ def main(argv: list[str] | None = None) -> None:
             q = S.start_file_sink(S.bronze_stream(messages, full=a.full), a.out, ckpt, available_now=a.once, interval=a.interval)
         elif a.job == "silver":
             q = S.start_file_sink(S.silver_stream(messages), a.out, ckpt, available_now=a.once, interval=a.interval)
+        elif a.table == "all":
+            q = S.start_live_gold_all(
+                S.silver_stream(messages), a.gold_root, ckpt, available_now=a.once,
+                interval=a.interval or S.DEFAULT_TRIGGER,
+            )
         else:
             q = S.start_live_gold(
                 S.silver_stream(messages), a.table, a.gold_root, ckpt, available_now=a.once,

@@ -327,6 +327,7 @@ QUERIES: dict[str, str] = {
     "stream_gold_country": _GOLD_COUNTRY,
     "stream_gold_products": _GOLD_PRODUCTS,
     "stream_gold_store": _GOLD_STORE,
+    "stream_gold_all": _GOLD_TAGGED,
     "stream_dedup": _dedup("typed", _BRONZE_COLS),
     # --- silver ---------------------------------------------------------
     "silver_clean": _q(f"SELECT {_SILVER_COLS} FROM silver"),

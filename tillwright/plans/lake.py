@@ -59,17 +59,22 @@ def _version() -> str:
 
 
 def publish_gold(silver: DataFrame, gold_root: str) -> str:
-    """Compute all gold tables from ONE scan of silver and publish them.
+    """Compute all gold tables from ONE scan of silver and publish them."""
+    return publish_tagged(G.gold_all(silver), gold_root)
 
-    The grouping-sets result is written once (a lineage cut in the shared
-    folder); the three tables are cut from that small copy, sorted, written
-    to new version folders and committed through the manifest.
+
+def publish_tagged(tagged_result: DataFrame, gold_root: str, version: str | None = None) -> str:
+    """Publish the three gold tables from one tagged (grouping-sets) result.
+
+    The result is written once (a lineage cut in the shared folder); the
+    three tables are cut from that small copy, sorted, written to new version
+    folders and committed through the manifest.
     """
-    spark = silver.sparkSession
+    spark = tagged_result.sparkSession
     root = gold_root.rstrip("/")
-    version = _version()
+    version = version or _version()
     stage = f"{root}/_stage/v={version}"
-    G.gold_all(silver).write.parquet(stage)
+    tagged_result.write.parquet(stage)
     tagged = spark.read.parquet(stage)
     for name in G.GOLD_TABLES:
         G.split_gold(tagged, name).write.parquet(f"{root}/{name}/v={version}")

@@ -349,6 +349,15 @@ def _stream_gold(name: str) -> Query:
     return run
 
 
+def stream_gold_all(spark, sf_dir):
+    """The three gold tables kept live by one streaming aggregation."""
+    topic = _topic(spark, sf_dir)
+    root, ckpt = scratch_path(spark, "live-gold-all"), scratch_path(spark, "ckpt-gold-all")
+    stream = S.silver_stream(read_events(spark, topic))
+    S.run_until_done(S.start_live_gold_all(stream, root, ckpt, available_now=True))
+    return G.tagged_gold({n: L.read_gold(spark, root, n) for n in G.GOLD_TABLES})
+
+
 def stream_dedup(spark, sf_dir):
     """Every event published twice; the watermark dedup keeps one per id."""
     topic = _topic(spark, sf_dir, copies=2)
@@ -412,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "stream_gold_country": _stream_gold(G.COUNTRY),
     "stream_gold_products": _stream_gold(G.PRODUCTS),
     "stream_gold_store": _stream_gold(G.STORE),
+    "stream_gold_all": stream_gold_all,
     "stream_dedup": stream_dedup,
     # silver, gold, reports
     "silver_clean": silver_clean,

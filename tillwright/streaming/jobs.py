@@ -104,6 +104,29 @@ def start_live_gold(
     return _trigger(writer, available_now, interval).start()
 
 
+def start_live_gold_all(
+    silver: DataFrame,
+    gold_root: str,
+    checkpoint: str,
+    available_now: bool = False,
+    interval: str | None = DEFAULT_TRIGGER,
+) -> StreamingQuery:
+    """All three gold tables from ONE streaming aggregation (grouping sets):
+    one read of the topic and one state store instead of three. Every
+    trigger publishes a complete new version of each table."""
+    from ..plans.lake import publish_tagged
+
+    writer = (
+        G.gold_all(silver)
+        .writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(
+            lambda batch, batch_id: publish_tagged(batch, gold_root, f"{batch_id:012d}-{uuid.uuid4().hex[:8]}")
+        )
+    )
+    return _trigger(writer, available_now, interval).start()
+
+
 def dedup_stream(typed: DataFrame, delay: str = "1 hour", key: str = "transaction_id") -> DataFrame:
     """Drop re-sent events: state per id lives until the watermark passes
     ``event_time + delay``. Rows without an id are dropped; rows without an
