@@ -133,3 +133,16 @@ def test_decimal_sum_does_not_depend_on_partitioning(spark):
     one = G.revenue_by_country(spark.createDataFrame(vals, schema).coalesce(1)).collect()
     many = G.revenue_by_country(spark.createDataFrame(vals, schema).repartition(37)).collect()
     assert one == many and one[0].total_revenue == 100.0
+
+
+def test_dashboard_frames_from_gold(spark):
+    silver = spark.createDataFrame(
+        [("t1", "R1", "a", 10.0, "X", "USD"), ("t2", "R1", "b", 5.0, "X", "USD"), ("t3", "R2", "a", 1.0, "Y", "EUR")],
+        "transaction_id string, store_id string, product_name string, total_amount double, country string, currency string",
+    )
+    tables = {n: G.gold_table(silver, n, sort=False) for n in G.GOLD_TABLES}
+    frames = R.dashboard_frames(tables)
+    k = frames["kpis"].collect()[0]
+    assert (k.total_transactions, k.total_countries, k.best_product, k.busiest_store) == (3, 2, "a", "R1")
+    assert [r.product_name for r in frames["top_products_bars"].collect()] == ["a", "b"]
+    assert [r.store_id for r in frames["raw_revenue_by_store"].collect()] == ["R1", "R2"]

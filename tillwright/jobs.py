@@ -133,10 +133,11 @@ def main(argv: list[str] | None = None) -> None:
 
     tables = {n: L.read_gold(spark, a.gold_root, n) for n in G.GOLD_TABLES}
     if a.job == "report":
-        R.report_revenue_by_country(tables[G.COUNTRY]).show(truncate=False)
-        R.report_top_products(tables[G.PRODUCTS], 10).show(truncate=False)
-        R.report_top_stores(tables[G.STORE]).show(50, truncate=False)
-        kpis = R.kpi_row(G.tagged_gold(tables))
+        frames = R.dashboard_frames(tables)
+        for name in ("country_bars", "top_products_bars", "store_bars"):
+            print(name)
+            frames[name].show(50, truncate=False)
+        kpis = frames["kpis"]
         kpis.withColumn("total_transactions", F.format_number("total_transactions", 0)).show(truncate=False)
     elif a.job == "export":
         for name, df in tables.items():

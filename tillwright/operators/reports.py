@@ -85,3 +85,24 @@ def kpi_row(tagged: DataFrame) -> DataFrame:
             only(STORE, F.struct(neg.alias("neg"), F.col("store_id").alias("k"))),
         ).alias("busiest_store"),
     )
+
+
+def dashboard_frames(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Everything the dashboard shows, from the three gold tables.
+
+    KPI cards, country bars, top-10 product bars, store bars (with country)
+    and the three raw tables, each ordered by transactions as the dashboard
+    reads them. Only these aggregated frames ever reach a client.
+    """
+    from .gold import tagged_gold
+
+    by_tx = F.col("total_transactions").desc()
+    return {
+        "kpis": kpi_row(tagged_gold(tables)),
+        "country_bars": report_revenue_by_country(tables[COUNTRY]),
+        "top_products_bars": report_top_products(tables[PRODUCTS], 10),
+        "store_bars": report_top_stores(tables[STORE]),
+        "raw_revenue_by_country": tables[COUNTRY].orderBy(by_tx, F.col("country").asc_nulls_last(), F.col("currency").asc_nulls_last()),
+        "raw_top_products": tables[PRODUCTS].orderBy(by_tx, F.col("product_name").asc_nulls_last()),
+        "raw_revenue_by_store": tables[STORE].orderBy(by_tx, F.col("store_id").asc_nulls_last(), F.col("country").asc_nulls_last()),
+    }
