@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .gold import COUNTRY, PRODUCTS, STORE
+from .gold import COUNTRY, PRODUCTS, STORE, tagged_gold
 
 
 def _rounded():
@@ -94,8 +94,6 @@ def dashboard_frames(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     and the three raw tables, each ordered by transactions as the dashboard
     reads them. Only these aggregated frames ever reach a client.
     """
-    from .gold import tagged_gold
-
     by_tx = F.col("total_transactions").desc()
     return {
         "kpis": kpi_row(tagged_gold(tables)),
