@@ -146,3 +146,25 @@ def test_dashboard_frames_from_gold(spark):
     assert (k.total_transactions, k.total_countries, k.best_product, k.busiest_store) == (3, 2, "a", "R1")
     assert [r.product_name for r in frames["top_products_bars"].collect()] == ["a", "b"]
     assert [r.store_id for r in frames["raw_revenue_by_store"].collect()] == ["R1", "R2"]
+
+
+def test_failure_flag_agrees_with_error_lists_on_the_ledger(spark):
+    from conftest import SF_SMALL
+    from tillwright.queries import queries
+
+    checked = parse_events(
+        queries()["publish_payload"](spark, SF_SMALL), full=True, keep_raw=True
+    )
+    both = Q.with_errors(checked).withColumn("flag", Q.fails_any())
+    disagree = both.filter((F.size("errors") > 0) != F.col("flag")).count()
+    assert disagree == 0
+    assert both.filter("flag").count() > 0
+
+
+def test_computed_once_equals_with_column(spark):
+    from tillwright.functions.once import computed_once
+
+    df = spark.range(100).withColumn("x", F.col("id") % 7)
+    a = computed_once(df, "y", F.col("x") * 2).filter("y > 4").select("id", "y").collect()
+    b = df.withColumn("y", F.col("x") * 2).filter("y > 4").select("id", "y").collect()
+    assert sorted(a) == sorted(b)
