@@ -1,8 +1,8 @@
 """Dimension lookups as joins, and currency normalisation.
 
 Stores and products are joined with ``broadcast_if_small`` (broadcast only
-below a counted row bound, otherwise a shuffle join). FX has nine fixed rows
-and is always broadcast. Unknown currencies fall back to rate 1.0.
+below a counted row bound, otherwise a shuffle join); so is the FX table a
+caller passes in. Unknown currencies fall back to rate 1.0.
 """
 
 from __future__ import annotations
@@ -36,9 +36,13 @@ def enrich_product(events: DataFrame, products: DataFrame) -> DataFrame:
     return events.join(broadcast_if_small(dim), "sku", "left")
 
 
+# A currency table has at most a few hundred rows.
+FX_BROADCAST_ROWS = 10_000
+
+
 def with_rate(events: DataFrame, fx: DataFrame) -> DataFrame:
     """Add ``rate`` (units per USD) by currency; unknown -> 1.0."""
-    dim = F.broadcast(fx.select("currency", F.col("rate").alias("fx_rate")))
+    dim = broadcast_if_small(fx.select("currency", F.col("rate").alias("fx_rate")), FX_BROADCAST_ROWS)
     return (
         events.join(dim, "currency", "left")
         .withColumn("rate", F.coalesce(F.col("fx_rate"), F.lit(FX_DEFAULT_RATE).cast(RATE)))
