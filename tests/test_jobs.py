@@ -28,3 +28,18 @@ def test_publish_bronze_silver_gold_export(spark):
     assert "E" not in text[1].value.split(",")[2]  # plain decimals, no exponent
     counts = [int(r.value.split(",")[3]) for r in text[1:]]
     assert counts == sorted(counts, reverse=True)
+
+
+def test_small_gold_is_one_sorted_file(spark):
+    import glob
+
+    from tillwright.operators import clean as C
+    from tillwright.sources.ledger import bronze_rows
+
+    root = scratch_path(spark, "t-gold-sorted")
+    L.publish_gold(C.silver(bronze_rows(spark, SF_SMALL), stamp=False), root)
+    path = L.current_gold_path(spark, root, G.STORE)
+    files = glob.glob(path.replace("file:", "") + "/*.parquet")
+    assert len(files) == 1
+    revenue = [r.total_revenue for r in spark.read.parquet(path).collect()]
+    assert revenue == sorted(revenue, reverse=True)

@@ -131,7 +131,7 @@ def main(argv: list[str] | None = None) -> None:
         print(f"gold published: version {version}")
         return
 
-    tables = {n: L.read_gold(spark, a.gold_root, n) for n in G.GOLD_TABLES}
+    tables = L.read_gold_tables(spark, a.gold_root)
     if a.job == "report":
         frames = R.dashboard_frames(tables)
         for name in ("country_bars", "top_products_bars", "store_bars"):

@@ -40,9 +40,10 @@ def _measures():
     ]
 
 
-def sort_gold(df: DataFrame, name: str, measure: str | None = None) -> DataFrame:
+def sort_gold(df: DataFrame, name: str, measure: str | None = None, within_partitions: bool = False) -> DataFrame:
     m = measure or _SORT_MEASURE[name]
-    return df.orderBy(F.col(m).desc(), *[F.col(k).asc_nulls_last() for k in KEYS[name]])
+    order = [F.col(m).desc(), *[F.col(k).asc_nulls_last() for k in KEYS[name]]]
+    return df.sortWithinPartitions(*order) if within_partitions else df.orderBy(*order)
 
 
 def gold_table(silver: DataFrame, name: str, sort: bool = True) -> DataFrame:

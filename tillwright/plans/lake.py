@@ -20,6 +20,8 @@ from . import manifest
 
 # Rows per Parquet file in layer writes (bounds file size at any scale).
 MAX_RECORDS_PER_FILE = 5_000_000
+# Largest gold result written as one sorted file per table.
+SINGLE_FILE_GOLD_ROWS = 1_000_000
 # Largest export that is written as one CSV file (ordered); above it the
 # export is several part files whose name order is the sort order.
 SINGLE_FILE_EXPORT_ROWS = 1_000_000
@@ -76,8 +78,14 @@ def publish_tagged(tagged_result: DataFrame, gold_root: str, version: str | None
     stage = f"{root}/_stage/v={version}"
     tagged_result.write.parquet(stage)
     tagged = spark.read.parquet(stage)
+    # Proven-small results are written as one ordered file (no range-sort
+    # sampling job); larger ones keep the distributed range sort.
+    small = tagged.limit(SINGLE_FILE_GOLD_ROWS + 1).count() <= SINGLE_FILE_GOLD_ROWS
     for name in G.GOLD_TABLES:
-        G.split_gold(tagged, name).write.parquet(f"{root}/{name}/v={version}")
+        table = G.split_gold(tagged, name, sort=not small)
+        if small:
+            table = G.sort_gold(table.coalesce(1), name, within_partitions=True)
+        table.write.parquet(f"{root}/{name}/v={version}")
     manifest.commit(spark, root, [(name, version, f"{root}/{name}/v={version}") for name in G.GOLD_TABLES])
     return version
 
@@ -91,6 +99,12 @@ def read_gold(spark: SparkSession, gold_root: str, name: str) -> DataFrame:
     return spark.read.schema(GOLD_SCHEMAS[name]).parquet(current_gold_path(spark, gold_root, name))
 
 
+def read_gold_tables(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
+    """All current gold tables, resolved with one manifest read."""
+    paths = manifest.current_paths(spark, gold_root)
+    return {n: spark.read.schema(GOLD_SCHEMAS[n]).parquet(paths[n]) for n in G.GOLD_TABLES}
+
+
 def read_gold_glob(spark: SparkSession, gold_root: str, name: str) -> DataFrame:
     """Glob scan of a table's Parquet files (``<version>/*.parquet``)."""
     return spark.read.parquet(current_gold_path(spark, gold_root, name) + "/*.parquet")

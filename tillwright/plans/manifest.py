@@ -42,3 +42,14 @@ def current_path(spark: SparkSession, root: str, table: str) -> str:
     if row is None:
         raise FileNotFoundError(f"no committed version of {table!r} under {root}")
     return row["path"]
+
+
+def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """Latest committed folder of every table, from one read of the manifest."""
+    latest = (
+        spark.read.parquet(f"{root.rstrip('/')}/_manifest")
+        .groupBy("gold_table")
+        .agg(F.max_by("path", F.struct("committed_at", "version")).alias("path"))
+        .collect()
+    )
+    return {r["gold_table"]: r["path"] for r in latest}

@@ -260,7 +260,7 @@ def gold_roundtrip(spark, sf_dir):
     """Publish twice; readers see exactly the latest version, never a mix."""
     root = _published(spark, sf_dir)
     L.publish_gold(_silver(spark, sf_dir), root)
-    return G.tagged_gold({n: L.read_gold(spark, root, n) for n in G.GOLD_TABLES})
+    return G.tagged_gold(L.read_gold_tables(spark, root))
 
 
 def gold_views(spark, sf_dir):
@@ -355,7 +355,7 @@ def stream_gold_all(spark, sf_dir):
     root, ckpt = scratch_path(spark, "live-gold-all"), scratch_path(spark, "ckpt-gold-all")
     stream = S.silver_stream(read_events(spark, topic))
     S.run_until_done(S.start_live_gold_all(stream, root, ckpt, available_now=True))
-    return G.tagged_gold({n: L.read_gold(spark, root, n) for n in G.GOLD_TABLES})
+    return G.tagged_gold(L.read_gold_tables(spark, root))
 
 
 def stream_dedup(spark, sf_dir):
