@@ -90,6 +90,27 @@ def publish_tagged(tagged_result: DataFrame, gold_root: str, version: str | None
     return version
 
 
+def publish_table(result: DataFrame, gold_root: str, name: str, version: str | None = None) -> str:
+    """Publish one gold table from a result computed exactly once.
+
+    The result (e.g. a streaming micro-batch, which must not be re-executed)
+    is written to the stage folder first; the sorted table is written from
+    that copy and committed through the manifest.
+    """
+    spark = result.sparkSession
+    root = gold_root.rstrip("/")
+    version = version or _version()
+    stage = f"{root}/_stage/{name}/v={version}"
+    result.write.parquet(stage)
+    staged = spark.read.parquet(stage)
+    small = staged.limit(SINGLE_FILE_GOLD_ROWS + 1).count() <= SINGLE_FILE_GOLD_ROWS
+    table = G.sort_gold(staged.coalesce(1), name, within_partitions=True) if small else G.sort_gold(staged, name)
+    path = f"{root}/{name}/v={version}"
+    table.write.parquet(path)
+    manifest.commit(spark, root, [(name, version, path)])
+    return version
+
+
 def current_gold_path(spark: SparkSession, gold_root: str, name: str) -> str:
     """Folder of the latest committed version of one gold table."""
     return manifest.current_path(spark, gold_root, name)

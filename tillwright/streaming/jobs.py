@@ -18,7 +18,6 @@ from ..functions.timeparse import EPOCH_NTZ
 from ..operators import clean as C
 from ..operators import gold as G
 from ..operators.parse import parse_events, with_event_time
-from ..plans import manifest
 
 DEFAULT_TRIGGER = "30 seconds"
 
@@ -77,12 +76,9 @@ def live_gold(silver: DataFrame, name: str) -> DataFrame:
 
 
 def _commit_version(batch: DataFrame, gold_root: str, name: str, batch_id: int) -> None:
-    spark = batch.sparkSession
-    root = gold_root.rstrip("/")
-    version = f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
-    path = f"{root}/{name}/v={version}"
-    G.sort_gold(batch, name).write.parquet(path)
-    manifest.commit(spark, root, [(name, version, path)])
+    from ..plans.lake import publish_table
+
+    publish_table(batch, gold_root, name, f"{batch_id:012d}-{uuid.uuid4().hex[:8]}")
 
 
 def start_live_gold(
