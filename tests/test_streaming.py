@@ -102,3 +102,33 @@ def test_one_streaming_query_keeps_all_three_gold_tables(spark):
         live = L.read_gold(spark, root, name)
         cols = live.columns
         assert _rows(live, cols) == _rows(G.gold_table(silver, name), cols), name
+
+
+def test_dedup_across_micro_batches_within_the_watermark(spark):
+    import json
+
+    from tillwright.schemas import MESSAGE_SCHEMA
+
+    def msgs(ids, minute):
+        return spark.createDataFrame(
+            [
+                ("R1", json.dumps({"transaction_id": t, "event_time": f"2026-03-28T10:{minute:02d}:00+00:00", "store_id": "R1"}))
+                for t in ids
+            ],
+            MESSAGE_SCHEMA,
+        )
+
+    topic = scratch_path(spark, "t-dedup-topic")
+    sink, ckpt = scratch_path(spark, "t-dedup-sink"), scratch_path(spark, "t-ckpt")
+
+    def run():
+        stream = S.dedup_stream(S.typed_stream(read_events(spark, topic)), delay="1 hour")
+        S.run_until_done(S.start_file_sink(stream, sink, ckpt, partition_by=(), available_now=True))
+
+    msgs(["a", "b", "c"], 0).write.mode("append").parquet(topic)
+    run()
+    # re-sends of a and b ten minutes later, plus a new id: within the delay
+    msgs(["a", "b", "d"], 10).write.mode("append").parquet(topic)
+    run()
+    got = sorted(r.transaction_id for r in spark.read.parquet(sink).collect())
+    assert got == ["a", "b", "c", "d"]
