@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
@@ -79,3 +80,26 @@ def test_each_message_is_parsed_once(spark):
 def test_qa_error_list_is_evaluated_once(spark):
     plan = entry.queries()["dq_errors"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("jsonObjectKeys(") == 1
+
+
+def test_no_python_udf_in_streaming_operators(spark):
+    from tillwright.config import scratch_path
+    from tillwright.schemas import MESSAGE_SCHEMA
+    from tillwright.sources.topic import read_events
+    from tillwright.streaming import jobs as S
+
+    topic = scratch_path(spark, "t-plan-topic")
+    spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields]).write.parquet(topic)
+    msgs = read_events(spark, topic)
+    frames = {
+        "bronze": S.bronze_stream(msgs, full=True),
+        "silver": S.silver_stream(msgs),
+        "live_gold": S.live_gold(S.silver_stream(msgs), G.STORE),
+        "live_gold_all": G.gold_all(S.silver_stream(msgs)),
+        "dedup": S.dedup_stream(S.typed_stream(msgs)),
+    }
+    for name, df in frames.items():
+        assert df.isStreaming, name
+        plan = df._jdf.queryExecution().analyzed().toString()
+        for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in plan, name
