@@ -76,3 +76,26 @@ def test_silver_write_spreads_a_hot_country(spark):
     assert L.read_silver(spark, path).filter(F.col("country") == "HOTLAND").count() == (
         C.silver(_hot(spark), stamp=False).filter(F.col("country") == "HOTLAND").count()
     )
+
+
+def test_stream_dedup_spreads_a_hot_id(spark):
+    import json
+
+    from tillwright.schemas import MESSAGE_SCHEMA
+    from tillwright.sources.topic import read_events
+    from tillwright.streaming import jobs as S
+
+    def doc(t):
+        return json.dumps({"transaction_id": t, "event_time": "2026-03-28T10:00:00+00:00", "store_id": "R1"})
+
+    rows = [("R1", doc(f"t{i}")) for i in range(600)] + [("R1", doc("HOT"))] * 300
+    topic = scratch_path(spark, "t-hot-topic")
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).repartition(6).write.parquet(topic)
+    sink, ckpt = scratch_path(spark, "t-hot-sink"), scratch_path(spark, "t-ckpt")
+    stream = S.dedup_stream(S.typed_stream(read_events(spark, topic)))
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert plan.count("DeduplicateWithinWatermark") == 2
+    S.run_until_done(S.start_file_sink(stream, sink, ckpt, partition_by=(), available_now=True))
+    got = spark.read.parquet(sink)
+    assert got.count() == 601
+    assert got.filter(F.col("transaction_id") == "HOT").count() == 1

@@ -123,16 +123,33 @@ def start_live_gold_all(
     return _trigger(writer, available_now, interval).start()
 
 
-def dedup_stream(typed: DataFrame, delay: str = "1 hour", key: str = "transaction_id") -> DataFrame:
+# Buckets a single id's copies are spread over before the final per-id dedup.
+DEDUP_SPREAD = 8
+
+
+def dedup_stream(
+    typed: DataFrame, delay: str = "1 hour", key: str = "transaction_id", spread: int = DEDUP_SPREAD
+) -> DataFrame:
     """Drop re-sent events: state per id lives until the watermark passes
     ``event_time + delay``. Rows without an id are dropped; rows without an
-    event time cannot be bounded in state and pass through unchanged."""
+    event time cannot be bounded in state and pass through unchanged.
+
+    Two chained dedups keep a hot id from landing in one task: the first is
+    keyed by (id, random bucket) and spreads one id's copies over ``spread``
+    tasks, leaving at most ``spread`` of them; the second, keyed by id, then
+    sees at most that many rows per id.
+    """
     with_id = typed.filter(F.col(key).isNotNull())
     timed = with_id.filter(F.col("event_time").isNotNull()).withColumn("_instant", event_instant("event_time"))
     untimed = with_id.filter(F.col("event_time").isNull())
-    deduped = (
-        timed.withWatermark("_instant", delay).dropDuplicatesWithinWatermark([key]).drop("_instant")
-    )
+    marked = timed.withWatermark("_instant", delay)
+    if spread > 1:
+        marked = (
+            marked.withColumn("_bucket", (F.rand() * spread).cast("int"))
+            .dropDuplicatesWithinWatermark([key, "_bucket"])
+            .drop("_bucket")
+        )
+    deduped = marked.dropDuplicatesWithinWatermark([key]).drop("_instant")
     return deduped.unionByName(untimed)
 
 
