@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -81,3 +82,35 @@ def test_usd_conversion_is_exact_half_up(spark, rows):
     for (tid, cur, amount), (cents, _) in zip(data, rows):
         exact = (Decimal(cents) / 100 / rates.get(cur, Decimal("1.0"))).quantize(Decimal("0.01"), ROUND_HALF_UP)
         assert got[tid] == float(exact), (tid, cur, amount)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    stamps=st.lists(
+        st.tuples(
+            st.datetimes(min_value=dt.datetime(1971, 1, 1), max_value=dt.datetime(2099, 12, 31)),
+            st.integers(min_value=-48, max_value=56),  # offset in quarter hours
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_event_time_parsing_is_utc_and_zone_independent(spark, stamps):
+    from tillwright.functions import parse_event_time
+
+    texts = [
+        local.replace(tzinfo=dt.timezone(dt.timedelta(minutes=15 * q))).isoformat() for local, q in stamps
+    ]
+    expected = [
+        local.replace(tzinfo=dt.timezone(dt.timedelta(minutes=15 * q))).astimezone(dt.timezone.utc).replace(tzinfo=None)
+        for local, q in stamps
+    ]
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")  # a zone with daylight saving
+    try:
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+        got = {r.i: r.ts for r in df.select("i", parse_event_time("t").alias("ts")).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert [got[i] for i in range(len(texts))] == expected
