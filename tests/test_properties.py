@@ -114,3 +114,30 @@ def test_event_time_parsing_is_utc_and_zone_independent(spark, stamps):
     finally:
         spark.conf.set(key, before)
     assert [got[i] for i in range(len(texts))] == expected
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    rows=st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.sampled_from(["t1", "t2", "t3"])),
+            st.one_of(st.none(), st.sampled_from(["R1", "R2"])),
+            st.sampled_from(["p", "q"]),
+            st.integers(min_value=1, max_value=10**7).map(lambda c: c / 100.0),
+            st.one_of(st.none(), st.sampled_from(["US", "JP"])),
+            st.one_of(st.none(), st.sampled_from(["USD", "JPY"])),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_one_scan_gold_equals_separate_aggregations_with_null_keys(spark, rows):
+    from tillwright.operators import gold as G
+
+    schema = "transaction_id string, store_id string, product_name string, total_amount double, country string, currency string"
+    silver = spark.createDataFrame(rows, schema)
+    tagged = G.gold_all(silver)
+    for name in G.GOLD_TABLES:
+        one = sorted(map(tuple, G.split_gold(tagged, name, sort=False).collect()), key=repr)
+        sep = sorted(map(tuple, G.gold_table(silver, name, sort=False).collect()), key=repr)
+        assert one == sep, name
