@@ -106,14 +106,12 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.col("h")
     normal = F.floor((F.col("base_cents") * F.col("rate_e4") + 5000) / 10000).cast("long")
     price = normal * F.col("price_mult") + F.col("price_add")
-    total = F.col("price") * F.col("qty") + F.col("total_add")
+    total = price * F.col("qty") + F.col("total_add")
     txn_id = F.concat_ws(
         "-",
         *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
     )
-
-    staged = joined.select(
-        "h",
+    return joined.select(
         F.when(h == 5, F.lit(None).cast("string")).otherwise(txn_id).alias("transaction_id"),
         F.col("l_shipdate").alias("event_time"),
         store_code(F.col("l_suppkey")).alias("store_id"),
@@ -123,33 +121,13 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("region"),
         "currency",
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
-        F.when(h == 4, F.lit(None).cast("string"))
-        .otherwise(F.col("product_name"))
-        .alias("product_name"),
+        F.when(h == 4, F.lit(None).cast("string")).otherwise(F.col("product_name")).alias("product_name"),
         "category",
-        price.alias("price"),
-        "qty",
-        "total_add",
-        F.col("o_orderpriority").alias("payment_method"),
-        F.col("c_mktsegment").alias("customer_type"),
-    )
-    return staged.select(
-        "transaction_id",
-        "event_time",
-        "store_id",
-        "store_name",
-        "city",
-        "country",
-        "region",
-        "currency",
-        "sku",
-        "product_name",
-        "category",
-        cents_to_double(F.col("price")).alias("unit_price"),
+        cents_to_double(price).alias("unit_price"),
         F.col("qty").alias("quantity"),
         cents_to_double(total).alias("total_amount"),
-        "payment_method",
-        "customer_type",
+        F.col("o_orderpriority").alias("payment_method"),
+        F.col("c_mktsegment").alias("customer_type"),
         (h <= 2).alias("is_fraud_flag"),
         F.lit("1.0.0").alias("producer_version"),
     )
@@ -170,7 +148,7 @@ def bronze_rows(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFra
 
     ``full=False`` gives the writers' 9 fields; ``full=True`` all 18.
     """
-    produced = as_produced(ledger(spark, sf_dir))
-    if full:
-        return produced.select(*[n for n, _ in EVENT_FIELDS])
-    return produced.select(*PARSED_FIELDS)
+    names = [n for n, _ in EVENT_FIELDS] if full else PARSED_FIELDS
+    return ledger(spark, sf_dir).select(
+        *[iso_event_time(F.col(n)).alias(n) if n == "event_time" else F.col(n) for n in names]
+    )
