@@ -22,9 +22,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function, schema, rows: int = ARROW_ROWS) -> DataFrame:
     """``mapInArrow`` with batches small enough for long texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return df.mapInArrow(function, schema)
 
 
@@ -113,3 +113,17 @@ def ranked(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name:
         .withColumn("rank", (F.col("_at") + F.col("_shift")).cast("bigint"))
         .drop("_part", "_at", "_p", "_shift", *[f"_g_{g}" for g in group])
     )
+
+
+def appended(df: DataFrame, function, added: str) -> DataFrame:
+    """All columns of ``df`` (those that ``added`` names anew are replaced)
+    and the columns ``added`` (DDL), which ``function`` appends to each Arrow batch."""
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    new = _parse_datatype_string(added)
+    kept = df.drop(*[f.name for f in new.fields])
+    return map_batches(kept, function, StructType([*kept.schema.fields, *new.fields]))
+
+
+def with_arrays(batch: pa.RecordBatch, **arrays: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, *arrays.values()], [*batch.schema.names, *arrays])

@@ -45,11 +45,11 @@ def _byte_values() -> np.ndarray:
     return values
 
 
-def _pieces(data: np.ndarray, breaks: np.ndarray) -> list[tuple[int, int]]:
-    """Cuts of the buffer of about PIECE bytes at places outside words. ``breaks``: sorted such places."""
+def _pieces(n: int, breaks: np.ndarray) -> list[tuple[int, int]]:
+    """Cuts of n elements into about PIECE each, at places of ``breaks`` (sorted)."""
     out, start = [], 0
-    while start < len(data):
-        end = len(data)
+    while start < n:
+        end = n
         if end - start > PIECE:
             k = int(np.searchsorted(breaks, start + PIECE, side="right"))
             if k and breaks[k - 1] > start:
@@ -61,6 +61,22 @@ def _pieces(data: np.ndarray, breaks: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the spans (in order, not overlapping) of ``data``;
+    ``values``: what each element of data stands for."""
+    hashes = np.empty(len(starts), np.uint64)
+    with np.errstate(over="ignore"):
+        for a, b in _pieces(len(data), starts):
+            i, j = np.searchsorted(starts, [a, b])
+            up, down = _powers(1 << max(16, int(b - a).bit_length()))
+            part = data[a:b] if values is None else values[data[a:b]]
+            sums = np.zeros(b - a + 1, np.uint64)
+            np.cumsum(part * up[: b - a], dtype=np.uint64, out=sums[1:])
+            s, e = starts[i:j] - a, ends[i:j] - a
+            hashes[i:j] = (sums[e] - sums[s]) * down[s]
+        return mixed(hashes + (ends - starts).astype(np.uint64) * _ODD)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, starts, ends, first): hash and byte span of each word, A-Z
     read as a-z; ``first[i]:first[i + 1]`` are the words of text i."""
@@ -77,18 +93,7 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.n
     after[-1], after[:-1] = False, inside[1:]
     after[offsets[offsets > 0] - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
-    values, hashes = _byte_values(), np.empty(len(starts), np.uint64)
-    breaks = np.union1d(starts, edges) if len(data) > PIECE else starts
-    with np.errstate(over="ignore"):
-        for a, b in _pieces(data, breaks):
-            i, j = np.searchsorted(starts, [a, b])
-            size = 1 << max(16, int(b - a).bit_length())
-            up, down = _powers(size)
-            sums = np.zeros(b - a + 1, np.uint64)
-            np.cumsum(values[data[a:b]] * up[: b - a], dtype=np.uint64, out=sums[1:])
-            s, e = starts[i:j] - a, ends[i:j] - a
-            hashes[i:j] = (sums[e] - sums[s]) * down[s]
-        hashes = mixed(hashes + (ends - starts).astype(np.uint64) * _ODD)
+    hashes = span_hashes(data, starts, ends, _byte_values())
     return hashes, starts, ends, np.searchsorted(starts, offsets)
 
 
