@@ -3,17 +3,21 @@
 A text's set holds the hashes of its distinct 5-word shingles. Two small
 collections of half keys (``HALVES`` each, of ``WIDTH`` minhashes) are
 computed per set, and every pair of one left and one right half key is a
-table key: 16 + 16 half keys stand for 256 tables of 4 minhashes, from 64
-minhashes instead of 1,024. At similarity 0.75 a pair meets in no table with
-probability 4e-6 (``2 * (1 - 0.75**2)**16``).
+table key: 24 + 24 half keys stand for 576 tables of 6 minhashes, from 144
+minhashes instead of 3,456. At similarity 0.75 a pair meets in no table with
+probability 4e-6 (``2 * (1 - 0.75**3)**24``).
 
 Only half keys that several sets share are paired, as a table key can be
-shared only if both its halves are. Pairs of one bucket are confirmed on the
-full sets, round by round: first against the bucket's smallest member, then
-only between members that are not yet in one component. A bucket whose
-members lie in one component is closed. In a bucket with many small
-components, each round confirms ``ROUND`` members against all others and
-retires them, so a round's pairs grow with the members, and no pair is lost.
+shared only if both its halves are; and half keys shared by the very same sets
+are paired once, as their tables have the same members. In each bucket all
+members are confirmed on the full sets against its centre, the member whose
+half keys are shared most. A bucket whose members then lie in one component is
+closed. What other buckets hold goes an exact way: a set can have a link to
+another component only if 75 % of its shingles occur in other components;
+sets that pass are gathered in clusters (joined by common left half keys), and
+all sets of a cluster are compared in blocks of ``BLOCK`` times ``BLOCK`` sets by
+matrix products, which emit links only. So no pair that met is left out, and
+no group's pairs are listed.
 
 Defined results: null is an empty text; texts without words have
 ``n_shingles`` 0 and stay alone; equal sets (copies) are one class whatever
@@ -32,16 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum
-from .common import buffer_of, dropped, map_batches, passes, staged, staged_at
+from .common import buffer_of, dropped, map_batches, passes, ranked, staged, staged_at
 
 SHINGLE = 5
 PERCENT = 75
-HALVES = 16
-WIDTH = 2
-#: Members of one bucket that a round confirms against all its members.
-ROUND = 64
-#: Shingles that are min-hashed at a time (bounds memory for very long texts).
-BLOCK = 1 << 14
+HALVES = 24
+WIDTH = 3
+#: Sets of one cluster that are compared with as many others in one group.
+BLOCK = 256
+#: Shingles that are min-hashed, or multiplied, at a time (bounds memory for very long texts).
+CHUNK = 1 << 12
 
 _SEEDS = textnum.mixed(np.arange(1, 2 * HALVES * WIDTH + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _MULTIPLIERS = textnum.mixed(_SEEDS) | np.uint64(1)
@@ -72,8 +76,8 @@ def half_keys(hashes: np.ndarray) -> np.ndarray:
     """The 2 * HALVES half keys of a set, left ones first."""
     least = np.full(len(_SEEDS), np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(0, len(hashes), BLOCK):
-            values = ((hashes[k : k + BLOCK, None] ^ _SEEDS) * _MULTIPLIERS).min(axis=0)
+        for k in range(0, len(hashes), CHUNK):
+            values = ((hashes[k : k + CHUNK, None] ^ _SEEDS) * _MULTIPLIERS).min(axis=0)
             least = np.minimum(least, values)
         keys = np.arange(2 * HALVES, dtype=np.uint64)
         for k in range(WIDTH):
@@ -99,48 +103,87 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints, sets = [], []
         for hashes in shingle_sets(*buffer_of(batch.column("text"))):
             prints.append(fingerprint(hashes))
-            sets.append(hashes.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(sets, pa.binary())], ["fp", "set"])
+            sets.append(hashes.view(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["fp", "set"])
+
+
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    return [np.asarray(x.values) for x in column]
 
 
 def _confirmed(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("set_x"), batch.column("set_y"), strict=True):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                at[at == len(b)] = 0
-                common = int((b[at] == a).sum())
+            for a, b in zip(_arrays(batch.column("set_x")), _arrays(batch.column("set_y")), strict=True):
+                common = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     return confirm
 
 
-def table_keys(classes: DataFrame) -> DataFrame:
-    """(key, fp, n_shingles) of every table key that at least two classes share."""
-    halves = classes.select("fp", "n_shingles", F.posexplode("keys").alias("at", "half"))
-    shared = halves.groupBy("at", "half").agg(F.count("*").alias("n")).filter("n > 1").select("at", "half")
+def _linked(percent: int):
+    def link(table: pa.Table) -> pa.Table:
+        """Links between different components among the sets of blocks ``lo`` and ``hi`` of a cluster."""
+        table = table.combine_chunks()
+        sets = _arrays(table.column("set").chunk(0)) if table.num_rows else []
+        cid, label = (np.asarray(table.column(c)) for c in ("cid", "label"))
+        n = np.array([len(x) for x in sets])
+        left = np.flatnonzero(np.asarray(table.column("block")) == np.asarray(table.column("lo")))
+        right = np.flatnonzero(np.asarray(table.column("block")) == np.asarray(table.column("hi")))
+        owner = np.repeat(np.arange(len(sets)), n)
+        distinct, inverse, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        column = np.cumsum(seen > 1) - 1
+        shared = seen[inverse] > 1
+        owner, column = owner[shared], column[inverse[shared]]
+        common = np.zeros((len(left), len(right)), np.float32)
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        for k in range(0, int(column[-1]) + 1 if len(column) else 0, CHUNK):
+            i, j = np.searchsorted(column, [k, k + CHUNK])
+            member = np.zeros((len(sets), CHUNK), np.float32)
+            member[owner[i:j], column[i:j] - k] = 1
+            common += member[left] @ member[right].T
+        union = n[left][:, None] + n[right][None, :] - common
+        x, y = np.nonzero((100 * common >= percent * union) & (label[left][:, None] != label[right][None, :]))
+        return pa.table({"x": pa.array(cid[left[x]], pa.int64()), "y": pa.array(cid[right[y]], pa.int64())})
+
+    return link
+
+
+def shared_halves(classes: DataFrame) -> DataFrame:
+    """(cid, n_shingles, left, right, score) of ``classes`` (cid, n_shingles, keys) that share half keys of both sides.
+
+    A half key stands for the sets that share it, so those of equal sets are
+    one; the lowest bit of ``half`` is its side.
+    """
+    sides = F.transform("keys", lambda k, i: k.bitwiseAND(F.lit(-2).cast("bigint")).bitwiseOR((i >= HALVES).cast("bigint")))
+    halves = classes.select("cid", F.explode(sides).alias("half"))
+    shared = halves.groupBy("half").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("cid")).alias("who")).filter("n > 1")
+    shared = shared.select("half", "n", F.xxhash64("who", "n").alias("sharers"))
+    side = F.col("half").bitwiseAND(F.lit(1).cast("bigint"))
     mine = (
-        halves.join(shared, ["at", "half"])
-        .groupBy("fp", "n_shingles")
+        halves.join(shared, "half")
+        .groupBy("cid")
         .agg(
-            F.collect_list(F.when(F.col("at") < HALVES, F.col("half"))).alias("left"),
-            F.collect_list(F.when(F.col("at") >= HALVES, F.col("half"))).alias("right"),
+            F.collect_set(F.when(side == 0, F.col("sharers"))).alias("left"),
+            F.collect_set(F.when(side == 1, F.col("sharers"))).alias("right"),
+            F.sum("n").alias("score"),
         )
         .filter((F.size("left") > 0) & (F.size("right") > 0))
     )
-    keys = mine.select("fp", "n_shingles", F.explode("left").alias("l"), "right").select(
-        "fp", "n_shingles", "l", F.explode("right").alias("r")
-    )
-    return keys.select(F.xxhash64("l", "r").alias("key"), "fp", "n_shingles")
+    return mine.join(classes.select("cid", "n_shingles"), "cid")
 
 
-def components(edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
-    """(fp, label): the smallest label reachable over ``edges`` (x, y).
+def table_keys(halves: DataFrame) -> DataFrame:
+    """(key, cid, n_shingles, score): each pair of a left and a right half key."""
+    pairs = F.flatten(F.transform("left", lambda a: F.transform("right", lambda b: F.xxhash64(a, b))))
+    return halves.select(F.explode(pairs).alias("key"), "cid", "n_shingles", "score")
+
+
+def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """(cid, label): the smallest label reachable over ``edges`` (x, y).
 
     Each round takes the smallest label of the neighbours, then the label's
     own label (pointer jumping), so long chains shorten quickly.
@@ -150,92 +193,99 @@ def components(edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
     both, both_at = staged_at(both, "neighbours")
     at = None
     while True:
-        near = both.join(labels.select(F.col("fp").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("near"))
-        hooked = labels.join(near, labels.fp == near.x, "left").select("fp", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jumps = hooked.select(F.col("fp").alias("_fp"), F.col("label").alias("_label"))
-        jumped = hooked.join(jumps, hooked.label == jumps._fp, "left").select("fp", "old", F.least("label", "_label").alias("label"))
+        near = both.join(labels.select(F.col("cid").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("near"))
+        hooked = labels.join(near, labels.cid == near.x, "left").select("cid", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        jumps = hooked.select(F.col("cid").alias("_cid"), F.col("label").alias("_label"))
+        jumped = hooked.join(jumps, hooked.label == jumps._cid, "left").select("cid", "old", F.least("label", "_label").alias("label"))
         new, new_at = staged_at(jumped, "labels")
         changed = new.filter("label != old").limit(1).count()
         if at:
             dropped(spark, at)
-        labels, at = new.select("fp", "label"), new_at
+        labels, at = new.select("cid", "label"), new_at
         if not changed:
             dropped(spark, both_at)
-            return labels, at
+            return labels
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (x, y) whose full sets are similar enough."""
-    with_x = pairs.join(sets.select(F.col("fp").alias("x"), F.col("set").alias("set_x")), "x")
-    with_both = with_x.join(sets.select(F.col("fp").alias("y"), F.col("set").alias("set_y")), "y")
-    return map_batches(with_both.select("x", "y", "set_x", "set_y"), _confirmed(percent), "x binary, y binary")
+    with_x = pairs.join(sets.select(F.col("cid").alias("x"), F.col("set").alias("set_x")), "x")
+    with_both = with_x.join(sets.select(F.col("cid").alias("y"), F.col("set").alias("set_y")), "y")
+    return map_batches(with_both.select("x", "y", "set_x", "set_y"), _confirmed(percent), "x bigint, y bigint")
 
 
-def _pairs(links: DataFrame, percent: int) -> DataFrame:
-    """Distinct (x, y), x < y, of rows (a, n_a, b, n_b) whose sizes allow the similarity."""
+def _by_centre(buckets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (x, y) of each bucket's members with its centre, if their sizes allow the similarity."""
+    centre = buckets.groupBy("key").agg(F.max(F.struct("score", "cid", "n_shingles")).alias("c")).select("key", "c.cid", "c.n_shingles")
+    links = buckets.select("key", F.col("cid").alias("b"), F.col("n_shingles").alias("n_b")).join(
+        centre.select("key", F.col("cid").alias("a"), F.col("n_shingles").alias("n_a")), "key"
+    )
     fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     return links.filter(fits & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
 
 
+def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, cid, label) of the buckets whose members lie in several components."""
+    mine = buckets.select("key", "cid").join(labels, "cid")
+    spread = mine.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
+    return mine.join(spread, "key")
+
+
+def _block_links(still: DataFrame, halves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components among the sets of open buckets ``still`` (key, cid, label)."""
+    inside = sets.join(still.select("cid", "label").distinct(), "cid")
+    shingles = inside.select("cid", "label", F.explode("set").alias("s"))
+    abroad = shingles.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("s")
+    common = shingles.join(abroad, "s", "left_semi").groupBy("cid").agg(F.count("*").alias("n"))
+    inside = inside.join(common, "cid").filter(100 * F.col("n") >= percent * F.size("set")).select("cid", "label", "set")
+    inside = staged(inside, "inside")
+    # Sets of one bucket share a left half key: those joined by left half keys are a cluster.
+    keys = staged(halves.select("cid", F.explode("left").alias("key")).join(inside.select("cid"), "cid", "left_semi"), "left-keys")
+    star = keys.join(keys.groupBy("key").agg(F.min("cid").alias("x")), "key").select("x", F.col("cid").alias("y")).filter("x != y").distinct()
+    clusters = components(star, inside.select("cid", F.col("cid").alias("label"))).select("cid", F.col("label").alias("cluster"))
+    places = ranked(clusters, ["cid"], ["cluster"], "places").select("cid", "cluster", F.expr(f"rank div {BLOCK}").cast("int").alias("block"))
+    sizes = places.groupBy("cluster").agg((F.max("block") + 1).alias("blocks"), F.count("*").alias("n")).filter("n > 1")
+    meets = (
+        places.join(sizes.select("cluster", "blocks"), "cluster")
+        .select("cid", "cluster", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("cid", "cluster", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    )
+    return meets.join(inside, "cid").groupBy("cluster", "lo", "hi").applyInArrow(_linked(percent), "x bigint, y bigint")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id,
     kept, and ``set_key`` (the class of equal sets, hex)."""
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     rows = staged(map_batches(docs, _signatures, "doc_id bigint, n_shingles bigint, fp binary, keys array<bigint>"), "signatures")
     classes = (
         rows.filter("n_shingles > 0")
         .groupBy("fp")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
+        .withColumn("cid", F.monotonically_increasing_id())
     )
     classes = staged(classes, "classes")
-    buckets = staged(table_keys(classes), "buckets")
-    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    buckets = staged(buckets.join(shared, "key"), "shared-buckets")
-
-    members = buckets.select("fp").distinct().join(classes.select("fp", "rep"), "fp")
-    members = staged(members, "members")
+    halves = staged(shared_halves(classes), "halves")
+    every, every_at = staged_at(table_keys(halves), "table-keys")
+    shared = every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    buckets = staged(every.join(shared, "key"), "buckets")
+    dropped(docs.sparkSession, every_at)
+    members = staged(buckets.select("cid").distinct().join(classes.select("cid", "fp", "rep"), "cid"), "members")
     texts = docs.join(members.select("rep").distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    # A class whose rows all lack an id is found by its set, like rows that share an id.
-    sets = map_batches(texts.select("text"), _sets, "fp binary, set binary").join(members.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
-    sets = staged(sets, "sets")
-
-    labels, labels_at = staged_at(members.select("fp", F.col("fp").alias("label")), "labels")
-    centre = buckets.groupBy("key").agg(F.min(F.struct("fp", "n_shingles")).alias("c"))
-    links = buckets.join(centre, "key").select(F.col("c.fp").alias("a"), F.col("c.n_shingles").alias("n_a"), F.col("fp").alias("b"), F.col("n_shingles").alias("n_b"))
-    tested = staged(_pairs(links, percent), "pairs")
-    edges = staged(confirmed(tested, sets, percent), "links")
-    open_buckets = buckets.join(centre.select("key", F.col("c.fp").alias("_centre")), "key").filter("fp != _centre").drop("_centre")
-    while True:
-        labels, labels_new = components(edges, labels)
-        dropped(spark, labels_at)
-        labels_at = labels_new
-        mine = open_buckets.join(labels, "fp")
-        spread = mine.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
-        still = staged(mine.join(spread, "key"), "open")
-        if not still.limit(1).count():
-            break
-        by_label = still.groupBy("key", "label").agg(F.count("*").alias("n"))
-        largest = by_label.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
-        minor = still.join(largest, "key").filter("label != largest").select("key", "fp", "n_shingles", "label")
-        minor = minor.withColumn("_r", F.expr("row_number() OVER (PARTITION BY key ORDER BY fp)")).filter(F.col("_r") <= ROUND)
-        minor = staged(minor.drop("_r"), "minor")
-        chosen = minor.groupBy("key").agg(F.collect_list(F.struct("fp", "n_shingles", "label")).alias("reps"))
-        links = (
-            still.join(chosen, "key")
-            .select(F.col("fp").alias("b"), F.col("n_shingles").alias("n_b"), F.col("label").alias("l_b"), F.explode("reps").alias("r"))
-            .filter("r.label != l_b")
-            .select(F.col("r.fp").alias("a"), F.col("r.n_shingles").alias("n_a"), "b", "n_b")
-        )
-        fresh = staged(_pairs(links, percent).join(tested, ["x", "y"], "left_anti"), "pairs")
-        tested = tested.union(fresh)
-        edges = edges.union(staged(confirmed(fresh, sets, percent), "links"))
-        # Members confirmed against all others of the bucket retire from it.
-        open_buckets = still.select("key", "fp", "n_shingles").join(minor.select("key", "fp"), ["key", "fp"], "left_anti")
-
-    ids = classes.select("fp", "rep").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    roots = ids.join(labels.select("fp"), "fp", "left_semi").groupBy("label").agg(F.min("rep").alias("root"))
-    ids = ids.join(roots, "label", "left").select(F.col("fp"), F.coalesce("root", "rep").alias("component_id"))
+    # Classes are found by their sets, so rows that share an id, or lack one, do not mix.
+    sets = map_batches(texts.select("text"), _sets, "fp binary, set array<bigint>").join(members.select("fp", "cid"), "fp")
+    sets = staged(sets.dropDuplicates(["cid"]).select("cid", "set"), "sets")
+
+    edges = staged(confirmed(staged(_by_centre(buckets, percent), "pairs"), sets, percent), "links")
+    labels = components(edges, members.select("cid", F.col("cid").alias("label")))
+    still = staged(_open(buckets, labels), "open")
+    if still.limit(1).count():
+        more = staged(_block_links(still, halves, sets, percent), "links")
+        labels = components(more, labels)
+
+    roots = classes.join(labels, "cid").groupBy("label").agg(F.min("rep").alias("root"))
+    linked = labels.join(roots, "label").select("cid", "root")
+    ids = classes.select("cid", "fp", "rep").join(linked, "cid", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
     out = rows.select("doc_id", "n_shingles", "fp").join(ids, "fp", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
