@@ -1,7 +1,108 @@
-"""DuckDB SQL of this package's queries that SQL can express."""
+r"""DuckDB SQL of this package's queries that SQL can express.
+
+Hash functions, compressors, trained fields, tokenizers and propagation are
+not SQL: ``op3``, ``op4`` and ``op6`` to ``op10`` are tested against brute force in
+``tests/llm`` instead.
+"""
 
 from __future__ import annotations
 
+from . import urls
+
+LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP1 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT rid, doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p : p + 4], ' ')))
+    WHEN len(w) > 0 THEN [len(w) || ':' || array_to_string(w, ' ')] ELSE [] END AS set FROM d
+), x AS (SELECT rid, len(set) AS n, unnest(set) AS shingle FROM s),
+links AS (
+  SELECT a.rid AS a, b.rid AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.rid <> b.rid
+  GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT DISTINCT a AS rid, a AS other FROM links UNION SELECT r.rid, l.b FROM reach r JOIN links l ON r.other = l.a
+), c AS (SELECT r.rid, min(s.doc_id) AS component_id FROM reach r JOIN s ON r.other = s.rid GROUP BY r.rid)
+SELECT s.doc_id, CAST(len(set) AS BIGINT) AS n_shingles, coalesce(c.component_id, s.doc_id) AS component_id,
+  coalesce(s.doc_id = coalesce(c.component_id, s.doc_id), TRUE) AS kept
+FROM s LEFT JOIN c ON s.rid = c.rid
+"""
+
+_HOST = f"translate(regexp_extract(rest, '^([^/?#]*)', 1), {LOWER})"
+_PATH = "regexp_extract(rest, '^[^/?#]*([^?#]*)', 1)"
+_EXTENSION = r"(\.[A-Za-z]{1,5})?"
+
+
+def _rule_case(what: str) -> str:
+    """The longest fitting rule, or its verdict."""
+    ordered = sorted(urls.RULES, key=lambda r: -len(r[1]) - len(r[2]))
+    whens = [
+        f"WHEN (host = '{of}' OR ends_with(host, '.{of}')) AND starts_with(path, '{prefix}') THEN '{of + prefix if what == 'rule' else verdict}'"
+        for verdict, of, prefix in ordered
+    ]
+    return f"CASE {' '.join(whens)} END"
+
+
+OP2 = rf"""
+WITH rests AS (
+  SELECT page_id, coalesce(url, '') AS url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, {_HOST} AS host, {_PATH} AS path, TRY_CAST(regexp_extract(url, '/([0-9]{{1,18}})(?:\.html|/)?(?:[?#]|\z)', 1) AS BIGINT) AS doc_id FROM rests
+), known AS (
+  SELECT doc_id, max(CAST((quality = 0) OR (toxic = 1) AS INT)) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), paths AS (
+  SELECT host, path, count(bad) AS n, coalesce(sum(bad), 0) AS k FROM p LEFT JOIN known USING (doc_id) GROUP BY host, path
+), cut AS (
+  SELECT *, list_transform(string_split(path, '/'), lambda s: CASE
+      WHEN regexp_matches(s, '^[0-9]+{_EXTENSION}\z') THEN '*' || regexp_extract(s, '^[0-9]+{_EXTENSION}\z', 1)
+      WHEN regexp_matches(s, '^[0-9a-fA-F-]{{8,}}{_EXTENSION}\z') THEN '*' || regexp_extract(s, '^[0-9a-fA-F-]{{8,}}{_EXTENSION}\z', 1)
+      WHEN regexp_matches(s, '[0-9]') AND regexp_matches(s, '^[A-Za-z0-9_-]{{12,}}{_EXTENSION}\z')
+        THEN '*' || regexp_extract(s, '^[A-Za-z0-9_-]{{12,}}{_EXTENSION}\z', 1)
+      ELSE s END) AS g FROM paths
+), nodes AS (
+  SELECT host, path, n, k, i, i || ':' || array_to_string(g[1 : i - 1], '/') AS parent, g[i] AS segment FROM cut, unnest(range(1, len(g) + 1)) AS u(i)
+), wide AS (SELECT host, parent FROM nodes GROUP BY host, parent HAVING count(DISTINCT segment) > {urls.MAX_CHILDREN}),
+shaped AS (
+  SELECT host, path, n, k, string_agg(CASE WHEN w.parent IS NULL THEN segment ELSE '*' END, '/' ORDER BY i) AS template
+  FROM nodes LEFT JOIN wide w USING (host, parent) GROUP BY host, path, n, k
+), t AS (SELECT host, template, sum(n) AS n, sum(k) AS k FROM shaped GROUP BY host, template),
+hosts AS (
+  SELECT host, (sum(k) + 20::DOUBLE * (SELECT coalesce(sum(k) / greatest(sum(n), 1)::DOUBLE, 0) FROM t)) / (sum(n) + 20::DOUBLE) AS ph FROM t GROUP BY host
+), sib AS (
+  SELECT t.*, ph, (k + 20::DOUBLE * ph) / (n + 20::DOUBLE) AS p, regexp_extract(template, '^((?s:.*))/[^/]*/[^/]*\z', 1) AS parent,
+    len(string_split(template, '/')) || regexp_extract(template, '(\*?(?:\.[A-Za-z]{{1,5}})?)\z', 1) AS shape FROM t JOIN hosts USING (host)
+), gaps AS (
+  SELECT *, coalesce(CAST(p - lag(p) OVER s > {urls.Z}::DOUBLE * sqrt(ph * (1 - ph) * (1 / (n + 20::DOUBLE) + 1 / (lag(n) OVER s + 20::DOUBLE))) AS INT), 0) AS gap
+  FROM sib WINDOW s AS (PARTITION BY host, parent, shape ORDER BY p, template)
+), runs AS (SELECT *, sum(gap) OVER (PARTITION BY host, parent, shape ORDER BY p, template ROWS UNBOUNDED PRECEDING) AS run FROM gaps),
+judged AS (
+  SELECT host, template, (sum(k) OVER r + 20::DOUBLE * ph) / (sum(n) OVER r + 20::DOUBLE) AS purity FROM runs WINDOW r AS (PARTITION BY host, parent, shape, run)
+)
+SELECT p.page_id, host, path, {_rule_case("rule")} AS rule,
+  coalesce({_rule_case("verdict")}, CASE WHEN purity >= {urls.BLOCK}::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict, template
+FROM p JOIN shaped USING (host, path) JOIN judged USING (host, template)
+"""
+
+OP5 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS v
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(10, len(v)) AS n, array_to_string(v[p : p + least(10, len(v)) - 1], ' ') AS win
+  FROM b, unnest(range(1, len(v) - least(10, len(v)) + 2)) AS u(p) WHERE len(v) > 0
+), places AS (
+  SELECT rid, q, l.n, array_to_string(w[q : q + l.n - 1], ' ') AS win FROM d, (SELECT DISTINCT n FROM windows) l, unnest(range(1, len(w) - l.n + 2)) AS u(q)
+), hits AS (SELECT rid, q, p.n, item_id FROM places p JOIN windows x ON p.n = x.n AND p.win = x.win),
+words AS (SELECT rid, count(DISTINCT spot) AS n_hit FROM hits, unnest(range(q, q + n)) AS u(spot) GROUP BY rid),
+items AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM hits GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_minhash_dedup": OP1, "op2_url_filters": OP2, "op5_decontamination": OP5}

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import bpe, chat, decontam, htmlcrf, minhash, quality, secrets, sharding, tokenfile, urls
 from .common import read
@@ -19,12 +18,13 @@ def vocabulary(name: str) -> str:
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(read(spark, sf_dir, "documents")).drop("set_key")
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
-    return urls.judged(pages, urls.page_labels(pages, read(spark, sf_dir, "labels")))
+    judged = urls.judged(pages, urls.page_labels(pages, read(spark, sf_dir, "labels")))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template")
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +39,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.search(docs, read(spark, sf_dir, "benchmark"))
-    longest = F.coalesce(F.array_max(F.transform("matches", lambda m: m["n_words"])), F.lit(0).cast("bigint"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", longest.alias("longest_match"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

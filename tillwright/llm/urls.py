@@ -5,8 +5,8 @@ r"""URL filters: host rules, and a path-template tree judged by labelled purity.
    file extension kept. Every prefix of a path is a node of its host's tree;
    a node with more than ``MAX_CHILDREN`` different children is variable
    there, and those children become ``*`` too.
-2. *Branches.* Sibling templates (same host, same parent, same shape) are
-   ordered by their smoothed share of bad labels; neighbours closer than
+2. *Branches.* Sibling branches (below one node of a host's tree, of equal
+   depth and equal last segment's shape) are ordered by their smoothed share of bad labels; neighbours closer than
    ``Z`` standard errors are merged into one branch, so rare templates borrow
    the labels of those that behave like them.
 3. *Verdict.* A branch is blocked when the smoothed purity of its bad labels
@@ -46,7 +46,7 @@ Z = 1.0
 PRIOR = 20.0
 BLOCK = 0.6
 #: A segment that identifies a thing rather than a section, less its extension.
-VARIABLE = r"^(?:[0-9]+|[0-9a-fA-F-]{8,}|(?=[^/]*[0-9])[A-Za-z0-9_-]{12,})(\.[A-Za-z]{1,5})?$"
+VARIABLE = r"\A(?:[0-9]+|[0-9a-fA-F-]{8,}|(?=[^/]*[0-9])[A-Za-z0-9_-]{12,})(\.[A-Za-z]{1,5})?\z"
 
 
 def with_parts(pages: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def templates(paths: DataFrame) -> DataFrame:
 def branches(paths: DataFrame) -> DataFrame:
     """(host, template, branch, purity) of (host, template, n, k): labelled and bad labels of each path.
 
-    Siblings are at most MAX_CHILDREN per parent and shape, so each window is small.
+    A node has at most MAX_CHILDREN children, so each window of siblings is small.
     """
     nodes = paths.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     hosts = nodes.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("k").alias("hk"))
@@ -117,7 +117,7 @@ def branches(paths: DataFrame) -> DataFrame:
     hosts = hosts.select("host", ((F.col("hk") + PRIOR * F.coalesce("p0", F.lit(0.0))) / (F.col("hn") + PRIOR)).alias("ph"))
     nodes = nodes.join(hosts, "host").withColumns(
         {
-            "parent": F.regexp_extract("template", r"\A((?s:.*))/", 1),
+            "parent": F.regexp_extract("template", r"\A((?s:.*))/[^/]*/[^/]*\z", 1),
             "shape": F.concat(F.size(F.split("template", "/")).cast("string"), F.regexp_extract("template", r"(\*?(?:\.[A-Za-z]{1,5})?)\z", 1)),
             "p": (F.col("k") + PRIOR * F.col("ph")) / (F.col("n") + PRIOR),
         }
