@@ -39,6 +39,17 @@ def local_session(
     return spark
 
 
+def configured_dir(spark: SparkSession) -> str | None:
+    """The folder that ``spark.checkpoint.dir`` names, the same for every application."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    try:
+        return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # a Spark Connect session has no SparkContext
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
@@ -50,14 +61,14 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured_dir(spark)
     if configured:
         if sc is not None:
             sc.setCheckpointDir(configured)
             return sc.getCheckpointDir() or configured
         return configured
+    if sc is None or not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tillwright-ckpt-", dir="/tmp")
     if sc is not None:
         sc.setCheckpointDir(local)

@@ -3,30 +3,41 @@
     python -m tillwright.jobs publish   --sf-dir DIR --topic PATH
     python -m tillwright.jobs tail      --topic PATH [--format kafka --option k=v ...]
     python -m tillwright.jobs bronze    --topic PATH --out PATH [--full] [--once]
-    python -m tillwright.jobs silver    --topic PATH --out PATH [--once]
+    python -m tillwright.jobs silver    --topic PATH --out PATH [--rejects PATH] [--reference-rules] [--once]
+    python -m tillwright.jobs qa | fraud | dedup | usd-gold --topic PATH --out PATH
     python -m tillwright.jobs gold      --silver PATH --gold-root PATH
     python -m tillwright.jobs report    --gold-root PATH
     python -m tillwright.jobs export    --gold-root PATH --out DIR
     python -m tillwright.jobs live-gold --topic PATH --gold-root PATH [--table all|NAME] [--once]
 
 The session comes from the cluster (``spark-submit`` / defaults); nothing
-here sets a master. Checkpoints default to sub-folders of the shared
-``spark.checkpoint.dir``.
+here sets a master. A stream's checkpoint defaults to a sub-folder of the
+configured ``spark.checkpoint.dir`` that depends on job, topic and output only,
+so the next run resumes it; if none is configured, ``--checkpoint`` is needed.
 """
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .config import shared_dir
+from .config import configured_dir
+from .operators import clean as C
+from .operators import dedup as D
+from .operators import enrich as E
+from .operators import fraud as FR
 from .operators import gold as G
+from .operators import quality as Q
 from .operators import reports as R
+from .operators.parse import parse_events
 from .plans import lake as L
+from .schemas import PARSED_FIELDS
+from .sources.dims import fx_dim, product_dim
 from .sources.ledger import ledger
-from .sources.topic import read_events, to_messages, write_topic
+from .sources.topic import read_events, read_events_batch, to_messages, write_topic
 from .streaming import jobs as S
 
 # Streaming settings applied only where the session leaves them unset.
@@ -49,8 +60,23 @@ def _options(pairs: list[str] | None) -> dict:
     return dict(p.split("=", 1) for p in (pairs or []))
 
 
-def _checkpoint(spark, given: str | None, name: str) -> str:
-    return given or f"{shared_dir(spark).rstrip('/')}/{name}"
+def _checkpoint(spark, given: str | None, *names: str) -> str:
+    """``--checkpoint``, or a folder that every run of the same job finds again:
+    under the configured ``spark.checkpoint.dir``, named by job, topic and output."""
+    if given:
+        return given
+    base = configured_dir(spark)
+    if not base:
+        raise SystemExit("no spark.checkpoint.dir is set: pass --checkpoint, or a restart would lose or repeat events")
+    name = hashlib.sha256("\n".join(names).encode()).hexdigest()[:16]
+    return f"{base.rstrip('/')}/tillwright-{names[0]}-{name}"
+
+
+def _print_all(df) -> None:
+    """Every row, a line each, fetched partition by partition."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -61,7 +87,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--topic", required=True, help="Kafka topic name or a folder of message files")
         p.add_argument("--format", default="files", choices=["files", "kafka"])
         p.add_argument("--option", action="append", help="source option k=v (e.g. kafka.bootstrap.servers=...)")
-        p.add_argument("--starting", default="earliest")
+        p.add_argument("--starting", choices=["earliest", "latest"], help="default: latest for tail, else earliest")
         p.add_argument("--checkpoint")
         p.add_argument("--once", action="store_true", help="process what is there, then stop (availableNow)")
         p.add_argument("--interval", default=None, help="processing-time trigger, e.g. '30 seconds'")
@@ -80,11 +106,22 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("silver", help="topic -> silver Parquet (typed, cleaned)")
     topic_args(p)
     p.add_argument("--out", required=True)
+    p.add_argument("--rejects", help="folder for the rows silver drops, with their reasons")
+    p.add_argument("--reference-rules", action="store_true", help="the six rules only, without the checks of amounts")
     p = sub.add_parser("live-gold", help="topic -> continuously refreshed gold table")
     topic_args(p)
     p.add_argument("--gold-root", required=True)
     p.add_argument("--table", default="all", choices=["all", *G.GOLD_TABLES])
 
+    for job, text in (("qa", "topic -> error codes per event"), ("fraud", "topic -> fraud classes and scores"), ("dedup", "topic -> one event per id"), ("usd-gold", "topic -> revenue in USD")):
+        p = sub.add_parser(job, help=text)
+        p.add_argument("--topic", required=True)
+        p.add_argument("--format", default="files", choices=["files", "kafka"])
+        p.add_argument("--option", action="append")
+        p.add_argument("--out", required=True)
+        if job == "fraud":
+            p.add_argument("--sf-dir", required=True, help="tables that hold the product catalogue")
+
     p = sub.add_parser("gold", help="silver -> the three gold tables (one scan)")
     p.add_argument("--silver", required=True)
     p.add_argument("--gold-root", required=True)
@@ -105,14 +142,30 @@ def main(argv: list[str] | None = None) -> None:
         return
 
     if a.job in ("tail", "bronze", "silver", "live-gold"):
-        messages = read_events(spark, a.topic, a.format, a.starting, _options(a.option))
-        ckpt = _checkpoint(spark, a.checkpoint, f"tillwright-{a.job}")
+        starting = a.starting or ("latest" if a.job == "tail" else "earliest")
+        if starting == "latest" and a.format == "files" and a.job != "tail":
+            raise SystemExit("a folder of files has no offsets: only tail can start at latest there")
+        messages = read_events(spark, a.topic, a.format, starting, _options(a.option))
         if a.job == "tail":
-            q = S.start_console(S.bronze_stream(messages), ckpt, available_now=a.once)
-        elif a.job == "bronze":
+            # A tail shows what arrives while it runs; it has nothing to resume.
+            S.run_until_done(S.start_console(S.bronze_stream(messages), a.checkpoint, available_now=a.once))
+            return
+        out = a.gold_root if a.job == "live-gold" else a.out
+        ckpt = _checkpoint(spark, a.checkpoint, a.job, a.topic, out, getattr(a, "table", ""))
+        if a.job == "bronze":
             q = S.start_file_sink(S.bronze_stream(messages, full=a.full), a.out, ckpt, available_now=a.once, interval=a.interval)
         elif a.job == "silver":
-            q = S.start_file_sink(S.silver_stream(messages), a.out, ckpt, available_now=a.once, interval=a.interval)
+            finite = not a.reference_rules
+            q = S.start_file_sink(S.silver_stream(messages, finite), a.out, ckpt, available_now=a.once, interval=a.interval)
+            if a.rejects:
+                again = read_events(spark, a.topic, a.format, starting, _options(a.option))
+                side = S.start_file_sink(
+                    S.rejects_stream(again, finite), a.rejects, f"{ckpt}-rejects", partition_by=("reject_reason",),
+                    available_now=a.once, interval=a.interval,
+                )
+                S.run_until_done(q)
+                S.run_until_done(side)
+                return
         elif a.table == "all":
             q = S.start_live_gold_all(
                 S.silver_stream(messages), a.gold_root, ckpt, available_now=a.once,
@@ -126,6 +179,23 @@ def main(argv: list[str] | None = None) -> None:
         S.run_until_done(q)
         return
 
+    if a.job in ("qa", "fraud", "dedup", "usd-gold"):
+        events = parse_events(read_events_batch(spark, a.topic, a.format, _options(a.option)), full=True, keep_raw=a.job == "qa")
+        if a.job == "qa":
+            _print_all(Q.summary(events))
+            Q.error_rows(events).write.mode("overwrite").parquet(a.out)
+        elif a.job == "dedup":
+            D.dedup_transactions(events).write.mode("overwrite").parquet(a.out)
+        elif a.job == "fraud":
+            classified = FR.classify(events, product_dim(spark, a.sf_dir), fx_dim(spark))
+            classified.write.mode("overwrite").parquet(a.out)
+            _print_all(FR.scores(spark.read.parquet(a.out)))
+        else:
+            silver = C.silver(events.select(*PARSED_FIELDS), stamp=False)
+            for by in ("country", "store", "product"):
+                E.usd_revenue(silver, fx_dim(spark), by).write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{by}")
+        return
+
     if a.job == "gold":
         version = L.publish_gold(L.read_silver(spark, a.silver), a.gold_root)
         print(f"gold published: version {version}")
@@ -136,9 +206,9 @@ def main(argv: list[str] | None = None) -> None:
         frames = R.dashboard_frames(tables)
         for name in ("country_bars", "top_products_bars", "store_bars"):
             print(name)
-            frames[name].show(50, truncate=False)
+            _print_all(frames[name])
         kpis = frames["kpis"]
-        kpis.withColumn("total_transactions", F.format_number("total_transactions", 0)).show(truncate=False)
+        _print_all(kpis.withColumn("total_transactions", F.format_number("total_transactions", 0)))
     elif a.job == "export":
         for name, df in tables.items():
             keys = [F.col(k).asc_nulls_last() for k in G.KEYS[name]]
