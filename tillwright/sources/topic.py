@@ -7,6 +7,8 @@ connector jar must be on the classpath; a folder of Parquet files with
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,12 +59,14 @@ def read_events(
     starting: str = "earliest",
     options: dict | None = None,
     max_files_per_trigger: int | None = None,
+    since: dt.datetime | None = None,
 ) -> DataFrame:
     """Streaming read of the topic as ``key`` / ``value`` text.
 
     ``starting`` maps to ``startingOffsets`` for Kafka. A file folder has no
-    offsets: a query whose checkpoint was created before data arrived reads
-    only new files, which is how ``latest`` is obtained there.
+    offsets: there ``latest`` reads the files written at or after ``since``
+    (default: now). A query that is restarted on its checkpoint must pass the
+    same ``since`` again.
     """
     if fmt == "kafka":
         reader = (
@@ -75,7 +79,10 @@ def read_events(
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(source)
+    if starting != "latest":
+        return reader.parquet(source)
+    after = F.lit(since or dt.datetime.now(dt.timezone.utc))
+    return reader.parquet(source).filter(F.col("_metadata.file_modification_time") >= after).select("key", "value")
 
 
 def read_events_batch(spark: SparkSession, source: str, fmt: str = "files", options: dict | None = None) -> DataFrame:

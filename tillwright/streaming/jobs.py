@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.timeparse import EPOCH_NTZ
 from ..operators import clean as C
 from ..operators import gold as G
 from ..operators.parse import parse_events, with_event_time
@@ -41,6 +40,13 @@ def silver_stream(messages: DataFrame, check_finite: bool = True) -> DataFrame:
     return C.silver(parse_events(messages), check_finite=check_finite)
 
 
+def rejects_stream(messages: DataFrame, check_finite: bool = True) -> DataFrame:
+    """Topic -> the rows silver drops, each with the first rule it fails. A
+    query of its own beside silver, so that each sink keeps its commit log and
+    neither loses nor repeats rows after a restart."""
+    return C.rejects(parse_events(messages), check_finite=check_finite)
+
+
 def start_file_sink(
     df: DataFrame,
     path: str,
@@ -123,41 +129,20 @@ def start_live_gold_all(
     return _trigger(writer, available_now, interval).start()
 
 
-# Buckets a single id's copies are spread over before the final per-id dedup.
-DEDUP_SPREAD = 8
-
-
-def dedup_stream(
-    typed: DataFrame, delay: str = "1 hour", key: str = "transaction_id", spread: int = DEDUP_SPREAD
-) -> DataFrame:
-    """Drop re-sent events: state per id lives until the watermark passes
-    ``event_time + delay``. Rows without an id are dropped; rows without an
-    event time cannot be bounded in state and pass through unchanged.
+def dedup_stream(typed: DataFrame, delay: str = "1 hour", key: str = "transaction_id") -> DataFrame:
+    """Drop re-sent events: an id's state lives for ``delay`` after it arrived.
 
-    Two chained dedups keep a hot id from landing in one task: the first is
-    keyed by (id, random bucket) and spreads one id's copies over ``spread``
-    tasks, leaving at most ``spread`` of them; the second, keyed by id, then
-    sees at most that many rows per id.
+    The watermark runs on arrival time, so no event is ever late, however old
+    its own time is: a store that was offline for days loses nothing, and
+    events without a time need no special case. Rows without an id are dropped.
     """
-    with_id = typed.filter(F.col(key).isNotNull())
-    timed = with_id.filter(F.col("event_time").isNotNull()).withColumn("_instant", event_instant("event_time"))
-    untimed = with_id.filter(F.col("event_time").isNull())
-    marked = timed.withWatermark("_instant", delay)
-    if spread > 1:
-        marked = (
-            marked.withColumn("_bucket", (F.rand() * spread).cast("int"))
-            .dropDuplicatesWithinWatermark([key, "_bucket"])
-            .drop("_bucket")
-        )
-    deduped = marked.dropDuplicatesWithinWatermark([key]).drop("_instant")
-    return deduped.unionByName(untimed)
-
-
-def event_instant(ntz: str) -> F.Column:
-    """UTC wall-clock ``timestamp_ntz`` -> the same instant as ``timestamp``
-    (watermarks need the latter); exact, whatever the session zone."""
-    epoch = F.lit(EPOCH_NTZ).cast("timestamp_ntz")
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ntz)))
+    return (
+        typed.filter(F.col(key).isNotNull())
+        .withColumn("_arrived", F.current_timestamp())
+        .withWatermark("_arrived", delay)
+        .dropDuplicatesWithinWatermark([key])
+        .drop("_arrived")
+    )
 
 
 def typed_stream(messages: DataFrame) -> DataFrame:
