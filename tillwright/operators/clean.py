@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_finite
+from ..functions import is_finite, out_of_range
 from ..schemas import PRICE_CAP
 from .parse import with_event_time, with_processed_time
 
@@ -27,6 +27,8 @@ def _rules(check_finite: bool) -> list[tuple[str, Column]]:
         # NaN > 0 is true in Spark, so a NaN total would pass the rules above and
         # poison a double sum; in a decimal sum it would silently vanish.
         rules.append(("total_amount_not_finite", is_finite("total_amount")))
+        # A finite amount too large for the exact sums would vanish from them.
+        rules.append(("total_amount_out_of_range", ~out_of_range("total_amount")))
     return rules
 
 
@@ -38,6 +40,7 @@ RULE_NAMES = [
     "unit_price_over_cap",
     "quantity_not_positive",
     "total_amount_not_finite",
+    "total_amount_out_of_range",
 ]
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cents
+from ..functions import exact, out_of_range
 from ..schemas import NEAR_ZERO_LIMIT, NORMAL_BAND_LOW, SPIKE_FACTOR_LOW
 from .enrich import enrich_product, with_rate
 
@@ -31,7 +31,8 @@ def classify(events: DataFrame, products: DataFrame, fx: DataFrame) -> DataFrame
         .when(p < 0, F.lit("negative"))
         .when(p < NEAR_ZERO_LIMIT, F.lit("near_zero"))
         .when(F.col("base_price_usd").isNull(), F.lit("unknown"))
-        .when(cents(p) >= spike_threshold(), F.lit("spike"))
+        .when(F.isnan(p), F.lit("unknown"))
+        .when(out_of_range(p) | (exact(p) >= spike_threshold()), F.lit("spike"))
         .otherwise(F.lit("normal"))
     )
     enriched = with_rate(enrich_product(events, products), fx)

@@ -1,9 +1,9 @@
 """Gold aggregates over silver.
 
 Each gold table is one partial + final hash aggregation. ``gold_all``
-computes all three in a single scan of silver with GROUPING SETS (one
-Expand, one partial aggregation, one shuffle); the three tables are then
-cut from its small result. Money is summed in decimal and rounded at the end.
+computes all three in a single scan of silver: rows are first aggregated by
+all keys together, and GROUPING SETS then triple only that small result; the
+three tables are cut from it. Money is summed exactly and rounded at the end.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cents, revenue_sum
+from ..functions import exact, revenue_sum
 
 COUNTRY = "revenue_by_country"
 PRODUCTS = "top_products"
@@ -66,19 +66,25 @@ def revenue_by_store(silver: DataFrame, sort: bool = True) -> DataFrame:
 def gold_all(silver: DataFrame) -> DataFrame:
     """All three gold tables from one scan, tagged by ``gold_table``.
 
+    A stream holds one aggregation only, so there GROUPING SETS see the rows.
+
     Columns: gold_table, country, currency, product_name, store_id,
     total_revenue, total_transactions. Keys a table does not group by are null.
     """
-    grouped = silver.groupingSets(
+    keys = ["country", "currency", "product_name", "store_id"]
+    revenue, transactions = F.sum(exact("total_amount")), F.count("transaction_id")
+    if silver.isStreaming:
+        rows = silver
+    else:
+        rows = silver.groupBy(*keys).agg(revenue.alias("_revenue"), transactions.alias("_n"))
+        revenue, transactions = F.sum("_revenue"), F.sum("_n")
+    grouped = rows.groupingSets(
         [KEYS[COUNTRY], KEYS[PRODUCTS], KEYS[STORE]],
-        "country",
-        "currency",
-        "product_name",
-        "store_id",
+        *keys,
     ).agg(
-        F.sum(cents("total_amount")).alias("revenue_exact"),
-        F.count("transaction_id").alias("total_transactions"),
-        F.grouping_id("country", "currency", "product_name", "store_id").alias("gid"),
+        revenue.alias("revenue_exact"),
+        transactions.alias("total_transactions"),
+        F.grouping_id(*keys).alias("gid"),
     )
     # grouping_id bit order follows the argument order (country is the high bit).
     tag = (
@@ -97,30 +103,32 @@ def gold_all(silver: DataFrame) -> DataFrame:
     )
 
 
+def sort_tagged(tagged: DataFrame) -> DataFrame:
+    """Tagged gold in one order that sorts every table as written."""
+    by_revenue = F.when(F.col("gold_table") == STORE, F.col("total_revenue"))
+    measure = F.coalesce(by_revenue, F.col("total_transactions").cast("double"))
+    keys = ["product_name", "store_id", "country", "currency"]
+    return tagged.orderBy("gold_table", measure.desc(), *[F.col(k).asc_nulls_last() for k in keys])
+
+
 def split_gold(tagged: DataFrame, name: str, sort: bool = True) -> DataFrame:
     """One gold table cut from ``gold_all`` output (or its stored copy)."""
     out = tagged.filter(F.col("gold_table") == name).select(*_COLUMNS[name])
     return sort_gold(out, name) if sort else out
 
 
+def tagged_table(df: DataFrame, name: str) -> DataFrame:
+    """One gold table in the tagged shape of ``gold_all``."""
+    cols = ["country", "currency", "product_name", "store_id", "total_revenue", "total_transactions"]
+    have = [(F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c) for c in cols]
+    return df.select(F.lit(name).alias("gold_table"), *have)
+
+
 def tagged_gold(tables: dict[str, DataFrame]) -> DataFrame:
     """Three separate gold tables -> the tagged shape of ``gold_all``."""
-    cols = ["country", "currency", "product_name", "store_id", "total_revenue", "total_transactions"]
-    parts = []
-    for name in GOLD_TABLES:
-        df = tables[name]
-        parts.append(
-            df.select(
-                F.lit(name).alias("gold_table"),
-                *[
-                    (F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c)
-                    for c in cols
-                ],
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = tagged_table(tables[GOLD_TABLES[0]], GOLD_TABLES[0])
+    for name in GOLD_TABLES[1:]:
+        out = out.unionByName(tagged_table(tables[name], name))
     return out
 
 

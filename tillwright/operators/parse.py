@@ -17,13 +17,14 @@ def message_text(messages: DataFrame) -> DataFrame:
     return messages.select(*cols)
 
 
-def parse_events(messages: DataFrame, full: bool = False, keep_raw: bool = False) -> DataFrame:
+def parse_events(messages: DataFrame, full: bool = False, keep_raw: bool = False, keep_key: bool = False) -> DataFrame:
     """Parse JSON values with a fixed schema, permissively.
 
     ``full=False`` keeps the writers' 9 fields (parity); ``full=True`` keeps
     all 18, including the fraud ground truth the parity mode drops.
     Malformed text, arrays and JSON ``null`` give an all-null row; a field of
-    the wrong type is null on its own. ``keep_raw`` keeps the original text.
+    the wrong type is null on its own. ``keep_raw`` keeps the original text,
+    ``keep_key`` the message key.
     """
     schema = EVENT_SCHEMA if full else PARSED_SCHEMA
     text = message_text(messages)
@@ -32,6 +33,7 @@ def parse_events(messages: DataFrame, full: bool = False, keep_raw: bool = False
     # message is parsed once; projecting ``struct.*`` instead lets predicate
     # pushdown copy ``from_json`` into every filter (8 parses per row in silver).
     return text.select(
+        *([F.col("key")] if keep_key else []),
         *([F.col("value")] if keep_raw else []),
         F.inline(F.array(F.from_json(F.col("value"), schema))),
     )

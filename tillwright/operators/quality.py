@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cents, line_total, missing_keys
+from ..functions import exact, line_total, missing_keys, out_of_range
 from ..functions.once import computed_once
 from ..schemas import NEAR_ZERO_LIMIT, QA_SPIKE_THRESHOLD, REQUIRED_KEYS
 
@@ -19,7 +19,12 @@ MISSING_PREFIX = "missing_field:"
 
 
 def missing_fields(raw: str = "value") -> Column:
-    return missing_keys(raw, REQUIRED_KEYS)
+    """Required keys absent from the text. A parsed value proves its key is
+    there, so the text is searched only where some required field is null."""
+    some_null = F.lit(False)
+    for key in REQUIRED_KEYS:
+        some_null = some_null | F.col(key).isNull()
+    return F.when(some_null, missing_keys(raw, REQUIRED_KEYS)).otherwise(F.array().cast("array<string>"))
 
 
 def zero_price() -> Column:
@@ -37,7 +42,12 @@ def expected_total() -> Column:
 
 def total_mismatch() -> Column:
     """Total differs from round(price * qty, 2), compared exactly in decimal."""
-    return cents("total_amount") != expected_total()
+    return exact("total_amount") != expected_total()
+
+
+def amount_out_of_range() -> Column:
+    """A price or total that is no number, infinite, or too large to be summed exactly."""
+    return F.coalesce(out_of_range("unit_price"), F.lit(False)) | F.coalesce(out_of_range("total_amount"), F.lit(False))
 
 
 def fraud_pattern_mismatch() -> Column:
@@ -56,6 +66,7 @@ def errors(raw: str = "value") -> Column:
             F.when(bad_quantity(), F.lit("bad_quantity")),
             F.when(total_mismatch(), F.lit("total_mismatch")),
             F.when(fraud_pattern_mismatch(), F.lit("fraud_pattern_mismatch")),
+            F.when(amount_out_of_range(), F.lit("amount_out_of_range")),
         )
     )
     return F.concat(missing, checks)
@@ -107,7 +118,7 @@ def error_rows(events: DataFrame, raw: str = "value") -> DataFrame:
 
 def fails_any(raw: str = "value") -> Column:
     """True when ``errors`` would be non-empty, without building the list."""
-    checks = [zero_price(), bad_quantity(), total_mismatch(), fraud_pattern_mismatch()]
+    checks = [zero_price(), bad_quantity(), total_mismatch(), fraud_pattern_mismatch(), amount_out_of_range()]
     out = F.size(missing_fields(raw)) > 0
     for c in checks:
         out = out | F.coalesce(c, F.lit(False))

@@ -91,6 +91,10 @@ PARSED_SCHEMA = T.StructType(
 )
 
 MONEY = T.DecimalType(18, 2)
+# An event's amount: six decimals are summed and rounded once at the end. An
+# amount beyond it (or NaN, Infinity) has no value here and is reported.
+AMOUNT = T.DecimalType(26, 6)
+USD_AMOUNT = T.DecimalType(26, 2)
 RATE = T.DecimalType(10, 4)
 
 # Silver as read back from its partitioned folder: the partition column last.
