@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import gold as G
 from ..schemas import GOLD_SCHEMAS, SILVER_READ_SCHEMA
@@ -20,31 +21,22 @@ from . import manifest
 
 # Rows per Parquet file in layer writes (bounds file size at any scale).
 MAX_RECORDS_PER_FILE = 5_000_000
-# Largest gold result written as one sorted file per table.
-SINGLE_FILE_GOLD_ROWS = 1_000_000
-# Largest export that is written as one CSV file (ordered); above it the
-# export is several part files whose name order is the sort order.
-SINGLE_FILE_EXPORT_ROWS = 1_000_000
+# Committed gold versions that stay readable; older ones are removed by a publish.
+KEEP_VERSIONS = 10
 
 
 def write_silver(silver: DataFrame, path: str, spread: int | None = None) -> None:
     """Append silver as Parquet partitioned by country.
 
-    Countries are few and one may hold a third of all rows, so rows are
-    shuffled on (country, hash(id) mod ``spread``): a hot country is split
-    over ``spread`` tasks (default: the session's shuffle width; AQE merges
-    the buckets again when data is small), and files are capped in rows.
+    Rows are rebalanced by country: Spark splits a hot country and merges
+    small ones to its advisory partition size, so the number of files follows
+    the data. ``spread`` instead deals every country over that many buckets.
     """
-    spark = silver.sparkSession
-    n = spread or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bucket = F.pmod(F.xxhash64("transaction_id"), F.lit(n))
-    (
-        silver.repartition("country", bucket)
-        .write.mode("append")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("country")
-        .parquet(path)
-    )
+    if spread:
+        laid = silver.repartition("country", F.pmod(F.xxhash64("transaction_id"), F.lit(spread)))
+    else:
+        laid = silver.hint("rebalance", "country")
+    laid.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("country").parquet(path)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
@@ -65,50 +57,53 @@ def publish_gold(silver: DataFrame, gold_root: str) -> str:
     return publish_tagged(G.gold_all(silver), gold_root)
 
 
-def publish_tagged(tagged_result: DataFrame, gold_root: str, version: str | None = None) -> str:
-    """Publish the three gold tables from one tagged (grouping-sets) result.
+def publish_tagged(
+    tagged_result: DataFrame, gold_root: str, version: str | None = None, tables: tuple[str, ...] = G.GOLD_TABLES
+) -> str:
+    """Publish ``tables`` from one tagged result: one partitioned write.
 
-    The result is written once (a lineage cut in the shared folder); the
-    three tables are cut from that small copy, sorted, written to new version
-    folders and committed through the manifest.
+    The result is written once (a lineage cut; a micro-batch must not be
+    computed twice), then sorted so that every table is in its own order and
+    written to the version's folder, with a sub-folder for each table. The
+    same path serves any size: a small table comes out as one file, a large
+    one as several in order. Superseded versions are removed at the end.
     """
     spark = tagged_result.sparkSession
     root = gold_root.rstrip("/")
     version = version or _version()
     stage = f"{root}/_stage/v={version}"
     tagged_result.write.parquet(stage)
-    tagged = spark.read.parquet(stage)
-    # Proven-small results are written as one ordered file (no range-sort
-    # sampling job); larger ones keep the distributed range sort.
-    small = tagged.limit(SINGLE_FILE_GOLD_ROWS + 1).count() <= SINGLE_FILE_GOLD_ROWS
-    for name in G.GOLD_TABLES:
-        table = G.split_gold(tagged, name, sort=not small)
-        if small:
-            table = G.sort_gold(table.coalesce(1), name, within_partitions=True)
-        table.write.parquet(f"{root}/{name}/v={version}")
-    manifest.commit(spark, root, [(name, version, f"{root}/{name}/v={version}") for name in G.GOLD_TABLES])
+    staged = spark.read.schema(tagged_result.schema).parquet(stage)
+    G.sort_tagged(staged).write.partitionBy("gold_table").parquet(f"{root}/v={version}")
+    manifest.commit(spark, root, [(name, version, f"{root}/v={version}/gold_table={name}") for name in tables])
+    remove(spark, stage)
+    expire(spark, root)
     return version
 
 
 def publish_table(result: DataFrame, gold_root: str, name: str, version: str | None = None) -> str:
-    """Publish one gold table from a result computed exactly once.
+    """Publish one gold table from a result that is computed exactly once."""
+    return publish_tagged(G.tagged_table(result, name), gold_root, version, (name,))
 
-    The result (e.g. a streaming micro-batch, which must not be re-executed)
-    is written to the stage folder first; the sorted table is written from
-    that copy and committed through the manifest.
-    """
-    spark = result.sparkSession
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of ours on whatever file system it lies."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def expire(spark: SparkSession, gold_root: str, keep: int = KEEP_VERSIONS) -> None:
+    """Remove versions beyond the newest ``keep`` that no table points to, and
+    their manifest files, so that neither grows with the number of publishes."""
     root = gold_root.rstrip("/")
-    version = version or _version()
-    stage = f"{root}/_stage/{name}/v={version}"
-    result.write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    small = staged.limit(SINGLE_FILE_GOLD_ROWS + 1).count() <= SINGLE_FILE_GOLD_ROWS
-    table = G.sort_gold(staged.coalesce(1), name, within_partitions=True) if small else G.sort_gold(staged, name)
-    path = f"{root}/{name}/v={version}"
-    table.write.parquet(path)
-    manifest.commit(spark, root, [(name, version, path)])
-    return version
+    rows = manifest.entries(spark, root)
+    newest = sorted({r["version"]: r["committed_at"] for r in sorted(rows, key=lambda r: r["committed_at"])}.items(), key=lambda x: x[1])
+    latest = {r["gold_table"]: r["version"] for r in sorted(rows, key=lambda r: (r["committed_at"], r["version"]))}
+    doomed = {v for v, _ in newest[:-keep]} - set(latest.values())
+    for version in doomed:
+        remove(spark, f"{root}/v={version}")
+    for file in {r["file"] for r in rows} - {r["file"] for r in rows if r["version"] not in doomed}:
+        remove(spark, file)
 
 
 def current_gold_path(spark: SparkSession, gold_root: str, name: str) -> str:
@@ -116,25 +111,33 @@ def current_gold_path(spark: SparkSession, gold_root: str, name: str) -> str:
     return manifest.current_path(spark, gold_root, name)
 
 
+def _read_at(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One table of a version; the folder of an empty table need not exist."""
+    schema = GOLD_SCHEMAS[name]
+    version = spark.read.schema(T.StructType([*schema.fields, T.StructField("gold_table", T.StringType())])).parquet(path.rsplit("/", 1)[0])
+    return version.filter(F.col("gold_table") == name).select(*schema.fieldNames())
+
+
 def read_gold(spark: SparkSession, gold_root: str, name: str) -> DataFrame:
-    return spark.read.schema(GOLD_SCHEMAS[name]).parquet(current_gold_path(spark, gold_root, name))
+    return _read_at(spark, current_gold_path(spark, gold_root, name), name)
 
 
 def read_gold_tables(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
-    """All current gold tables, resolved with one manifest read."""
+    """All current gold tables, resolved with one manifest read, so of one moment."""
     paths = manifest.current_paths(spark, gold_root)
-    return {n: spark.read.schema(GOLD_SCHEMAS[n]).parquet(paths[n]) for n in G.GOLD_TABLES}
+    return {n: _read_at(spark, paths[n], n) for n in G.GOLD_TABLES}
 
 
-def read_gold_glob(spark: SparkSession, gold_root: str, name: str) -> DataFrame:
-    """Glob scan of a table's Parquet files (``<version>/*.parquet``)."""
-    return spark.read.parquet(current_gold_path(spark, gold_root, name) + "/*.parquet")
+def read_gold_globs(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
+    """All current gold tables by glob (``<version>/<table>/*.parquet``), resolved with one manifest read."""
+    paths = manifest.current_paths(spark, gold_root)
+    return {n: spark.read.schema(GOLD_SCHEMAS[n]).parquet(f"{paths[n]}/*.parquet") for n in G.GOLD_TABLES}
 
 
 def gold_views(spark: SparkSession, gold_root: str) -> list[str]:
-    """Register each current gold table as a temp view of the same name."""
-    for name in G.GOLD_TABLES:
-        read_gold(spark, gold_root, name).createOrReplaceTempView(name)
+    """Register the current gold tables, of one moment, as temp views of the same names."""
+    for name, df in read_gold_tables(spark, gold_root).items():
+        df.createOrReplaceTempView(name)
     return list(G.GOLD_TABLES)
 
 
@@ -142,24 +145,18 @@ def export_csv(
     df: DataFrame,
     path: str,
     order_by: list,
-    single_file_rows: int = SINGLE_FILE_EXPORT_ROWS,
     money_columns: tuple[str, ...] = ("total_revenue", "total_revenue_usd"),
 ) -> None:
     """Ordered CSV with a header and comma delimiter.
 
-    A range-partitioned sort keeps the global order across part files. When
-    the export is proven small it is merged into one file; a big export is
-    never funnelled through one task. Money (already rounded to cents) is
-    written as plain decimals, not in scientific notation.
+    A range-partitioned sort orders rows within and across part files; Spark
+    merges small exports into one part, at any size by the same plan. Money
+    (already rounded to cents) is written as plain decimals.
     """
     df = df.select(
         *[F.col(c).cast("decimal(38,2)").alias(c) if c in money_columns else F.col(c) for c in df.columns]
     )
-    ordered = df.orderBy(*order_by)
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
-    if small:
-        ordered = ordered.coalesce(1)
-    ordered.write.mode("overwrite").option("header", True).option("delimiter", ",").csv(path)
+    df.orderBy(*order_by).write.mode("overwrite").option("header", True).option("delimiter", ",").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -30,6 +30,12 @@ def commit(spark: SparkSession, root: str, entries: list[tuple[str, str, str]])
     )
 
 
+def entries(spark: SparkSession, root: str) -> list:
+    """All rows with the file each lies in (few: superseded files are removed)."""
+    rows = spark.read.parquet(f"{root.rstrip('/')}/_manifest")
+    return rows.select("*", F.col("_metadata.file_path").alias("file")).collect()
+
+
 def current_path(spark: SparkSession, root: str, table: str) -> str:
     """Folder of the latest committed version of ``table``."""
     row = (
