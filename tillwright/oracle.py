@@ -77,17 +77,17 @@ silver AS (
     AND quantity > 0 AND isfinite(total_amount)),
 gold_country AS (
   SELECT country, currency,
-         CAST(ROUND(SUM(CAST(total_amount AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_revenue,
+         CAST(ROUND(SUM(TRY_CAST(total_amount AS DECIMAL(26,6))), 2) AS DOUBLE) AS total_revenue,
          COUNT(transaction_id) AS total_transactions
   FROM silver GROUP BY country, currency),
 gold_products AS (
   SELECT product_name,
          COUNT(transaction_id) AS total_transactions,
-         CAST(ROUND(SUM(CAST(total_amount AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_revenue
+         CAST(ROUND(SUM(TRY_CAST(total_amount AS DECIMAL(26,6))), 2) AS DOUBLE) AS total_revenue
   FROM silver GROUP BY product_name),
 gold_store AS (
   SELECT store_id, country,
-         CAST(ROUND(SUM(CAST(total_amount AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_revenue,
+         CAST(ROUND(SUM(TRY_CAST(total_amount AS DECIMAL(26,6))), 2) AS DOUBLE) AS total_revenue,
          COUNT(transaction_id) AS total_transactions
   FROM silver GROUP BY store_id, country),
 gold_tagged AS (
@@ -126,6 +126,7 @@ _RULES = [
     ("unit_price_over_cap", f"unit_price < {PRICE_CAP}"),
     ("quantity_not_positive", "quantity > 0"),
     ("total_amount_not_finite", "isfinite(total_amount)"),
+    ("total_amount_out_of_range", "(total_amount IS NULL OR TRY_CAST(total_amount AS DECIMAL(26,6)) IS NOT NULL)"),
 ]
 _REASON = (
     "CASE "
@@ -186,7 +187,7 @@ def _with(extra: str, body: str) -> str:
 
 
 def _dedup(src: str, cols: str) -> str:
-    order = "event_time, store_id, product_name, unit_price, quantity, total_amount, country, currency"
+    order = "event_time IS NULL, event_time, store_id, product_name, unit_price, quantity, total_amount, country, currency"
     return _q(
         f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id "
         f"ORDER BY {order.replace(',', ' NULLS FIRST,')} NULLS FIRST) AS rn "
@@ -207,6 +208,7 @@ _BRONZE = _q("SELECT * FROM bronze")
 
 QUERIES: dict[str, str] = {
     # --- parsing ----------------------------------------------------------
+    "publish_payload": _q("SELECT store_id AS key, * FROM produced"),
     "parse_events": _BRONZE,
     "bronze_projection": _q("SELECT * FROM produced"),
     "silver_event_time": _q("SELECT * FROM typed"),
@@ -328,7 +330,14 @@ QUERIES: dict[str, str] = {
     "stream_gold_products": _GOLD_PRODUCTS,
     "stream_gold_store": _GOLD_STORE,
     "stream_gold_all": _GOLD_TAGGED,
+    "stream_rejects": _q(
+        f"SELECT * FROM (SELECT *, {_REASON} AS reject_reason FROM typed) WHERE reject_reason IS NOT NULL"
+    ),
     "stream_dedup": _dedup("typed", _BRONZE_COLS),
+    "stream_dedup_batches": _dedup("typed", _BRONZE_COLS),
+    "raw_revenue_by_country": _q("SELECT * FROM gold_country ORDER BY total_transactions DESC, country, currency"),
+    "raw_top_products": _q("SELECT * FROM gold_products ORDER BY total_transactions DESC, product_name NULLS LAST"),
+    "raw_revenue_by_store": _q("SELECT * FROM gold_store ORDER BY total_transactions DESC, store_id, country"),
     # --- silver ---------------------------------------------------------
     "silver_clean": _q(f"SELECT {_SILVER_COLS} FROM silver"),
     "silver_row_count": _q("SELECT COUNT(*) AS n_rows FROM silver"),

@@ -6,6 +6,8 @@ extent; none caps, samples or subsets rows.
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,7 @@ from .operators import quality as Q
 from .operators import reports as R
 from .operators.parse import parse_events, with_event_time, with_processed_time
 from .plans import lake as L
-from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, MESSAGE_SCHEMA, PARSED_FIELDS
+from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS
 from .sources.dims import fx_dim, product_dim, store_dim
 from .sources.ledger import bronze_rows, ledger
 from .sources.topic import read_events, resent, to_messages, write_topic
@@ -101,8 +103,8 @@ def _messages(spark, sf_dir, ordered: bool = False):
 
 
 def publish_payload(spark, sf_dir):
-    """Keyed JSON messages as published to the topic (rows-only check)."""
-    return _messages(spark, sf_dir, ordered=True)
+    """Keyed JSON messages as published: the key, and the 18 fields read back from the text."""
+    return parse_events(_messages(spark, sf_dir, ordered=True), full=True, keep_key=True)
 
 
 def parse_events_q(spark, sf_dir):
@@ -231,9 +233,16 @@ def _usd(by: str) -> Query:
     return lambda spark, sf_dir: E.usd_revenue(_silver(spark, sf_dir), fx_dim(spark), by)
 
 
+def _later_text(event_time):
+    """A later instant whose text sorts before the given one (other offset), or no time at all."""
+    day_before = F.date_format(F.to_timestamp_ntz(F.substring(event_time, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")) - F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(F.col("quantity") % 2 == 0, F.lit("unreadable")).otherwise(F.concat(day_before, F.lit("-05:00")))
+
+
 def dedup_transactions(spark, sf_dir):
-    """Every event arrives twice (a producer retry); one copy per id remains."""
-    return D.dedup_transactions(resent(bronze_rows(spark, sf_dir)))
+    """Every event arrives again, later or with an unreadable time; the earliest readable copy of an id remains."""
+    events = bronze_rows(spark, sf_dir)
+    return D.dedup_transactions(events.withColumn("event_time", _later_text(F.col("event_time"))).unionByName(events))
 
 
 # --- lake reads and writes -------------------------------------------------------
@@ -253,7 +262,7 @@ def _published(spark, sf_dir) -> str:
 
 def scan_gold(spark, sf_dir):
     root = _published(spark, sf_dir)
-    return G.tagged_gold({n: L.read_gold_glob(spark, root, n) for n in G.GOLD_TABLES})
+    return G.tagged_gold(L.read_gold_globs(spark, root))
 
 
 def gold_roundtrip(spark, sf_dir):
@@ -314,14 +323,14 @@ def stream_restart(spark, sf_dir):
 
 
 def stream_tail(spark, sf_dir):
-    """Tail started before any event exists sees exactly the events that arrive."""
-    topic = scratch_path(spark, "topic")
-    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields])
-    empty.write.parquet(topic)
+    """A tail sees exactly the events that arrive after it started: not those already there."""
+    topic = _topic(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "tail"), scratch_path(spark, "ckpt-tail")
+    time.sleep(0.01)
+    started = dt.datetime.now(dt.timezone.utc)
 
     def run():
-        stream = S.bronze_stream(read_events(spark, topic, starting="latest"))
+        stream = S.bronze_stream(read_events(spark, topic, starting="latest", since=started))
         S.run_until_done(S.start_file_sink(stream, sink, ckpt, partition_by=(), available_now=True))
 
     run()
@@ -358,6 +367,34 @@ def stream_gold_all(spark, sf_dir):
     return G.tagged_gold(L.read_gold_tables(spark, root))
 
 
+def stream_rejects(spark, sf_dir):
+    """What the silver stream drops, with the first rule each row fails."""
+    topic = _topic(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "rejects"), scratch_path(spark, "ckpt-rejects")
+    S.run_until_done(S.start_file_sink(S.rejects_stream(read_events(spark, topic)), sink, ckpt, partition_by=(), available_now=True))
+    return spark.read.parquet(sink)
+
+
+def stream_dedup_batches(spark, sf_dir):
+    """Every event published twice, in files not ordered by time, one file a
+    micro-batch: rows far older than those before them are kept, once."""
+    topic = scratch_path(spark, "topic")
+    write_topic(resent(_messages(spark, sf_dir)).repartition(6, F.xxhash64("value") % 3, F.rand(7)), topic)
+    sink, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt-dedup")
+    stream = S.dedup_stream(S.typed_stream(read_events(spark, topic, max_files_per_trigger=1)))
+    S.run_until_done(S.start_file_sink(stream, sink, ckpt, partition_by=(), available_now=True))
+    return spark.read.parquet(sink)
+
+
+def _raw(name: str) -> Query:
+    """A raw table of the dashboard, ordered by transactions."""
+    def run(spark, sf_dir):
+        silver = _silver(spark, sf_dir)
+        return R.dashboard_frames({n: G.gold_table(silver, n, sort=False) for n in G.GOLD_TABLES})[f"raw_{name}"]
+
+    return run
+
+
 def stream_dedup(spark, sf_dir):
     """Every event published twice; the watermark dedup keeps one per id."""
     topic = _topic(spark, sf_dir, copies=2)
@@ -422,7 +459,9 @@ QUERIES: dict[str, Query] = {
     "stream_gold_products": _stream_gold(G.PRODUCTS),
     "stream_gold_store": _stream_gold(G.STORE),
     "stream_gold_all": stream_gold_all,
+    "stream_rejects": stream_rejects,
     "stream_dedup": stream_dedup,
+    "stream_dedup_batches": stream_dedup_batches,
     # silver, gold, reports
     "silver_clean": silver_clean,
     "silver_row_count": silver_row_count,
@@ -430,6 +469,9 @@ QUERIES: dict[str, Query] = {
     "gold_top_products": _gold(G.PRODUCTS),
     "gold_revenue_by_store": _gold(G.STORE),
     "gold_tables_one_scan": gold_tables_one_scan,
+    "raw_revenue_by_country": _raw(G.COUNTRY),
+    "raw_top_products": _raw(G.PRODUCTS),
+    "raw_revenue_by_store": _raw(G.STORE),
     "report_revenue_by_country": report_revenue_by_country,
     "report_top10_products": report_top10_products,
     "report_top_stores": report_top_stores,
