@@ -145,13 +145,14 @@ def main(argv: list[str] | None = None) -> None:
         starting = a.starting or ("latest" if a.job == "tail" else "earliest")
         if starting == "latest" and a.format == "files" and a.job != "tail":
             raise SystemExit("a folder of files has no offsets: only tail can start at latest there")
+        if a.job != "tail":
+            out = a.gold_root if a.job == "live-gold" else a.out
+            ckpt = _checkpoint(spark, a.checkpoint, a.job, a.topic, out, getattr(a, "table", ""))
         messages = read_events(spark, a.topic, a.format, starting, _options(a.option))
         if a.job == "tail":
             # A tail shows what arrives while it runs; it has nothing to resume.
             S.run_until_done(S.start_console(S.bronze_stream(messages), a.checkpoint, available_now=a.once))
             return
-        out = a.gold_root if a.job == "live-gold" else a.out
-        ckpt = _checkpoint(spark, a.checkpoint, a.job, a.topic, out, getattr(a, "table", ""))
         if a.job == "bronze":
             q = S.start_file_sink(S.bronze_stream(messages, full=a.full), a.out, ckpt, available_now=a.once, interval=a.interval)
         elif a.job == "silver":
