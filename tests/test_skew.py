@@ -78,7 +78,7 @@ def test_silver_write_spreads_a_hot_country(spark):
     )
 
 
-def test_stream_dedup_spreads_a_hot_id(spark):
+def test_stream_dedup_of_a_hot_id_is_exact(spark):
     import json
 
     from tillwright.schemas import MESSAGE_SCHEMA
@@ -93,8 +93,6 @@ def test_stream_dedup_spreads_a_hot_id(spark):
     spark.createDataFrame(rows, MESSAGE_SCHEMA).repartition(6).write.parquet(topic)
     sink, ckpt = scratch_path(spark, "t-hot-sink"), scratch_path(spark, "t-ckpt")
     stream = S.dedup_stream(S.typed_stream(read_events(spark, topic)))
-    plan = stream._jdf.queryExecution().analyzed().toString()
-    assert plan.count("DeduplicateWithinWatermark") == 2
     S.run_until_done(S.start_file_sink(stream, sink, ckpt, partition_by=(), available_now=True))
     got = spark.read.parquet(sink)
     assert got.count() == 601
