@@ -20,9 +20,9 @@ def test_publish_bronze_silver_gold_export(spark):
     jobs.main(["export", "--gold-root", f"{root}/gold", "--out", f"{root}/csv"])
 
     assert spark.read.parquet(f"{root}/bronze").count() == 6000
-    assert L.read_silver(spark, f"{root}/silver").count() == 5708
+    assert L.read_silver(spark, f"{root}/silver").count() == 5584
     country = L.read_csv(spark, f"{root}/csv/{G.COUNTRY}", GOLD_SCHEMAS[G.COUNTRY])
-    assert sum(r.total_transactions for r in country.collect()) == 5708
+    assert sum(r.total_transactions for r in country.collect()) == 5584
     text = spark.read.text(f"{root}/csv/{G.COUNTRY}").collect()
     assert text[0].value == "country,currency,total_revenue,total_transactions"
     assert "E" not in text[1].value.split(",")[2]  # plain decimals, no exponent

@@ -37,6 +37,8 @@ priced AS (
               WHEN h=1 THEN CAST(0.50 AS DECIMAL(18,2))
               WHEN h=2 THEN normal_price*12
               WHEN h=7 THEN CAST({PRICE_CAP} AS DECIMAL(18,2))
+              WHEN h=8 THEN CAST(0 AS DECIMAL(18,2))
+              WHEN h=9 THEN CAST(100 AS DECIMAL(18,2))
               ELSE normal_price END AS price,
          CASE WHEN h=3 THEN 0 ELSE CAST(l_quantity AS INT) END AS qty
   FROM base),
@@ -47,16 +49,17 @@ ledger AS (
          printf('R%04d', l_suppkey) AS store_id,
          s_name AS store_name,
          concat('City-', s_nationkey) AS city,
-         n_name AS country, r_name AS region, currency,
-         concat('SKU-', l_partkey) AS sku,
+         n_name AS country, r_name AS region, CASE WHEN h=10 THEN 'XXX' ELSE currency END AS currency,
+         CASE WHEN h=11 THEN 'SKU-none' ELSE concat('SKU-', l_partkey) END AS sku,
          CASE WHEN h=4 THEN NULL ELSE p_name END AS product_name,
          p_type AS category,
          CAST(price AS DOUBLE) AS unit_price,
          qty AS quantity,
-         CAST(CASE WHEN h=6 THEN price*qty + 1 ELSE price*qty END AS DOUBLE) AS total_amount,
+         CASE WHEN h=12 THEN CAST('inf' AS DOUBLE)
+              ELSE CAST(CASE WHEN h=6 THEN price*qty + 1 ELSE price*qty END AS DOUBLE) END AS total_amount,
          o_orderpriority AS payment_method,
          c_mktsegment AS customer_type,
-         (h <= 2) AS is_fraud_flag,
+         (h <= 2 OR h = 9) AS is_fraud_flag,
          '1.0.0' AS producer_version
   FROM priced),
 produced AS (
@@ -144,8 +147,10 @@ _ERRORS = (
     + ", ".join(f"CASE WHEN {k} IS NULL THEN 'missing_field:{k}' END" for k in REQUIRED_KEYS)
     + ", CASE WHEN unit_price = 0 THEN 'zero_price' END"
     + ", CASE WHEN coalesce(quantity, 0) <= 0 THEN 'bad_quantity' END"
-    + f", CASE WHEN CAST(total_amount AS DECIMAL(18,2)) <> {_EXPECTED} THEN 'total_mismatch' END"
+    + f", CASE WHEN TRY_CAST(total_amount AS DECIMAL(26,6)) <> {_EXPECTED} THEN 'total_mismatch' END"
     + f", CASE WHEN {_FRAUD_MISMATCH} THEN 'fraud_pattern_mismatch' END"
+    + ", CASE WHEN (unit_price IS NOT NULL AND TRY_CAST(unit_price AS DECIMAL(26,6)) IS NULL) "
+    + "OR (total_amount IS NOT NULL AND TRY_CAST(total_amount AS DECIMAL(26,6)) IS NULL) THEN 'amount_out_of_range' END"
     + "], lambda x: x IS NOT NULL)"
 )
 _PRODUCTS = (
@@ -251,7 +256,7 @@ QUERIES: dict[str, str] = {
     "dq_total_mismatch": _q(
         f"SELECT transaction_id, unit_price, quantity, total_amount, "
         f"CAST({_EXPECTED} AS DOUBLE) AS expected_total FROM ledger "
-        f"WHERE CAST(total_amount AS DECIMAL(18,2)) <> {_EXPECTED}"
+        f"WHERE TRY_CAST(total_amount AS DECIMAL(26,6)) <> {_EXPECTED}"
     ),
     "dq_fraud_sanity": _q(
         f"SELECT transaction_id, unit_price FROM ledger WHERE {_FRAUD_MISMATCH}"

@@ -7,6 +7,8 @@ rows. The fault code ``h`` (0-99) selects:
     0 negative price (flagged)   1 price 0.50 (flagged)   2 price x 12 (flagged)
     3 quantity 0                 4 null product_name      5 null transaction_id
     6 total off by +1            7 price at the 10,000,000 cap (not flagged)
+    8 price 0                    9 price 100.00 (flagged)  10 unknown currency
+    11 unknown sku               12 infinite total
 
 Join plan: every dimension table joins the fact stream directly, so the
 broadcast-or-shuffle choice rests on each table's own size; ``orders`` (as
@@ -53,12 +55,13 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(h == 3, F.lit(0)).otherwise(F.col("l_quantity").cast("int")).alias("qty"),
         F.when(h == 0, F.lit(-1))
         .when(h == 2, F.lit(12))
-        .when((h == 1) | (h == 7), F.lit(0))
+        .when((h == 1) | h.between(7, 9), F.lit(0))
         .otherwise(F.lit(1))
         .cast("long")
         .alias("price_mult"),
         F.when(h == 1, F.lit(50))
         .when(h == 7, F.lit(PRICE_CAP * 100))
+        .when(h == 9, F.lit(10_000))
         .otherwise(F.lit(0))
         .cast("long")
         .alias("price_add"),
@@ -119,16 +122,16 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("City-"), F.col("s_nationkey").cast("string")).alias("city"),
         F.col("n_name").alias("country"),
         F.col("r_name").alias("region"),
-        "currency",
-        F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
+        F.when(h == 10, F.lit("XXX")).otherwise(F.col("currency")).alias("currency"),
+        F.when(h == 11, F.lit("SKU-none")).otherwise(F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string"))).alias("sku"),
         F.when(h == 4, F.lit(None).cast("string")).otherwise(F.col("product_name")).alias("product_name"),
         "category",
         cents_to_double(price).alias("unit_price"),
         F.col("qty").alias("quantity"),
-        cents_to_double(total).alias("total_amount"),
+        F.when(h == 12, F.lit(float("inf"))).otherwise(cents_to_double(total)).alias("total_amount"),
         F.col("o_orderpriority").alias("payment_method"),
         F.col("c_mktsegment").alias("customer_type"),
-        (h <= 2).alias("is_fraud_flag"),
+        ((h <= 2) | (h == 9)).alias("is_fraud_flag"),
         F.lit("1.0.0").alias("producer_version"),
     )
 
