@@ -339,7 +339,9 @@ QUERIES: dict[str, str] = {
         f"SELECT * FROM (SELECT *, {_REASON} AS reject_reason FROM typed) WHERE reject_reason IS NOT NULL"
     ),
     "stream_dedup": _dedup("typed", _BRONZE_COLS),
-    "stream_dedup_batches": _dedup("typed", _BRONZE_COLS),
+    "stream_dedup_batches": _q(
+        "SELECT DISTINCT transaction_id, store_id, product_name, unit_price, country, currency FROM typed WHERE transaction_id IS NOT NULL"
+    ),
     "raw_revenue_by_country": _q("SELECT * FROM gold_country ORDER BY total_transactions DESC, country, currency"),
     "raw_top_products": _q("SELECT * FROM gold_products ORDER BY total_transactions DESC, product_name NULLS LAST"),
     "raw_revenue_by_store": _q("SELECT * FROM gold_store ORDER BY total_transactions DESC, store_id, country"),
