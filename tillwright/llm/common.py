@@ -78,9 +78,12 @@ def passes(batches: Iterator[pa.RecordBatch], text: str, most: int = PASS_BYTES)
             start = end
 
 
-def ranked(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name: str = "ranked") -> DataFrame:
+def ranked(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name: str = "ranked", few_groups: bool = True) -> DataFrame:
     """Adds ``rank``: gapless from 0 in the order of the columns ``order`` within ``group``.
 
+    ``few_groups``: the number of groups does not grow with the data, so the
+    counts (at most one for each partition and each group) may be broadcast.
+
     Rows are range-partitioned on group and order together, so neither a hot
     group nor a run of equal leading keys gathers in one task as long as the
     last order columns tell rows apart. Each partition numbers its own rows;
@@ -107,9 +110,8 @@ def ranked(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name:
     on = laid["_part"] == offsets["_p"]
     for g in group:
         on = on & laid[g].eqNullSafe(offsets[f"_g_{g}"])
-    # One row for each (partition, group): its size is bounded by tasks, not by data.
     return (
-        laid.join(F.broadcast(offsets), on)
+        laid.join(F.broadcast(offsets) if few_groups else offsets, on)
         .withColumn("rank", (F.col("_at") + F.col("_shift")).cast("bigint"))
         .drop("_part", "_at", "_p", "_shift", *[f"_g_{g}" for g in group])
     )

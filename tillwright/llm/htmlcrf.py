@@ -348,7 +348,7 @@ def labelled_pages(pages: DataFrame, documents: DataFrame, most: int = SAMPLE) -
         .limit(most)
     )
     # Both sides of the joins are the bounded sample; the large tables are only scanned.
-    texts = documents.select("doc_id", "text").join(F.broadcast(sample.select("doc_id").distinct()), "doc_id")
+    texts = documents.select("doc_id", "text").join(F.broadcast(sample.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
     pairs = (
         pages.select("page_id", "html").join(F.broadcast(sample), "page_id").filter("html IS NOT NULL").join(F.broadcast(texts.filter("text IS NOT NULL")), "doc_id")
     )

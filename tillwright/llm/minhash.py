@@ -243,7 +243,7 @@ def _block_links(still: DataFrame, halves: DataFrame, sets: DataFrame, percent:
     keys = staged(halves.select("cid", F.explode("left").alias("key")).join(inside.select("cid"), "cid", "left_semi"), "left-keys")
     star = keys.join(keys.groupBy("key").agg(F.min("cid").alias("x")), "key").select("x", F.col("cid").alias("y")).filter("x != y").distinct()
     clusters = components(star, inside.select("cid", F.col("cid").alias("label"))).select("cid", F.col("label").alias("cluster"))
-    places = ranked(clusters, ["cid"], ["cluster"], "places").select("cid", "cluster", F.expr(f"rank div {BLOCK}").cast("int").alias("block"))
+    places = ranked(clusters, ["cid"], ["cluster"], "places", few_groups=False).select("cid", "cluster", F.expr(f"rank div {BLOCK}").cast("int").alias("block"))
     sizes = places.groupBy("cluster").agg((F.max("block") + 1).alias("blocks"), F.count("*").alias("n")).filter("n > 1")
     meets = (
         places.join(sizes.select("cluster", "blocks"), "cluster")
