@@ -12,7 +12,8 @@ rows. The fault code ``h`` (0-99) selects:
 
 Join plan: every dimension table joins the fact stream directly, so the
 broadcast-or-shuffle choice rests on each table's own size; ``orders`` (as
-big as the facts divided by ~4) is joined on ``o_orderkey`` by a shuffle join.
+big as the facts divided by ~4) is joined on ``o_orderkey`` by a shuffle join,
+only where an event's order columns are asked for.
 """
 
 from __future__ import annotations
@@ -37,8 +38,13 @@ def cents_to_double(cents: Column) -> Column:
     return cents.cast("double") / F.lit(100.0)
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 18 event columns; ``event_time`` is a timestamp (no zone)."""
+def ledger(spark: SparkSession, sf_dir: str, buyers: bool = True) -> DataFrame:
+    """All 18 event columns; ``event_time`` is a timestamp (no zone).
+
+    ``buyers=False`` leaves out the two columns that come from the order and
+    its customer, and with them the only joins of two large tables: every line
+    has its order and every order its customer (``tests/test_ledger.py``).
+    """
     # Everything that depends on the fault code alone is computed once, on the
     # scan: price = normal * price_mult + price_add, total = price * qty +
     # total_add. Predicates pushed above the joins then see short linear
@@ -86,7 +92,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx_dim(spark).select("fx_id", "currency", (F.col("rate") * 10000).cast("long").alias("rate_e4"))
     )  # nine literal rows
 
-    # The facts must be shuffled on l_orderkey for the orders join anyway, so
+    # With buyers the facts are shuffled on l_orderkey for the orders join, so
     # that join comes first, straight after the pruned, filtered scan; the
     # dimension joins then run on every shuffle partition. Each dimension
     # meets the facts as a plain table scan, so Spark's size check
@@ -94,9 +100,10 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     # reliable size: small tables are broadcast, big ones shuffle-joined.
     # The hint keeps Spark from broadcasting the *fact* side when pruning and
     # pushed filters make its compressed-file estimate look small.
+    if buyers:
+        lines = lines.join(order_attrs.hint("shuffle_merge"), lines.l_orderkey == order_attrs.o_orderkey)
     joined = (
-        lines.join(order_attrs.hint("shuffle_merge"), lines.l_orderkey == order_attrs.o_orderkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
+        lines.join(parts, lines.l_partkey == parts.p_partkey)
         .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
         .join(nations, F.col("s_nationkey") == nations.n_nationkey)
         .join(regions, F.col("n_regionkey") == regions.r_regionkey)
@@ -129,8 +136,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         cents_to_double(price).alias("unit_price"),
         F.col("qty").alias("quantity"),
         F.when(h == 12, F.lit(float("inf"))).otherwise(cents_to_double(total)).alias("total_amount"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.col("c_mktsegment").alias("customer_type"),
+        *([F.col("o_orderpriority").alias("payment_method"), F.col("c_mktsegment").alias("customer_type")] if buyers else []),
         ((h <= 2) | (h == 9)).alias("is_fraud_flag"),
         F.lit("1.0.0").alias("producer_version"),
     )
@@ -152,6 +158,6 @@ def bronze_rows(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFra
     ``full=False`` gives the writers' 9 fields; ``full=True`` all 18.
     """
     names = [n for n, _ in EVENT_FIELDS] if full else PARSED_FIELDS
-    return ledger(spark, sf_dir).select(
+    return ledger(spark, sf_dir, buyers=full).select(
         *[iso_event_time(F.col(n)).alias(n) if n == "event_time" else F.col(n) for n in names]
     )
