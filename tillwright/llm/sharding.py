@@ -28,7 +28,7 @@ from .common import dropped, ranked, staged, staged_at
 
 SHARDS = 24
 #: Rounds at most; propagation ends earlier when no move is granted.
-ROUNDS = 12
+ROUNDS = 10
 
 
 def _quotas(wishes: dict[tuple[int, int], int], room: list[int]) -> list[tuple[int, int, int]]:
@@ -67,9 +67,10 @@ def propagated(state: DataFrame, members: DataFrame, capacity: list[int], rounds
     spark, n = state.sparkSession, len(capacity)
     at = None
     swapping = False
+    room = list(capacity)
+    for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect():
+        room[r["shard"]] -= r["n"]
     for _ in range(rounds):
-        held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-        room = [c - held.get(t, 0) for t, c in enumerate(capacity)]
         open_shards = list(range(n)) if swapping else [t for t in range(n) if room[t] > 0]
         wishes = {}
         if open_shards:
@@ -81,9 +82,16 @@ def propagated(state: DataFrame, members: DataFrame, capacity: list[int], rounds
                 break
             swapping = True
             continue
-        quota = F.broadcast(spark.createDataFrame(granted, "s int, t int, quota bigint"))
-        order = ranked(movers, ["loss", "link", "v"], ["s", "t"], "movers")
-        moved = order.join(quota, ["s", "t"]).filter("rank < quota").select("v", F.col("t").alias("to"))
+        for s, t, k in granted:
+            room[s] += k
+            room[t] -= k
+        # Only where a quota binds must the movers be ranked.
+        quota = F.broadcast(spark.createDataFrame([(s, t, k, k < wishes[s, t]) for s, t, k in granted], "s int, t int, quota bigint, binds boolean"))
+        asked = movers.join(quota, ["s", "t"])
+        moved = asked.filter("NOT binds").select("v", F.col("t").alias("to"))
+        if any(k < wishes[s, t] for s, t, k in granted):
+            order = ranked(asked.filter("binds"), ["loss", "link", "v"], ["s", "t"], "movers")
+            moved = moved.unionByName(order.filter("rank < quota").select("v", F.col("t").alias("to")))
         state, new_at = staged_at(state.join(moved, "v", "left").select("v", F.coalesce("to", "shard").alias("shard")), "shards")
         dropped(spark, movers_at)
         if at:
@@ -105,7 +113,8 @@ def balanced_shards(docs: DataFrame, n_shards: int = SHARDS, rounds: int = ROUND
     capacity = [n // n_shards + (t < n % n_shards) for t in range(n_shards)]
     shared = rows.groupBy("link").agg(F.count("*").alias("n")).filter("n > 1").select("link")
     members = staged(rows.select("v", "link").join(shared, "link"), "members")
-    start = ranked(members.select("v"), ["v"], name="start").select("v", F.pmod("rank", F.lit(n_shards)).cast("int").alias("shard"))
+    # Row numbers are gapless, so their remainders fill no shard beyond its capacity.
+    start = members.select("v", F.pmod("v", F.lit(n_shards)).cast("int").alias("shard"))
     state = propagated(staged(start, "shards"), members, capacity, rounds)
 
     held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
