@@ -150,11 +150,10 @@ def test_dashboard_frames_from_gold(spark):
 
 def test_failure_flag_agrees_with_error_lists_on_the_ledger(spark):
     from conftest import SF_SMALL
-    from tillwright.queries import queries
+    from tillwright.sources.ledger import ledger
+    from tillwright.sources.topic import to_messages
 
-    checked = parse_events(
-        queries()["publish_payload"](spark, SF_SMALL), full=True, keep_raw=True
-    )
+    checked = parse_events(to_messages(ledger(spark, SF_SMALL)), full=True, keep_raw=True)
     both = Q.with_errors(checked).withColumn("flag", Q.fails_any())
     disagree = both.filter((F.size("errors") > 0) != F.col("flag")).count()
     assert disagree == 0
