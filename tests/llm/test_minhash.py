@@ -105,3 +105,27 @@ def test_block_links_finds_links_that_no_centre_has(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [tuple(r) for r in minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()]
     assert sorted(got) == sorted(brute(rows))
+
+
+def test_chains_joined_by_one_block_link_are_whole(spark, monkeypatch):
+    """Chains a-b and c-d whose only other link, b-c, is left to the blocks: all four are one component."""
+    rng = random.Random(5)
+    rows = []
+    for g in range(8):
+        a = [f"g{g}w{i}" for i in range(200)]
+        for copy in range(4):
+            rows.append((len(rows), " ".join(a + ["end"] * (copy > 1))))
+            for k in range(4):
+                a[10 + 50 * k + 11 * copy] = f"x{rng.randrange(10**9)}"
+    want = brute(rows)
+    assert sorted({c for _, _, c in want}) == list(range(0, 32, 4))
+    by_centre = minhash._by_centre
+
+    def apart(buckets, percent):  # pairs of sets of one size only: a-b and c-d
+        n = buckets.select("cid", "n_shingles").distinct()
+        return by_centre(buckets, percent).join(n.toDF("x", "n"), "x").join(n.toDF("y", "n"), ["y", "n"]).select("x", "y")
+
+    monkeypatch.setattr(minhash, "_by_centre", apart)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [tuple(r) for r in minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()]
+    assert sorted(got) == sorted(want)

@@ -125,10 +125,10 @@ def _confirmed(percent: int):
 
 def _linked(percent: int):
     def link(table: pa.Table) -> pa.Table:
-        """Links between different components among the sets of blocks ``lo`` and ``hi`` of a cluster."""
+        """Pairs of components that sets of the blocks ``lo`` and ``hi`` of a cluster link, each once, by their labels."""
         table = table.combine_chunks()
         sets = _arrays(table.column("set").chunk(0)) if table.num_rows else []
-        cid, label = (np.asarray(table.column(c)) for c in ("cid", "label"))
+        label = np.asarray(table.column("label"))
         n = np.array([len(x) for x in sets])
         left = np.flatnonzero(np.asarray(table.column("block")) == np.asarray(table.column("lo")))
         right = np.flatnonzero(np.asarray(table.column("block")) == np.asarray(table.column("hi")))
@@ -147,7 +147,8 @@ def _linked(percent: int):
             common += member[left] @ member[right].T
         union = n[left][:, None] + n[right][None, :] - common
         x, y = np.nonzero((100 * common >= percent * union) & (label[left][:, None] != label[right][None, :]))
-        return pa.table({"x": pa.array(cid[left[x]], pa.int64()), "y": pa.array(cid[right[y]], pa.int64())})
+        pairs = np.unique(np.stack([label[left[x]], label[right[y]]], axis=1), axis=0)
+        return pa.table({"x": pa.array(pairs[:, 0], pa.int64()), "y": pa.array(pairs[:, 1], pa.int64())})
 
     return link
 
@@ -207,6 +208,13 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(cid, label) after the components of ``labels`` (cid, label) that ``links`` (labels x, y) connect became one each."""
+    ends = links.select(F.col("x").alias("cid")).union(links.select("y")).distinct()
+    new = components(links, ends.withColumn("label", F.col("cid"))).select(F.col("cid").alias("label"), F.col("label").alias("_new"))
+    return labels.join(new, "label", "left").select("cid", F.coalesce("_new", "label").alias("label"))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (x, y) whose full sets are similar enough."""
     with_x = pairs.join(sets.select(F.col("cid").alias("x"), F.col("set").alias("set_x")), "x")
@@ -232,7 +240,7 @@ def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _block_links(still: DataFrame, halves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components among the sets of open buckets ``still`` (key, cid, label)."""
+    """Labels (x, y) of different components that are linked, from the sets of open buckets ``still`` (key, cid, label)."""
     inside = sets.join(still.select("cid", "label").distinct(), "cid")
     shingles = inside.select("cid", "label", F.explode("set").alias("s"))
     abroad = shingles.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("s")
@@ -280,8 +288,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     labels = components(edges, members.select("cid", F.col("cid").alias("label")))
     still = staged(_open(buckets, labels), "open")
     if still.limit(1).count():
-        more = staged(_block_links(still, halves, sets, percent), "links")
-        labels = components(more, labels)
+        more = staged(_block_links(still, halves, sets, percent).distinct(), "links")
+        labels = staged(joined(labels, more), "joined")
 
     roots = classes.join(labels, "cid").groupBy("label").agg(F.min("rep").alias("root"))
     linked = labels.join(roots, "label").select("cid", "root")
