@@ -66,3 +66,17 @@ def test_masking(spark):
 
 def test_empty_table(spark):
     assert scanned(spark, []).count() == 0
+
+
+def test_every_string_after_a_context_word_is_judged(spark):
+    """Letters only, names before the secret, any white space and separators, a few words between."""
+    secret, letters = "qZ8vX2mK9pLw4RtYb7Nc3Hd6", "qZkvXwmKypLwgRtYbhNcuHdePsJfTzVa"
+    shapes = [
+        "client signing_credential_value: {}", "auth session_credential_main = {}", "private key: {}", "signing key {}", "credential := {}", "credential_2: {}",
+        "credential = {}", "credential:\t{}", "credential:\n{}", 'credential("{}")', "credential={}", "signing_credential={}", "the credential of the day is {}",
+    ]
+    texts = [shape.format(x) for shape in shapes for x in (secret, letters)]
+    got = {r["doc_id"]: r["spans"] for r in scanned(spark, list(enumerate(texts))).collect()}
+    for i, text in enumerate(texts):
+        at = text.index((secret, letters)[i % 2])
+        assert f"novel:{at}:{at + len((secret, letters)[i % 2])}" in got[i].split(","), text

@@ -1,9 +1,11 @@
 r"""Secret scans: fixed patterns, and novelty measured by dictionary-primed zstandard.
 
 Patterns find assignments, access keys and long hex strings. Further
-candidates are long unbroken strings in a sensitive context (after a word
-such as ``credential`` or ``bearer``). A candidate's novelty is its marginal
-size: zstandard, primed with a dictionary of identifiers, compresses the
+candidates are all long unbroken strings in a sensitive context: those that
+start at most ``DISTANCE`` bytes after a word such as ``credential`` or
+``bearer``, whatever lies between, or that go on after it. A string
+``name=value`` is judged in its two parts. Nothing but novelty decides: a candidate's novelty is its marginal
+size: zstandard, primed with a dictionary of identifiers and long words, compresses the
 surrounding text without and with the candidate. Words and identifiers cost
 little, as the dictionary or the surroundings hold their parts; a candidate
 that still costs ``NOVEL`` of its length or more is incompressible and is
@@ -18,6 +20,7 @@ are kept, except those named like the new ones.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import re
@@ -41,10 +44,12 @@ CONTEXT_WORDS = (
     b"credential", b"bearer", b"passphrase", b"private", b"signing", b"signature", b"session", b"auth", b"cookie", b"pwd",
     b"login", b"license", b"certificate", b"client", b"webhook", b"connection", b"secret", b"token", b"password", b"apikey", b"api_key", b"api key",
 )
-CONTEXT = re.compile(
-    rb"(?:" + b"|".join(CONTEXT_WORDS) + rb""")[a-z_-]{0,20}["']?(?:\x20?(?:[:=]|=>|\x20is\x20)|\x20)\x20?["']?([A-Za-z0-9+/_.=~-]{16,})""",
-    re.IGNORECASE,
-)
+CONTEXT = re.compile(b"|".join(CONTEXT_WORDS), re.IGNORECASE)
+LEAST = 16
+CANDIDATE = re.compile(rb"[A-Za-z0-9+/_.=~-]{%d,}" % LEAST)
+NAME = re.compile(rb"[A-Za-z0-9_.-]*=+")
+#: Bytes between a context word and the start of a candidate, at most.
+DISTANCE = 64
 #: Bytes of text before and after a candidate that prime the measurement.
 AROUND = 512
 NOVEL = 0.6
@@ -76,10 +81,31 @@ IDENTIFIERS = (
     "get_user_name setValue is_enabled MAX_LENGTH DEFAULT_TIMEOUT client_id client_secret access_token refresh_token session_id "
 )
 
+#: Long words of plain text, and the endings and beginnings that others share with them.
+WORDS = (
+    "accomplishments acknowledgement administration administratively anthropological approximately architectural authentication "
+    "autobiographical biotechnology bibliographical characteristically characterization circumstances classification commercialization "
+    "communications comprehensively computationally conceptualization confidentiality congratulations consciousness consequently "
+    "considerations constitutionally contemporaneous conversationally correspondingly correspondence counterproductive "
+    "crystallography decentralization democratization demonstrations departmental differentiation disappointments discrimination "
+    "disproportionately electromagnetic electronically entrepreneurship environmentally epidemiological establishment experimentally "
+    "extraordinarily fundamentally generalization geographically governmental gravitational hospitalization humanitarianism "
+    "hypersensitivity identification implementations incomprehensible inconsequential independently industrialization infrastructures "
+    "institutionalized instrumentation interchangeable interconnected interdependence interdisciplinary intergovernmental "
+    "internationalization interpretations investigations jurisdictional knowledgeable mathematically meteorological microorganisms "
+    "miscommunication misunderstandings multidimensional multiculturalism nationalization neighbourhoods neurophysiological "
+    "notwithstanding organizational parliamentarian particularly pharmaceuticals philosophically photographically physiological "
+    "predominantly professionalism psychologically rationalization recommendations reconciliation reconstruction rehabilitation "
+    "representatives responsibilities revolutionaries satisfactorily semiconductors simultaneously sophistication specifications "
+    "standardization straightforwardness superintendents telecommunications thermodynamics transcontinental transformations "
+    "transportation triumphantly unconstitutional uncharacteristically underrepresented understandable unprecedented unquestionably "
+    "unsatisfactory vulnerabilities whatsoever "
+)
+
 
 @functools.lru_cache(1)
 def _compressor() -> zstandard.ZstdCompressor:
-    dictionary = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    dictionary = zstandard.ZstdCompressionDict((WORDS + IDENTIFIERS).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=False, write_content_size=False)
 
 
@@ -121,17 +147,34 @@ def base_spans(raw: bytes, lower: bytes) -> list[tuple[int, int, int]]:
     return spans
 
 
+def _parts(raw: bytes, start: int, end: int) -> list[tuple[int, int]]:
+    """The string, or its name and its value if the value is long enough; only what is long enough."""
+    name = NAME.match(raw, start, end)
+    if name and end - name.end() >= LEAST:
+        cut = start + len(name[0].rstrip(b"="))
+        return [(s, e) for s, e in ((start, cut), (name.end(), end)) if e - s >= LEAST]
+    return [(start, end)] if end - start >= LEAST else []
+
+
 def novel_spans(raw: bytes, lower: bytes, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) in bytes of novel strings in sensitive contexts that touch no span of ``taken``."""
     if not any(w in lower for w in CONTEXT_WORDS):
         return []
+    ends = [m.end() for m in CONTEXT.finditer(raw)]
     spans = []
-    for m in CONTEXT.finditer(raw):
-        s, e = m.span(1)
-        if any(s < b and a < e for a, _, b in taken) or not re.search(rb"[0-9]", m[1]) or not re.search(rb"[A-Za-z]", m[1]):
-            continue
-        if novelty(raw[max(0, s - AROUND) : s], m[1], raw[e : e + AROUND]) >= NOVEL:
-            spans.append((s, 3, e))
+    for m in CANDIDATE.finditer(raw):
+        start, end = m.span()
+        # The last context word before the string, else the first one in it.
+        k = bisect.bisect_right(ends, start)
+        if not (k and start - ends[k - 1] <= DISTANCE):
+            if k == len(ends) or ends[k] > end - LEAST:
+                continue
+            start = ends[k]
+        for s, e in _parts(raw, start, end):
+            if any(s < b and a < e for a, _, b in taken):
+                continue
+            if novelty(raw[max(0, s - AROUND) : s], raw[s:e], raw[e : e + AROUND]) >= NOVEL:
+                spans.append((s, 3, e))
     return spans
 
 
