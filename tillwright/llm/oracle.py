@@ -104,5 +104,72 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
 
 
+OP11 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), f AS (
+  SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+    100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS dd,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE) AS e
+  FROM d
+), l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, (a::INT) + 2 * (b::INT) + 4 * (c::INT) + 8 * (dd::INT) + 16 * (e::INT) AS mask, count(*) AS n,
+    sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL
+), letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS t(name, bit)),
+orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a JOIN letters b ON b.bit <> a.bit JOIN letters c ON c.bit NOT IN (a.bit, b.bit)
+  JOIN letters d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN letters e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0)::INT AS before FROM orders, range(1, 6) AS s(step)
+), cells AS (
+  SELECT part, filter_order, step, n, good, toxic, mask & bit <> 0 AS fails, mask & before <> 0 AS gone, mask = bit AS alone, 120 // greatest(bit_count(mask), 1) AS share
+  FROM steps, m
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept,
+  CAST(sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed, CAST(sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+  CAST(sum(CASE WHEN alone THEN n ELSE 0 END) AS BIGINT) AS unique_fails, CAST(sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+  CAST(sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost, CAST(sum(CASE WHEN fails THEN n * share ELSE 0 END) AS BIGINT) AS shapley
+FROM cells GROUP BY part, filter_order, step
+"""
+
+OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), x AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM x GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM x JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (
+  SELECT a.lang, a.source, coalesce(t.n, 0) AS n, coalesce(v.v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) a LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source) t USING (lang, source) LEFT JOIN v USING (lang)
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + (1000000000 * (coalesce(c.c, 0) + 1)::HUGEINT) // (g.n + g.v)::HUGEINT AS p,
+    1 + (1000000000 * (k.c + 1)::HUGEINT) // (v.n + v.v)::HUGEINT AS q
+  FROM g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank FROM every
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_dedup": OP1, "op2_url_filters": OP2, "op5_decontamination": OP5}
+    return {
+        "op1_minhash_dedup": OP1,
+        "op2_url_filters": OP2,
+        "op5_decontamination": OP5,
+        "op11_filter_interaction": OP11,
+        "op12_source_divergence": OP12,
+    }
