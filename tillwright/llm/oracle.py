@@ -165,6 +165,24 @@ g AS (
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
+OP13 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT rid, doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda p: array_to_string(w[p : p + 2], ' ')))
+    WHEN len(w) > 0 THEN [len(w) || ':' || array_to_string(w, ' ')] ELSE [] END AS set FROM d
+), x AS (SELECT rid, len(set) AS n, unnest(set) AS shingle FROM s),
+links AS (
+  SELECT a.rid AS a, b.rid AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.rid <> b.rid
+  GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT DISTINCT a AS rid, a AS other FROM links UNION SELECT r.rid, l.b FROM reach r JOIN links l ON r.other = l.a
+), c AS (SELECT r.rid, min(s.doc_id) AS component_id FROM reach r JOIN s ON r.other = s.rid GROUP BY r.rid)
+SELECT s.doc_id, CAST(len(set) AS BIGINT) AS n_shingles, coalesce(c.component_id, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON s.rid = c.rid
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": OP1,
@@ -172,4 +190,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_decontamination": OP5,
         "op11_filter_interaction": OP11,
         "op12_source_divergence": OP12,
+        "op13_ngram_jaccard": OP13,
     }

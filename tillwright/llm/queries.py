@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, divergence, htmlcrf, interaction, minhash, quality, secrets, sharding, tokenfile, urls
+from . import bpe, chat, decontam, divergence, htmlcrf, interaction, minhash, quality, secrets, sharding, sigtree, tokenfile, urls
 from .common import read
 
 
@@ -76,5 +76,9 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.jaccard_join(read(spark, sf_dir, "documents")).drop("set_key")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
