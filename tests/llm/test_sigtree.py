@@ -1,0 +1,131 @@
+"""Signature-tree join against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillwright.llm import components, sigtree
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    words = re.findall("[^\x20\x09-\x0d]+", (text or "").translate(UPPER))
+    if len(words) < 3:
+        return {tuple(words)} if words else set()
+    return {tuple(words[k : k + 3]) for k in range(len(words) - 2)}
+
+
+def brute(rows):
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= 90 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        ids = [d for k, (d, _) in enumerate(rows) if find(k) == find(i) and d is not None]
+        out.append((doc_id, len(sets[i]), min(ids) if ids and sets[i] else doc_id))
+    return sorted(out, key=str)
+
+
+def copies(seed):
+    """Families of edited copies around the threshold, chains of versions, and a passage that many share."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passage = [rng.choice(vocabulary) for _ in range(40)]
+    rows = []
+    for g in range(14):
+        words = [rng.choice(vocabulary) for _ in range(rng.choice([2, 12, 40, 150, 400]))] + (passage if g % 2 else [])
+        for _ in range(9):
+            copy = words if g % 3 == 0 else list(words)  # chains edit on, stars edit the first version
+            for _ in range(rng.choice([0, 1, 1, 2, 4, 8])):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(copy)))
+    rng.shuffle(rows)
+    return rows
+
+
+EDGES = [
+    (200, None), (201, ""), (202, " \n\t "), (203, "one"), (204, "ONE"), (205, "a b"), (206, "A\nB"), (207, "a b c"), (207, "a b c"),
+    (208, "É b c d"), (209, "é b c d"), (None, "null id here"), (None, "null id here"), (210, "null id here"), (None, "alone without id"),
+    (211, "x " * 30000), (212, " ".join(f"q{k}" for k in range(11))), (213, " ".join(f"q{k}" for k in range(12))),
+]
+
+
+def joined(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"label": F.lit("clash"), "level": F.lit(1)}).repartition(5)
+    got = sigtree.jaccard_join(docs).select("doc_id", "n_shingles", "component_id").collect()
+    return sorted((tuple(r) for r in got), key=str)
+
+
+@pytest.mark.parametrize("block", [256, 4])
+def test_components_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(sigtree, "BLOCK_SETS", block)
+    rows = copies(1) + EDGES
+    assert joined(spark, rows) == brute(rows)
+
+
+def test_links_that_neighbouring_blocks_do_not_see(spark, monkeypatch):
+    """Blocks of two sets: copies that lie far apart in a cluster meet in the open round."""
+    monkeypatch.setattr(sigtree, "BLOCK_SETS", 2)
+    rng = random.Random(4)
+    base = [f"b{k}" for k in range(300)]
+    rows = []
+    for i in range(24):
+        words = list(base)
+        if i % 3:
+            for k in range(0, 300, 25):
+                words[k + i % 3] = f"far{i % 3}x{k}"
+        words[rng.randrange(300)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    assert joined(spark, rows) == brute(rows)
+
+
+def test_linked_sets_share_a_key():
+    """The pigeonhole: any two sets at the threshold have a part in common."""
+    rng = np.random.default_rng(2)
+    classes = sigtree._Classes(90)
+    for _ in range(300):
+        n = int(rng.integers(9, 700))
+        a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        most = sigtree.differences(len(a))
+        lost = int(rng.integers(0, most + 1))
+        new = rng.integers(0, 2**64, int(rng.integers(0, most - lost + 1)), np.uint64)
+        b = np.unique(np.concatenate([rng.permutation(a)[lost:], new]))
+        if sigtree.similar(a, b, 90):
+            assert set(sigtree.part_keys(a, classes).tolist()) & set(sigtree.part_keys(b, classes).tolist())
+
+
+def test_traversal_keeps_every_link_and_prunes():
+    rng = np.random.default_rng(5)
+    families = [np.unique(rng.integers(0, 2**64, 200, np.uint64)) for _ in range(40)]
+    sets = [np.unique(np.concatenate([f[k % 6 :], rng.integers(0, 2**64, 2, np.uint64)])) for f in families for k in range(5)]
+    tree = sigtree.Tree(sets, 2048)
+    i, j = sigtree.candidates(tree, tree, np.arange(len(sets)), np.arange(len(sets)), 90)
+    found = set(zip(i.tolist(), j.tolist(), strict=True))
+    want = {(x, y) for x in range(len(sets)) for y in range(x + 1, len(sets)) if sigtree.similar(sets[x], sets[y], 90)}
+    assert want <= found and len(found) < 3 * len(want)
+    one = np.repeat(np.arange(40), 5)
+    assert not len(sigtree.candidates(tree, tree, one * 0, one * 0, 90)[0])
+
+
+def test_components_of_chains_stars_and_nothing(spark):
+    edges = [(k, k + 1) for k in range(100, 160)] + [(5, k) for k in range(6, 40)] + [(1, 1), (3, 2), (2, 3)]
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "x long, y long")).collect()}
+    assert got == {**{k: 100 for k in range(100, 161)}, **{k: 5 for k in range(5, 40)}, 2: 2, 3: 2}
+    assert components.components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+def test_empty_table(spark):
+    assert sigtree.jaccard_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
