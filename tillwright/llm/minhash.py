@@ -9,14 +9,16 @@ probability 4e-6 (``2 * (1 - 0.75**3)**24``).
 
 Only half keys that several sets share are paired, as a table key can be
 shared only if both its halves are; and half keys shared by the very same sets
-are paired once, as their tables have the same members. In each bucket all
-members are confirmed on the full sets against its centre, the member whose
-half keys are shared most. A bucket whose members then lie in one component is
-closed. What other buckets hold goes an exact way: a set can have a link to
+are paired once, as their tables have the same members. A bucket's centre is
+the member whose half keys are shared most. Each set is first confirmed, on
+the full sets, against the best centre it meets, which makes most groups one
+component at one pair a set. A bucket whose members lie in one component is
+closed; in the others, members of other components than the centre's are
+confirmed against it. What is then open goes an exact way: a set can have a link to
 another component only if 75 % of its shingles occur in other components;
 sets that pass are gathered in clusters (joined by common left half keys), and
-all sets of a cluster are compared in blocks of ``BLOCK`` times ``BLOCK`` sets by
-matrix products, which emit links only. So no pair that met is left out, and
+all sets of a cluster are compared block by block (at most
+``BLOCK`` sets and ``BLOCK_SHINGLES`` shingles each) by matrix products, which emit links only. So no pair that met is left out, and
 no group's pairs are listed.
 
 Defined results: null is an empty text; texts without words have
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 
 from . import textnum
 from .common import buffer_of, dropped, map_batches, passes, ranked, staged, staged_at
+from .components import components, merged
 
 SHINGLE = 5
 PERCENT = 75
@@ -44,6 +47,8 @@ HALVES = 24
 WIDTH = 3
 #: Sets of one cluster that are compared with as many others in one group.
 BLOCK = 256
+#: Shingles of one block; a single larger set is a block of its own.
+BLOCK_SHINGLES = 1 << 20
 #: Shingles that are min-hashed, or multiplied, at a time (bounds memory for very long texts).
 CHUNK = 1 << 12
 
@@ -93,8 +98,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prints.append(fingerprint(hashes))
             keys.append(half_keys(hashes) if len(hashes) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "fp", "keys"],
+            [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+            ["doc_id", "text_key", "n_shingles", "fp", "keys"],
         )
 
 
@@ -183,38 +188,6 @@ def table_keys(halves: DataFrame) -> DataFrame:
     return halves.select(F.explode(pairs).alias("key"), "cid", "n_shingles", "score")
 
 
-def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """(cid, label): the smallest label reachable over ``edges`` (x, y).
-
-    Each round takes the smallest label of the neighbours, then the label's
-    own label (pointer jumping), so long chains shorten quickly.
-    """
-    spark = edges.sparkSession
-    both = edges.select("x", "y").union(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    both, both_at = staged_at(both, "neighbours")
-    at = None
-    while True:
-        near = both.join(labels.select(F.col("cid").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("near"))
-        hooked = labels.join(near, labels.cid == near.x, "left").select("cid", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jumps = hooked.select(F.col("cid").alias("_cid"), F.col("label").alias("_label"))
-        jumped = hooked.join(jumps, hooked.label == jumps._cid, "left").select("cid", "old", F.least("label", "_label").alias("label"))
-        new, new_at = staged_at(jumped, "labels")
-        changed = new.filter("label != old").limit(1).count()
-        if at:
-            dropped(spark, at)
-        labels, at = new.select("cid", "label"), new_at
-        if not changed:
-            dropped(spark, both_at)
-            return labels
-
-
-def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(cid, label) after the components of ``labels`` (cid, label) that ``links`` (labels x, y) connect became one each."""
-    ends = links.select(F.col("x").alias("cid")).union(links.select("y")).distinct()
-    new = components(links, ends.withColumn("label", F.col("cid"))).select(F.col("cid").alias("label"), F.col("label").alias("_new"))
-    return labels.join(new, "label", "left").select("cid", F.coalesce("_new", "label").alias("label"))
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (x, y) whose full sets are similar enough."""
     with_x = pairs.join(sets.select(F.col("cid").alias("x"), F.col("set").alias("set_x")), "x")
@@ -222,14 +195,32 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(with_both.select("x", "y", "set_x", "set_y"), _confirmed(percent), "x bigint, y bigint")
 
 
-def _by_centre(buckets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (x, y) of each bucket's members with its centre, if their sizes allow the similarity."""
-    centre = buckets.groupBy("key").agg(F.max(F.struct("score", "cid", "n_shingles")).alias("c")).select("key", "c.cid", "c.n_shingles")
+def _centre_links(buckets: DataFrame, percent: int) -> DataFrame:
+    """(a, score, b): each bucket's members b with its centre a, the member of the highest score, if their sizes allow the similarity."""
+    centre = buckets.groupBy("key").agg(F.max(F.struct("score", "cid", "n_shingles")).alias("c")).select("key", "c.cid", "c.n_shingles", "c.score")
     links = buckets.select("key", F.col("cid").alias("b"), F.col("n_shingles").alias("n_b")).join(
-        centre.select("key", F.col("cid").alias("a"), F.col("n_shingles").alias("n_a")), "key"
+        centre.select("key", F.col("cid").alias("a"), F.col("n_shingles").alias("n_a"), "score"), "key"
     )
     fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return links.filter(fits & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+    return links.filter(fits & (F.col("a") != F.col("b"))).select("a", "score", "b")
+
+
+def _by_centre(buckets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (x, y) of each bucket's members with its centre."""
+    return _centre_links(buckets, percent).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+
+
+def _by_best_centre(buckets: DataFrame, percent: int) -> DataFrame:
+    """One pair (x, y) for each set: with the centre of the highest score that it meets."""
+    best = _centre_links(buckets, percent).groupBy("b").agg(F.max(F.struct("score", "a")).alias("c"))
+    return best.select(F.least("c.a", "b").alias("x"), F.greatest("c.a", "b").alias("y")).distinct()
+
+
+def _ends(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (x, y) of sets with the labels of both, lx and ly."""
+    x = labels.select(F.col("cid").alias("x"), F.col("label").alias("lx"))
+    y = labels.select(F.col("cid").alias("y"), F.col("label").alias("ly"))
+    return pairs.join(x, "x").join(y, "y")
 
 
 def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -250,22 +241,32 @@ def _block_links(still: DataFrame, halves: DataFrame, sets: DataFrame, percent:
     # Sets of one bucket share a left half key: those joined by left half keys are a cluster.
     keys = staged(halves.select("cid", F.explode("left").alias("key")).join(inside.select("cid"), "cid", "left_semi"), "left-keys")
     star = keys.join(keys.groupBy("key").agg(F.min("cid").alias("x")), "key").select("x", F.col("cid").alias("y")).filter("x != y").distinct()
-    clusters = components(star, inside.select("cid", F.col("cid").alias("label"))).select("cid", F.col("label").alias("cluster"))
-    places = ranked(clusters, ["cid"], ["cluster"], "places", few_groups=False).select("cid", "cluster", F.expr(f"rank div {BLOCK}").cast("int").alias("block"))
-    sizes = places.groupBy("cluster").agg((F.max("block") + 1).alias("blocks"), F.count("*").alias("n")).filter("n > 1")
-    meets = (
-        places.join(sizes.select("cluster", "blocks"), "cluster")
-        .select("cid", "cluster", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("cid", "cluster", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    )
+    clusters = components(star).select(F.col("node").alias("cid"), F.col("label").alias("cluster"))
+    # Blocks hold sets of one size class (powers of two), so that a block is bounded in shingles; linked sets lie in neighbouring classes.
+    size = F.length(F.bin(F.size("set").cast("bigint")))
+    laid = inside.select("cid", "label", size.alias("size")).join(clusters, "cid")
+    laid = ranked(laid, ["cid"], ["cluster", "size"], "places", few_groups=False)
+    hold = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_SHINGLES) / F.pow(F.lit(2), F.col("size")))))
+    number = F.call_function("div", F.col("rank"), hold) + F.call_function("shiftleft", F.col("size").cast("bigint"), F.lit(40))
+    places = laid.select("cid", "cluster", "size", "label", number.alias("block"))
+    blocks = places.groupBy("cluster", "size", "block").agg(F.min("label").alias("first"), F.max("label").alias("last"))
+    other = blocks.select("cluster", *[F.col(c).alias(f"{c}_b") for c in ("size", "block", "first", "last")])
+    near = (F.col("block_b") >= F.col("block")) & (F.col("size_b") <= F.col("size") + 1)
+    apart = F.least("first", "first_b") != F.greatest("last", "last_b")
+    pairs = blocks.join(other, "cluster").filter(near & apart).select("cluster", F.col("block").alias("lo"), F.col("block_b").alias("hi"))
+    meets = pairs.select("cluster", "lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block"))
+    meets = places.select("cid", "cluster", "block").join(meets, ["cluster", "block"])
     return meets.join(inside, "cid").groupBy("cluster", "lo", "hi").applyInArrow(_linked(percent), "x bigint, y bigint")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id,
-    kept, and ``set_key`` (the class of equal sets, hex)."""
-    docs = docs.select("doc_id", "text")
-    rows = staged(map_batches(docs, _signatures, "doc_id bigint, n_shingles bigint, fp binary, keys array<bigint>"), "signatures")
+    kept, ``set_key`` (the class of equal sets, hex), ``root_key`` (the set of
+    the component's smallest id; the smallest one if that id has several) and
+    ``text_key`` (``xxhash64`` of the row's text)."""
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    rows = map_batches(docs, _signatures, "doc_id bigint, text_key bigint, n_shingles bigint, fp binary, keys array<bigint>")
+    rows = staged(rows, "signatures")
     classes = (
         rows.filter("n_shingles > 0")
         .groupBy("fp")
@@ -284,17 +285,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = map_batches(texts.select("text"), _sets, "fp binary, set array<bigint>").join(members.select("fp", "cid"), "fp")
     sets = staged(sets.dropDuplicates(["cid"]).select("cid", "set"), "sets")
 
-    edges = staged(confirmed(staged(_by_centre(buckets, percent), "pairs"), sets, percent), "links")
-    labels = components(edges, members.select("cid", F.col("cid").alias("label")))
+    # One confirmed pair per set first: it makes most groups one component.
+    pairs = staged(_by_best_centre(buckets, percent), "pairs")
+    labels = staged(merged(members.select("cid", F.col("cid").alias("label")), confirmed(pairs, sets, percent)), "labels")
+    still = _open(buckets, labels).select("key").distinct()
+    again = _ends(_by_centre(buckets.join(still, "key"), percent), labels).filter("lx != ly").select("x", "y")
+    again = _ends(confirmed(staged(again, "pairs"), sets, percent), labels).select(F.col("lx").alias("x"), F.col("ly").alias("y"))
+    labels = staged(merged(labels, again), "labels")
     still = staged(_open(buckets, labels), "open")
     if still.limit(1).count():
         more = staged(_block_links(still, halves, sets, percent).distinct(), "links")
-        labels = staged(joined(labels, more), "joined")
-
-    roots = classes.join(labels, "cid").groupBy("label").agg(F.min("rep").alias("root"))
-    linked = labels.join(roots, "label").select("cid", "root")
-    ids = classes.select("cid", "fp", "rep").join(linked, "cid", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    out = rows.select("doc_id", "n_shingles", "fp").join(ids, "fp", "left")
+        labels = staged(merged(labels, more), "joined")
+
+    root = F.min(F.struct(F.col("rep").isNull().alias("_null"), "rep", "fp")).alias("root")
+    roots = classes.select("cid", "rep", "fp").join(labels, "cid").groupBy("label").agg(root).select("label", "root.rep", F.col("root.fp").alias("root_fp"))
+    linked = labels.join(roots, "label").select("cid", F.col("rep").alias("root"), "root_fp")
+    ids = classes.select("cid", "fp", "rep").join(linked, "cid", "left")
+    ids = ids.select("fp", F.coalesce("root", "rep").alias("component_id"), F.coalesce("root_fp", "fp").alias("root_fp"))
+    out = rows.select("doc_id", "text_key", "n_shingles", "fp").join(ids, "fp", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id",
@@ -302,4 +310,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.col("doc_id").isNull() & component.isNull()).alias("kept"),
         F.lower(F.hex("fp")).alias("set_key"),
+        F.lower(F.hex(F.coalesce("root_fp", "fp"))).alias("root_key"),
+        "text_key",
     )

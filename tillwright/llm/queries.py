@@ -18,7 +18,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read(spark, sf_dir, "documents")).drop("set_key")
+    return minhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
