@@ -58,6 +58,15 @@ def test_pipeline_stages(spark, tmp_path):
     assert seen[1] == one and seen[2] == sorted(set(one) - {104}, key=str) == seen[3] == seen[4]
 
 
+def test_near_dedup_judges_each_row_by_its_text(spark):
+    """Ids that repeat: a near copy goes, another text under the same id stays, two near-equal texts of one id leave one."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a), (5, a + " more"), (5, b), (7, c), (7, c + " more"), (7, c.upper()), (None, a + " again")]
+    docs = spark.createDataFrame([(i, t, "keep") for i, t in rows], "doc_id long, text string, _set string")
+    got = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 5, 7] and {r["text"] for r in got} >= {a, b} and {r["_set"] for r in got} == {"keep"}
+
+
 def test_pipeline_over_given_and_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, DIR).count() > 50
     for name in ("documents", "benchmark", "labels"):
