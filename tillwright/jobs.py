@@ -5,7 +5,9 @@
     python -m tillwright.jobs bronze    --topic PATH --out PATH [--full] [--once]
     python -m tillwright.jobs silver    --topic PATH --out PATH [--rejects PATH] [--reference-rules] [--once]
     python -m tillwright.jobs qa | fraud | dedup | usd-gold --topic PATH --out PATH
-    python -m tillwright.jobs gold      --silver PATH --gold-root PATH
+    python -m tillwright.jobs split     --topic PATH --out TABLE [--once]          (silver and rejects, one commit a batch)
+    python -m tillwright.jobs compact   --table TABLE [--expire-hours N]
+    python -m tillwright.jobs gold      --silver PATH | --table TABLE --gold-root PATH
     python -m tillwright.jobs report    --gold-root PATH
     python -m tillwright.jobs export    --gold-root PATH --out DIR
     python -m tillwright.jobs live-gold --topic PATH --gold-root PATH [--table all|NAME] [--once]
@@ -33,8 +35,9 @@ from .operators import gold as G
 from .operators import quality as Q
 from .operators import reports as R
 from .operators.parse import parse_events
+from .plans import batches as B
 from .plans import lake as L
-from .schemas import PARSED_FIELDS
+from .schemas import PARSED_FIELDS, SPLIT_SCHEMA
 from .sources.dims import fx_dim, product_dim
 from .sources.ledger import ledger
 from .sources.topic import read_events, read_events_batch, to_messages, write_topic
@@ -108,6 +111,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--rejects", help="folder for the rows silver drops, with their reasons")
     p.add_argument("--reference-rules", action="store_true", help="the six rules only, without the checks of amounts")
+    p = sub.add_parser("split", help="topic -> silver and rejects in one batch table, one parse and one commit a batch")
+    topic_args(p)
+    p.add_argument("--out", required=True)
+    p.add_argument("--reference-rules", action="store_true")
+    p = sub.add_parser("compact", help="rewrite the small files of a batch table; running readers and its stream go on")
+    p.add_argument("--table", required=True)
+    p.add_argument("--target-mb", type=int, default=B.TARGET_BYTES >> 20)
+    p.add_argument("--expire-hours", type=float, default=24.0, help="delete what was replaced longer ago")
     p = sub.add_parser("live-gold", help="topic -> continuously refreshed gold table")
     topic_args(p)
     p.add_argument("--gold-root", required=True)
@@ -122,8 +133,10 @@ def main(argv: list[str] | None = None) -> None:
         if job == "fraud":
             p.add_argument("--sf-dir", required=True, help="tables that hold the product catalogue")
 
-    p = sub.add_parser("gold", help="silver -> the three gold tables (one scan)")
-    p.add_argument("--silver", required=True)
+    p = sub.add_parser("gold", help="silver -> the three gold tables (one scan), or only what a batch table has new")
+    where = p.add_mutually_exclusive_group(required=True)
+    where.add_argument("--silver", help="a silver folder, read whole")
+    where.add_argument("--table", help="a batch table: only batches since the last publish are read")
     p.add_argument("--gold-root", required=True)
     p = sub.add_parser("report", help="print reports and KPIs from gold")
     p.add_argument("--gold-root", required=True)
@@ -141,7 +154,7 @@ def main(argv: list[str] | None = None) -> None:
         write_topic(to_messages(ledger(spark, a.sf_dir)), a.topic, a.format, opts)
         return
 
-    if a.job in ("tail", "bronze", "silver", "live-gold"):
+    if a.job in ("tail", "bronze", "silver", "split", "live-gold"):
         starting = a.starting or ("latest" if a.job == "tail" else "earliest")
         if starting == "latest" and a.format == "files" and a.job != "tail":
             raise SystemExit("a folder of files has no offsets: only tail can start at latest there")
@@ -164,9 +177,11 @@ def main(argv: list[str] | None = None) -> None:
                     S.rejects_stream(again, finite), a.rejects, f"{ckpt}-rejects", partition_by=("reject_reason",),
                     available_now=a.once, interval=a.interval,
                 )
-                S.run_until_done(q)
-                S.run_until_done(side)
+                S.run_all_until_done([q, side])
                 return
+        elif a.job == "split":
+            tagged = S.split_stream(messages, not a.reference_rules)
+            q = S.start_batch_sink(tagged, a.out, ckpt, available_now=a.once, interval=a.interval)
         elif a.table == "all":
             q = S.start_live_gold_all(
                 S.silver_stream(messages), a.gold_root, ckpt, available_now=a.once,
@@ -197,9 +212,18 @@ def main(argv: list[str] | None = None) -> None:
                 E.usd_revenue(silver, fx_dim(spark), by).write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{by}")
         return
 
+    if a.job == "compact":
+        path = B.compact(spark, a.table, SPLIT_SCHEMA, target_bytes=a.target_mb << 20)
+        gone = B.expire(spark, a.table, a.expire_hours * 3600)
+        print(f"compacted: {path or 'nothing to do'}; folders deleted: {gone}")
+        return
+
     if a.job == "gold":
-        version = L.publish_gold(L.read_silver(spark, a.silver), a.gold_root)
-        print(f"gold published: version {version}")
+        if a.table:
+            version = L.publish_incremental(spark, a.table, a.gold_root, SPLIT_SCHEMA)
+        else:
+            version = L.publish_gold(L.read_silver(spark, a.silver), a.gold_root)
+        print(f"gold published: version {version}" if version else "gold is up to date")
         return
 
     tables = L.read_gold_tables(spark, a.gold_root)

@@ -8,7 +8,7 @@ three tables are cut from it. Money is summed exactly and rounded at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact, revenue_sum
@@ -23,6 +23,9 @@ KEYS = {
     PRODUCTS: ["product_name"],
     STORE: ["store_id", "country"],
 }
+# All keys together, and the type of an unrounded sum.
+PARTIAL_KEYS = ["country", "currency", "product_name", "store_id"]
+PARTIAL_REVENUE = "decimal(38,6)"
 # Gold column order per table (measure order as written by the batch job).
 _COLUMNS = {
     COUNTRY: ["country", "currency", "total_revenue", "total_transactions"],
@@ -71,13 +74,29 @@ def gold_all(silver: DataFrame) -> DataFrame:
     Columns: gold_table, country, currency, product_name, store_id,
     total_revenue, total_transactions. Keys a table does not group by are null.
     """
-    keys = ["country", "currency", "product_name", "store_id"]
-    revenue, transactions = F.sum(exact("total_amount")), F.count("transaction_id")
     if silver.isStreaming:
-        rows = silver
-    else:
-        rows = silver.groupBy(*keys).agg(revenue.alias("_revenue"), transactions.alias("_n"))
-        revenue, transactions = F.sum("_revenue"), F.sum("_n")
+        return _grouped(silver, F.sum(exact("total_amount")), F.count("transaction_id"))
+    return gold_of_partials(partials(silver))
+
+
+def partials(silver: DataFrame) -> DataFrame:
+    """Unrounded sums by all keys together, from which every gold table follows: PARTIAL_KEYS, revenue, transactions."""
+    revenue = F.sum(exact("total_amount")).cast(PARTIAL_REVENUE).alias("revenue")
+    return silver.groupBy(*PARTIAL_KEYS).agg(revenue, F.count("transaction_id").alias("transactions"))
+
+
+def merged_partials(rows: DataFrame) -> DataFrame:
+    """Partial sums of several sets of rows, added up by key."""
+    return rows.groupBy(*PARTIAL_KEYS).agg(F.sum("revenue").cast(PARTIAL_REVENUE).alias("revenue"), F.sum("transactions").alias("transactions"))
+
+
+def gold_of_partials(rows: DataFrame) -> DataFrame:
+    """The tagged gold tables from partial sums."""
+    return _grouped(rows, F.sum("revenue"), F.sum("transactions"))
+
+
+def _grouped(rows: DataFrame, revenue: Column, transactions: Column) -> DataFrame:
+    keys = PARTIAL_KEYS
     grouped = rows.groupingSets(
         [KEYS[COUNTRY], KEYS[PRODUCTS], KEYS[STORE]],
         *keys,

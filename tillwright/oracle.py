@@ -342,6 +342,13 @@ QUERIES: dict[str, str] = {
     "stream_dedup_batches": _q(
         "SELECT DISTINCT transaction_id, store_id, product_name, unit_price, country, currency FROM typed WHERE transaction_id IS NOT NULL"
     ),
+    "stream_split": _q(
+        f"SELECT {_SILVER_COLS}, CASE WHEN reject_reason IS NULL THEN 'silver' ELSE 'rejects' END AS dataset, reject_reason "
+        f"FROM (SELECT *, {_REASON} AS reject_reason FROM typed)"
+    ),
+    "gold_incremental": _GOLD_TAGGED,
+    "compacted_silver": _SILVER,
+    "store_revenue": _q("SELECT * FROM gold_store WHERE store_id = (SELECT min(store_id) FROM silver)"),
     "raw_revenue_by_country": _q("SELECT * FROM gold_country ORDER BY total_transactions DESC, country, currency"),
     "raw_top_products": _q("SELECT * FROM gold_products ORDER BY total_transactions DESC, product_name NULLS LAST"),
     "raw_revenue_by_store": _q("SELECT * FROM gold_store ORDER BY total_transactions DESC, store_id, country"),

@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 
 from ..operators import gold as G
 from ..schemas import GOLD_SCHEMAS, SILVER_READ_SCHEMA
-from . import manifest
+from . import batches, manifest
+from .files import MAX_RECORDS_PER_FILE, exists, remove
 
-# Rows per Parquet file in layer writes (bounds file size at any scale).
-MAX_RECORDS_PER_FILE = 5_000_000
+# Manifest entries beside the gold tables: the unrounded sums, and the number of the last batch in them.
+PARTIALS = "_partials"
+COUNTED = "_counted"
 # Committed gold versions that stay readable; older ones are removed by a publish.
 KEEP_VERSIONS = 10
 
@@ -58,7 +60,11 @@ def publish_gold(silver: DataFrame, gold_root: str) -> str:
 
 
 def publish_tagged(
-    tagged_result: DataFrame, gold_root: str, version: str | None = None, tables: tuple[str, ...] = G.GOLD_TABLES
+    tagged_result: DataFrame,
+    gold_root: str,
+    version: str | None = None,
+    tables: tuple[str, ...] = G.GOLD_TABLES,
+    retain_s: float = 0.0,
 ) -> str:
     """Publish ``tables`` from one tagged result: one partitioned write.
 
@@ -66,7 +72,8 @@ def publish_tagged(
     computed twice), then sorted so that every table is in its own order and
     written to the version's folder, with a sub-folder for each table. The
     same path serves any size: a small table comes out as one file, a large
-    one as several in order. Superseded versions are removed at the end.
+    one as several in order. Superseded versions are removed at the end, but
+    none younger than ``retain_s`` seconds: a reader may still hold it.
     """
     spark = tagged_result.sparkSession
     root = gold_root.rstrip("/")
@@ -77,29 +84,54 @@ def publish_tagged(
     G.sort_tagged(staged).write.partitionBy("gold_table").parquet(f"{root}/v={version}")
     manifest.commit(spark, root, [(name, version, f"{root}/v={version}/gold_table={name}") for name in tables])
     remove(spark, stage)
-    expire(spark, root)
+    expire(spark, root, retain_s=retain_s)
     return version
 
 
-def publish_table(result: DataFrame, gold_root: str, name: str, version: str | None = None) -> str:
+def publish_table(result: DataFrame, gold_root: str, name: str, version: str | None = None, retain_s: float = 0.0) -> str:
     """Publish one gold table from a result that is computed exactly once."""
-    return publish_tagged(G.tagged_table(result, name), gold_root, version, (name,))
+    return publish_tagged(G.tagged_table(result, name), gold_root, version, (name,), retain_s)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder or file of ours on whatever file system it lies."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+def publish_incremental(spark: SparkSession, batches_root: str, gold_root: str, schema: T.StructType, dataset: str = "silver", retain_s: float = 0.0) -> str | None:
+    """Publish gold from the batches that came since the last publish; None if there are none.
+
+    The version keeps the unrounded sums of all batches so far, by all keys,
+    and the number of the last batch counted. The next publish reads only rows
+    beyond that number (whatever files a compaction has put them in), adds
+    their sums, and cuts the gold tables from the result. Tables, sums and
+    number are committed together, so a failed run counts nothing twice.
+    """
+    root = gold_root.rstrip("/")
+    now = batches.state(spark, batches_root)
+    before = manifest.current_paths(spark, root) if exists(spark, f"{root}/_manifest") else {}
+    through = int(before.get(COUNTED, -1))
+    if now.last <= through:
+        return None
+    sums = G.partials(batches.read(spark, batches_root, schema, dataset, after=through, at=now))
+    if PARTIALS in before:
+        sums = G.merged_partials(spark.read.schema(sums.schema).parquet(before[PARTIALS]).unionByName(sums))
+    version = _version()
+    kept = f"{root}/v={version}/_partials"
+    sums.write.parquet(kept)
+    tagged = G.gold_of_partials(spark.read.schema(sums.schema).parquet(kept))
+    G.sort_tagged(tagged).write.mode("append").partitionBy("gold_table").parquet(f"{root}/v={version}")
+    tables = [(name, version, f"{root}/v={version}/gold_table={name}") for name in G.GOLD_TABLES]
+    manifest.commit(spark, root, [*tables, (PARTIALS, version, kept), (COUNTED, version, str(now.last))])
+    expire(spark, root, retain_s=retain_s)
+    return version
 
 
-def expire(spark: SparkSession, gold_root: str, keep: int = KEEP_VERSIONS) -> None:
-    """Remove versions beyond the newest ``keep`` that no table points to, and
-    their manifest files, so that neither grows with the number of publishes."""
+def expire(spark: SparkSession, gold_root: str, keep: int = KEEP_VERSIONS, retain_s: float = 0.0) -> None:
+    """Remove versions beyond the newest ``keep`` that no table points to and that
+    are older than ``retain_s`` seconds, and their manifest files, so that
+    neither grows with the number of publishes."""
     root = gold_root.rstrip("/")
     rows = manifest.entries(spark, root)
     newest = sorted({r["version"]: r["committed_at"] for r in sorted(rows, key=lambda r: r["committed_at"])}.items(), key=lambda x: x[1])
     latest = {r["gold_table"]: r["version"] for r in sorted(rows, key=lambda r: (r["committed_at"], r["version"]))}
-    doomed = {v for v, _ in newest[:-keep]} - set(latest.values())
+    horizon = max((t for _, t in newest), default=None)
+    doomed = {v for v, t in newest[:-keep] if (horizon - t).total_seconds() >= retain_s} - set(latest.values())
     for version in doomed:
         remove(spark, f"{root}/v={version}")
     for file in {r["file"] for r in rows} - {r["file"] for r in rows if r["version"] not in doomed}:

@@ -23,8 +23,9 @@ from .operators import gold as G
 from .operators import quality as Q
 from .operators import reports as R
 from .operators.parse import parse_events, with_event_time, with_processed_time
+from .plans import batches as B
 from .plans import lake as L
-from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS
+from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS, SPLIT_SCHEMA
 from .sources.dims import fx_dim, product_dim, store_dim
 from .sources.ledger import bronze_rows, ledger
 from .sources.topic import read_events, resent, to_messages, write_topic
@@ -405,6 +406,62 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+# --- batch tables: one commit per batch ----------------------------------------------
+
+
+def _split(spark, topic: str, root: str, ckpt: str, files_per_batch: int | None = None) -> None:
+    stream = S.split_stream(read_events(spark, topic, max_files_per_trigger=files_per_batch))
+    S.run_until_done(S.start_batch_sink(stream, root, ckpt, available_now=True))
+
+
+def stream_split(spark, sf_dir):
+    """Silver and rejects from one parse and one commit per micro-batch, read back with the data set each row went to."""
+    topic = _topic(spark, sf_dir)
+    root, ckpt = scratch_path(spark, "split"), scratch_path(spark, "ckpt-split")
+    for _ in range(2):
+        _split(spark, topic, root, ckpt, files_per_batch=4)
+    return B.read(spark, root, SPLIT_SCHEMA).drop(B.BATCH, "processed_time")
+
+
+def _appended(spark, sf_dir, root: str, parts: int = 3) -> list[DataFrame]:
+    """Silver in ``parts`` batches, cut by day of sale; each is a frame that a caller appends."""
+    silver = _silver(spark, sf_dir).withColumns({"processed_time": F.current_timestamp(), "reject_reason": F.lit(None).cast("string"), B.DATASET: F.lit("silver")})
+    day = F.pmod(F.datediff("event_time", F.lit("1970-01-01").cast("timestamp_ntz")), F.lit(parts))
+    return [silver.filter(F.coalesce(day, F.lit(0)) == k) for k in range(parts)]
+
+
+def gold_incremental(spark, sf_dir):
+    """Three batches, gold published after each, with a compaction in between: as one publish of the whole."""
+    table, root = scratch_path(spark, "batches"), scratch_path(spark, "gold-incremental")
+    for k, rows in enumerate(_appended(spark, sf_dir, table)):
+        B.append(rows, table, "load", k)
+        if k == 1:
+            B.compact(spark, table, SPLIT_SCHEMA)
+        L.publish_incremental(spark, table, root, SPLIT_SCHEMA)
+    return G.tagged_gold(L.read_gold_tables(spark, root))
+
+
+def compacted_silver(spark, sf_dir):
+    """The split stream's silver after a compaction and a restart of the stream."""
+    topic = _topic(spark, sf_dir)
+    root, ckpt = scratch_path(spark, "compacted"), scratch_path(spark, "ckpt-compacted")
+    _split(spark, topic, root, ckpt, files_per_batch=3)
+    B.compact(spark, root, SPLIT_SCHEMA)
+    _split(spark, topic, root, ckpt, files_per_batch=3)
+    return B.read(spark, root, SPLIT_SCHEMA, "silver").drop(B.BATCH, "processed_time", "reject_reason")
+
+
+def store_revenue(spark, sf_dir):
+    """Revenue by country of the store with the smallest id, from only the files that may hold it."""
+    root = scratch_path(spark, "clustered")
+    for k, rows in enumerate(_appended(spark, sf_dir, root)):
+        B.append(rows, root, "load", k)
+    B.compact(spark, root, SPLIT_SCHEMA, target_bytes=64 << 10)
+    store = B.read(spark, root, SPLIT_SCHEMA, "silver").agg(F.min("store_id")).first()[0]
+    rows = B.read_where(spark, root, SPLIT_SCHEMA, "store_id", store, "silver")
+    return G.gold_table(rows, G.STORE, sort=False)
+
+
 QUERIES: dict[str, Query] = {
     # sources, parsing
     "publish_payload": publish_payload,
@@ -462,6 +519,10 @@ QUERIES: dict[str, Query] = {
     "stream_gold_all": stream_gold_all,
     "stream_rejects": stream_rejects,
     "stream_dedup": stream_dedup,
+    "stream_split": stream_split,
+    "gold_incremental": gold_incremental,
+    "compacted_silver": compacted_silver,
+    "store_revenue": store_revenue,
     "stream_dedup_batches": stream_dedup_batches,
     # silver, gold, reports
     "silver_clean": silver_clean,

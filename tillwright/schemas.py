@@ -118,6 +118,9 @@ BRONZE_READ_SCHEMA = T.StructType(
     + [T.StructField("country", T.StringType())]
 )
 
+# Silver and its rejects in one batch table.
+SPLIT_SCHEMA = T.StructType([*SILVER_READ_SCHEMA.fields, T.StructField("reject_reason", T.StringType())])
+
 # Message shape of the topic: Kafka-compatible key/value text.
 MESSAGE_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]

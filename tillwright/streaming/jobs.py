@@ -8,17 +8,23 @@ keeps a replayed batch from adding rows twice.
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clean as C
 from ..operators import gold as G
-from ..operators.parse import parse_events, with_event_time
+from ..functions.once import computed_once
+from ..operators.parse import parse_events, with_event_time, with_processed_time
+from ..plans import batches
 
 DEFAULT_TRIGGER = "30 seconds"
+# Live gold keeps every version this long, so that a reader may hold one.
+RETAIN_S = 3600.0
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -47,6 +53,34 @@ def rejects_stream(messages: DataFrame, check_finite: bool = True) -> DataFrame:
     return C.rejects(parse_events(messages), check_finite=check_finite)
 
 
+def split_stream(messages: DataFrame, check_finite: bool = True) -> DataFrame:
+    """Topic -> silver and rejects in one frame, parsed once: ``dataset`` says
+    which, ``reject_reason`` why."""
+    rows = with_processed_time(with_event_time(parse_events(messages)))
+    reason = C.reject_reason(check_finite)
+    rows = computed_once(rows, "reject_reason", reason)
+    return rows.withColumn(batches.DATASET, F.when(F.col("reject_reason").isNull(), F.lit("silver")).otherwise(F.lit("rejects")))
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint gives its query: the same after every restart, another one for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
+
+
+def start_batch_sink(
+    tagged: DataFrame, root: str, checkpoint: str, available_now: bool = False, interval: str | None = None
+) -> StreamingQuery:
+    """Append every micro-batch of ``tagged`` (rows with ``dataset``) to the batch
+    table at ``root``: one write and one commit for all its data sets. A
+    micro-batch that is run again after a failure adds its rows once."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batches.append(batch, root, checkpoint_id(batch.sparkSession, checkpoint), batch_id)
+
+    writer = tagged.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(add)
+    return _trigger(writer, available_now, interval).start()
+
+
 def start_file_sink(
     df: DataFrame,
     path: str,
@@ -84,7 +118,7 @@ def live_gold(silver: DataFrame, name: str) -> DataFrame:
 def _commit_version(batch: DataFrame, gold_root: str, name: str, batch_id: int) -> None:
     from ..plans.lake import publish_table
 
-    publish_table(batch, gold_root, name, f"{batch_id:012d}-{uuid.uuid4().hex[:8]}")
+    publish_table(batch, gold_root, name, f"{batch_id:012d}-{uuid.uuid4().hex[:8]}", RETAIN_S)
 
 
 def start_live_gold(
@@ -123,7 +157,7 @@ def start_live_gold_all(
         .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(
-            lambda batch, batch_id: publish_tagged(batch, gold_root, f"{batch_id:012d}-{uuid.uuid4().hex[:8]}")
+            lambda batch, batch_id: publish_tagged(batch, gold_root, f"{batch_id:012d}-{uuid.uuid4().hex[:8]}", retain_s=RETAIN_S)
         )
     )
     return _trigger(writer, available_now, interval).start()
@@ -157,3 +191,17 @@ def run_until_done(query: StreamingQuery, timeout_s: float | None = None) -> Str
     if exc is not None:
         raise RuntimeError(f"streaming query failed: {exc}")
     return query
+
+
+def run_all_until_done(queries: list[StreamingQuery]) -> None:
+    """Wait for several queries; if one fails, the others are stopped and the failure is raised."""
+    try:
+        while any(q.isActive for q in queries):
+            for q in queries:
+                run_until_done(q, 1)
+    except (RuntimeError, StreamingQueryException) as e:
+        for q in queries:
+            q.stop()
+        raise RuntimeError(f"streaming query failed: {e}") from e
+    for q in queries:
+        run_until_done(q)
