@@ -342,6 +342,7 @@ QUERIES: dict[str, str] = {
     "stream_dedup_batches": _q(
         "SELECT DISTINCT transaction_id, store_id, product_name, unit_price, country, currency FROM typed WHERE transaction_id IS NOT NULL"
     ),
+    "stream_dedup_late": _dedup("typed", _BRONZE_COLS),
     "stream_split": _q(
         f"SELECT {_SILVER_COLS}, CASE WHEN reject_reason IS NULL THEN 'silver' ELSE 'rejects' END AS dataset, reject_reason "
         f"FROM (SELECT *, {_REASON} AS reject_reason FROM typed)"

@@ -24,8 +24,9 @@ from .operators import quality as Q
 from .operators import reports as R
 from .operators.parse import parse_events, with_event_time, with_processed_time
 from .plans import batches as B
+from .plans import idindex as IX
 from .plans import lake as L
-from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS, SPLIT_SCHEMA
+from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS, SPLIT_SCHEMA, TYPED_SCHEMA
 from .sources.dims import fx_dim, product_dim, store_dim
 from .sources.ledger import bronze_rows, ledger
 from .sources.topic import read_events, resent, to_messages, write_topic
@@ -462,6 +463,21 @@ def store_revenue(spark, sf_dir):
     return G.gold_table(rows, G.STORE, sort=False)
 
 
+def stream_dedup_late(spark, sf_dir):
+    """Every event arrives, and again in a later run with another time, long after any streaming state: one row per id."""
+    topic = _topic(spark, sf_dir)
+    root, ckpt = scratch_path(spark, "dedup-index"), scratch_path(spark, "ckpt-dedup-index")
+
+    def run() -> None:
+        S.run_until_done(S.start_dedup_index(S.typed_stream(read_events(spark, topic)), root, ckpt, available_now=True))
+
+    run()
+    again = ledger(spark, sf_dir).withColumn("event_time", F.col("event_time") - F.expr("INTERVAL 400 DAYS"))
+    write_topic(to_messages(again, ordered=False), topic)
+    run()
+    return IX.read(spark, root, TYPED_SCHEMA)
+
+
 QUERIES: dict[str, Query] = {
     # sources, parsing
     "publish_payload": publish_payload,
@@ -519,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "stream_gold_all": stream_gold_all,
     "stream_rejects": stream_rejects,
     "stream_dedup": stream_dedup,
+    "stream_dedup_late": stream_dedup_late,
     "stream_split": stream_split,
     "gold_incremental": gold_incremental,
     "compacted_silver": compacted_silver,

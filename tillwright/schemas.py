@@ -118,6 +118,11 @@ BRONZE_READ_SCHEMA = T.StructType(
     + [T.StructField("country", T.StringType())]
 )
 
+# The parsed fields with a typed time.
+TYPED_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.TimestampNTZType() if f.name == "event_time" else f.dataType) for f in PARSED_SCHEMA.fields]
+)
+
 # Silver and its rejects in one batch table.
 SPLIT_SCHEMA = T.StructType([*SILVER_READ_SCHEMA.fields, T.StructField("reject_reason", T.StringType())])
 

@@ -20,7 +20,7 @@ from ..operators import clean as C
 from ..operators import gold as G
 from ..functions.once import computed_once
 from ..operators.parse import parse_events, with_event_time, with_processed_time
-from ..plans import batches
+from ..plans import batches, idindex
 
 DEFAULT_TRIGGER = "30 seconds"
 # Live gold keeps every version this long, so that a reader may hold one.
@@ -184,6 +184,19 @@ def typed_stream(messages: DataFrame) -> DataFrame:
     return with_event_time(parse_events(messages))
 
 
+def start_dedup_index(
+    typed: DataFrame, root: str, checkpoint: str, available_now: bool = False, interval: str | None = None
+) -> StreamingQuery:
+    """Keep one event per id in the batch table at ``root``, however late a copy
+    comes: each micro-batch is held against all ids stored so far."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        idindex.append_new(batch, root, checkpoint_id(batch.sparkSession, checkpoint), batch_id)
+
+    writer = typed.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(add)
+    return _trigger(writer, available_now, interval).start()
+
+
 def run_until_done(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query and surface its failure, if any."""
     query.awaitTermination(timeout_s)
