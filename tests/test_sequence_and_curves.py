@@ -1,0 +1,121 @@
+"""Ordered publish, unparsed fields, the fraud curve, distinct sketches, live gold as changes."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tillwright import jobs
+from tillwright.config import scratch_path
+from tillwright.operators import fraud as FR
+from tillwright.operators import gold as G
+from tillwright.operators import quality as Q
+from tillwright.operators.sequence import numbered
+from tillwright.plans import batches as B
+from tillwright.queries import queries
+from tillwright.schemas import GOLD_DELTA_SCHEMA, MESSAGE_SCHEMA
+from tillwright.sources.dims import fx_dim
+from tillwright.sources.topic import read_events, with_sequence_header
+from tillwright.streaming import jobs as S
+
+
+def test_numbers_are_gapless_and_a_hot_key_is_spread(spark):
+    k = F.col("id")
+    rows = spark.range(9000).select(F.when(k % 3 == 0, F.lit("hot")).when(k % 3 == 1, (k % 40).cast("string")).alias("key"), (k * 7919 % 9000).alias("t"))
+    out = numbered(rows, "key", ["t"]).withColumn("p", F.spark_partition_id())
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: (str(r["key"]), r["t"])):
+        got.setdefault(r["key"], []).append(r["seq"])
+    assert all(seq == list(range(1, len(seq) + 1)) for seq in got.values()) and len(got["hot"]) == 3000 and None in got
+    laid = rows.repartitionByRange(8, "key", "t").withColumn("p", F.spark_partition_id())
+    assert laid.filter("key = 'hot'").select("p").distinct().count() >= 2
+
+
+def test_numbers_of_ties_and_no_rows(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), (None, 2)], "key string, t int")
+    assert sorted((str(r["key"]), r["seq"]) for r in numbered(rows, "key", ["t"]).collect()) == [("None", 1), ("a", 1), ("a", 2), ("a", 3)]
+    assert numbered(rows.limit(0), "key", ["t"]).count() == 0
+
+
+def test_sequence_travels_as_a_header(spark):
+    df = spark.createDataFrame([("k", "v", 3)], "key string, value string, seq bigint")
+    assert with_sequence_header(df, "kafka").first()["headers"][0]["value"] == b"3"
+    topic = scratch_path(spark, "t-numbered")
+    jobs.main(["publish", "--sf-dir", SF_SMALL, "--topic", topic, "--numbered"])
+    per = spark.read.parquet(topic).groupBy("key").agg(F.max("seq").alias("m"), F.count("*").alias("n"))
+    assert per.filter("m <> n").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("event", "names"),
+    [
+        ({"transaction_id": "a", "quantity": "2"}, "quantity"),
+        ({"transaction_id": "a", "quantity": 2.0}, "quantity"),
+        ({"transaction_id": "a", "quantity": 3_000_000_000}, "quantity"),
+        ({"transaction_id": "a", "quantity": 2, "unit_price": "x", "is_fraud_flag": "no"}, "unit_price,is_fraud_flag"),
+        ({"transaction_id": "a", "unit_price": [1.0], "total_amount": {"v": 1}}, "unit_price,total_amount"),
+        ({"transaction_id": "a", "quantity": None, "unit_price": None}, None),
+        ({"transaction_id": "a", "quantity": 2, "unit_price": 1, "other": "x"}, None),
+        ([1], None),
+        ("text", None),
+    ],
+)
+def test_unparsed_fields(spark, event, names):
+    got = Q.unparsed_fields(spark.createDataFrame([("k", json.dumps(event)), ("k", None), ("k", "{broken")], MESSAGE_SCHEMA)).collect()
+    assert [r["unparsed_fields"] for r in got] == ([names] if names else [])
+
+
+def test_unparsed_fields_parse_each_message_once(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    plan = Q.unparsed_fields(spark.createDataFrame([("k", "{}")], MESSAGE_SCHEMA))._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("from_json(") == 1 and plan.lower().count("parsejson(") + plan.lower().count("parse_json(") == 1, plan
+
+
+def test_curve_row_at_the_threshold_equals_the_scores(spark):
+    q = queries()
+    curve = {r["cut"]: r for r in q["fraud_curve"](spark, SF_SMALL).collect()}
+    scores = q["fraud_scores"](spark, SF_SMALL).first()
+    assert all(curve[7.84][c] == scores[c] for c in scores.asDict())
+    cuts = sorted(curve)
+    assert all(curve[a]["tp"] >= curve[b]["tp"] and curve[a]["fp"] >= curve[b]["fp"] for a, b in zip(cuts, cuts[1:], strict=False))
+
+
+def test_curve_of_hard_rows(spark):
+    rows = [("a", 1e300, True), ("a", float("nan"), True), ("a", None, False), ("a", -1.0, True), ("a", 0.5, None), ("a", 39.99, False), ("a", 40.0, True), ("zzz", 5.0, False)]
+    events = spark.createDataFrame([(f"t{i}", s, "p", "USD", p, f) for i, (s, p, f) in enumerate(rows)], "transaction_id string, sku string, product_name string, currency string, unit_price double, is_fraud_flag boolean")
+    products = spark.createDataFrame([("a", "p", "c", 5)], "sku string, product_name string, category string, base int").select("sku", "product_name", "category", F.col("base").cast("decimal(18,2)").alias("base_price_usd"))
+    curve = {r["cut"]: (r["tp"], r["fp"], r["fn"], r["tn"]) for r in FR.curve(events, products, fx_dim(spark)).collect()}
+    assert curve == {7.84: (3, 2, 1, 2), 7.99: (3, 2, 1, 2), 8.0: (3, 1, 1, 3), 100.0: (2, 1, 2, 3)}
+    assert FR.curve(events.limit(0), products, fx_dim(spark)).collect()[0]["recall"] is None
+
+
+def test_sketches_merge_like_one(spark):
+    rows = spark.range(60_000).select((F.col("id") % 4).cast("string").alias("country"), (F.col("id") % 3).cast("string").alias("currency"), (F.col("id") % 20_000).cast("string").alias("k"))
+    fine = G.distinct_sketches(rows, ["country", "currency"], "k")
+    for r in G.merged_sketches(fine, ["country"]).select(G.sketch_estimate("n")).collect():
+        assert abs(r["n"] - 5000) <= 5000 * G.SKETCH_ERROR
+
+
+def test_live_gold_writes_only_changed_groups(spark):
+    topic, root, ckpt = (scratch_path(spark, n) for n in ("t-delta-topic", "t-delta", "t-delta-ck"))
+
+    def run(ids):
+        events = [{"transaction_id": f"t{i}", "store_id": f"S{i}", "product_name": f"p{i}", "unit_price": 1.0, "quantity": 1, "total_amount": 1.0, "country": f"C{i}", "currency": "USD"} for i in ids]
+        spark.createDataFrame([("s", json.dumps(e)) for e in events], MESSAGE_SCHEMA).write.mode("append").parquet(topic)
+        S.run_until_done(S.start_live_gold_deltas(S.silver_stream(read_events(spark, topic)), root, ckpt, available_now=True))
+
+    run(range(50))
+    run([7])
+    written = B.read(spark, root, GOLD_DELTA_SCHEMA).groupBy(B.BATCH).count().collect()
+    assert sorted(r["count"] for r in written) == [3, 150]
+    for _ in range(2):
+        rows = {(r["gold_table"], r["country"], r["store_id"]): r["total_transactions"] for r in S.live_gold_now(spark, root).collect()}
+        assert rows[G.COUNTRY, "C7", None] == 2 and rows[G.STORE, "C8", "S8"] == 1
+        S.compact_live_gold(spark, root)
+    assert B.read(spark, root, GOLD_DELTA_SCHEMA).count() == 150
+    run([8])
+    assert S.live_gold_now(spark, root).filter("store_id = 'S8'").first()["total_transactions"] == 2

@@ -1,6 +1,6 @@
 """Command-line jobs: the engine's batch and streaming entry points.
 
-    python -m tillwright.jobs publish   --sf-dir DIR --topic PATH
+    python -m tillwright.jobs publish   --sf-dir DIR --topic PATH [--numbered]
     python -m tillwright.jobs tail      --topic PATH [--format kafka --option k=v ...]
     python -m tillwright.jobs bronze    --topic PATH --out PATH [--full] [--once]
     python -m tillwright.jobs silver    --topic PATH --out PATH [--rejects PATH] [--reference-rules] [--once]
@@ -10,7 +10,7 @@
     python -m tillwright.jobs gold      --silver PATH | --table TABLE --gold-root PATH
     python -m tillwright.jobs report    --gold-root PATH
     python -m tillwright.jobs export    --gold-root PATH --out DIR
-    python -m tillwright.jobs live-gold --topic PATH --gold-root PATH [--table all|NAME] [--once]
+    python -m tillwright.jobs live-gold --topic PATH --gold-root PATH [--table all|NAME] [--changes] [--once]
 
 The session comes from the cluster (``spark-submit`` / defaults); nothing
 here sets a master. A stream's checkpoint defaults to a sub-folder of the
@@ -40,7 +40,7 @@ from .plans import lake as L
 from .schemas import PARSED_FIELDS, SPLIT_SCHEMA
 from .sources.dims import fx_dim, product_dim
 from .sources.ledger import ledger
-from .sources.topic import read_events, read_events_batch, to_messages, write_topic
+from .sources.topic import ordered_messages, read_events, read_events_batch, to_messages, with_sequence_header, write_topic
 from .streaming import jobs as S
 
 # Streaming settings applied only where the session leaves them unset.
@@ -101,6 +101,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--format", default="files", choices=["files", "kafka"])
     p.add_argument("--option", action="append")
 
+    p.add_argument("--numbered", action="store_true", help="give every message its number within its store")
+
     topic_args(sub.add_parser("tail", help="print parsed events as they arrive"))
     p = sub.add_parser("bronze", help="topic -> bronze Parquet (partitioned by country)")
     topic_args(p)
@@ -123,6 +125,7 @@ def main(argv: list[str] | None = None) -> None:
     topic_args(p)
     p.add_argument("--gold-root", required=True)
     p.add_argument("--table", default="all", choices=["all", *G.GOLD_TABLES])
+    p.add_argument("--changes", action="store_true", help="write only the groups that changed, to a batch table (all three tables)")
 
     for job, text in (("qa", "topic -> error codes per event"), ("fraud", "topic -> fraud classes and scores"), ("dedup", "topic -> one event per id"), ("usd-gold", "topic -> revenue in USD")):
         p = sub.add_parser(job, help=text)
@@ -151,7 +154,9 @@ def main(argv: list[str] | None = None) -> None:
         opts = _options(a.option)
         if a.format == "kafka":
             opts.setdefault("topic", a.topic)
-        write_topic(to_messages(ledger(spark, a.sf_dir)), a.topic, a.format, opts)
+        events = ledger(spark, a.sf_dir)
+        messages = with_sequence_header(ordered_messages(events), a.format) if a.numbered else to_messages(events)
+        write_topic(messages, a.topic, a.format, opts)
         return
 
     if a.job in ("tail", "bronze", "silver", "split", "live-gold"):
@@ -160,7 +165,7 @@ def main(argv: list[str] | None = None) -> None:
             raise SystemExit("a folder of files has no offsets: only tail can start at latest there")
         if a.job != "tail":
             out = a.gold_root if a.job == "live-gold" else a.out
-            ckpt = _checkpoint(spark, a.checkpoint, a.job, a.topic, out, getattr(a, "table", ""))
+            ckpt = _checkpoint(spark, a.checkpoint, a.job, a.topic, out, getattr(a, "table", "") + ("-changes" if getattr(a, "changes", False) else ""))
         messages = read_events(spark, a.topic, a.format, starting, _options(a.option))
         if a.job == "tail":
             # A tail shows what arrives while it runs; it has nothing to resume.
@@ -182,6 +187,10 @@ def main(argv: list[str] | None = None) -> None:
         elif a.job == "split":
             tagged = S.split_stream(messages, not a.reference_rules)
             q = S.start_batch_sink(tagged, a.out, ckpt, available_now=a.once, interval=a.interval)
+        elif a.changes:
+            q = S.start_live_gold_deltas(
+                S.silver_stream(messages), a.gold_root, ckpt, available_now=a.once, interval=a.interval or S.DEFAULT_TRIGGER
+            )
         elif a.table == "all":
             q = S.start_live_gold_all(
                 S.silver_stream(messages), a.gold_root, ckpt, available_now=a.once,

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import exact, line_total, missing_keys, out_of_range
 from ..functions.once import computed_once
-from ..schemas import NEAR_ZERO_LIMIT, QA_SPIKE_THRESHOLD, REQUIRED_KEYS
+from ..schemas import EVENT_FIELDS, EVENT_SCHEMA, NEAR_ZERO_LIMIT, QA_SPIKE_THRESHOLD, REQUIRED_KEYS
+from .parse import message_text
 
 MISSING_PREFIX = "missing_field:"
 
@@ -125,6 +126,27 @@ def fails_any(raw: str = "value") -> Column:
     return out
 
 
+def unparsed_fields(messages: DataFrame) -> DataFrame:
+    """Events with fields that are there but have a wrong type, which the typed
+    parse makes null: ``transaction_id`` and the names, in producer order.
+
+    The text is parsed once to typed fields and once to a Variant, in one pass;
+    a field counts if the Variant has a value that is not null and the typed
+    field is null. Text that is no JSON object has no fields.
+    """
+    text = message_text(messages)
+    both = F.struct(F.from_json("value", EVENT_SCHEMA).alias("typed"), F.try_parse_json("value").alias("raw"))
+    both = text.select(F.inline(F.array(both)))
+
+    def wrong(name: str) -> Column:
+        raw = F.try_variant_get("raw", f"$.{name}", "variant")
+        return raw.isNotNull() & ~F.is_variant_null(raw) & F.col(f"typed.{name}").isNull()
+
+    names = F.array_compact(F.array(*[F.when(wrong(n), F.lit(n)) for n, _ in EVENT_FIELDS]))
+    found = both.select(F.col("typed.transaction_id").alias("transaction_id"), F.inline(F.array(F.struct(names.alias("names")))))
+    return found.filter(F.size("names") > 0).select("transaction_id", F.array_join("names", ",").alias("unparsed_fields"))
+
+
 def summary(events: DataFrame, raw: str = "value") -> DataFrame:
     """One row: rows checked, passed, failed, and flagged as fraud."""
     e = computed_once(events, "_failed", fails_any(raw))

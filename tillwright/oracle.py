@@ -187,6 +187,25 @@ usd AS (
 """
 
 
+# The threshold curve by counting every row anew at each cut.
+_CURVE = f"""
+ratios AS (
+  SELECT coalesce(is_fraud_flag, FALSE) AS truth,
+         CASE WHEN unit_price < 1 THEN 10001 WHEN base_price_usd IS NULL THEN -1
+              ELSE least(CAST(floor(CAST(CAST(unit_price AS DECIMAL(18,2)) * 100000000 AS HUGEINT) // CAST(base_price_usd * {_RATE} * 1000000 AS HUGEINT)) AS BIGINT), 10000) END AS bin
+  FROM produced LEFT JOIN {_PRODUCTS} USING (sku) LEFT JOIN fx USING (currency)),
+cuts AS (SELECT DISTINCT bin FROM ratios WHERE bin BETWEEN 0 AND 10000 UNION SELECT 784),
+sums AS (
+  SELECT cuts.bin, COUNT(*) FILTER (WHERE truth AND ratios.bin >= cuts.bin) AS tp, COUNT(*) FILTER (WHERE NOT truth AND ratios.bin >= cuts.bin) AS fp,
+         COUNT(*) FILTER (WHERE truth) AS all_actual, COUNT(*) FILTER (WHERE NOT truth) AS all_other
+  FROM cuts, ratios GROUP BY cuts.bin)
+"""
+_SEQUENCE = [
+    "event_time", "transaction_id", "store_name", "city", "country", "region", "currency", "sku", "product_name", "category",
+    "unit_price", "quantity", "total_amount", "payment_method", "customer_type", "is_fraud_flag", "producer_version",
+]
+
+
 def _with(extra: str, body: str) -> str:
     return BASE.rstrip() + "," + extra + body
 
@@ -342,6 +361,26 @@ QUERIES: dict[str, str] = {
     "stream_dedup_batches": _q(
         "SELECT DISTINCT transaction_id, store_id, product_name, unit_price, country, currency FROM typed WHERE transaction_id IS NOT NULL"
     ),
+    "stream_gold_deltas": _GOLD_TAGGED,
+    "publish_ordered": _q(
+        "SELECT store_id AS key, row_number() OVER (PARTITION BY store_id ORDER BY "
+        + ", ".join(f"{c} NULLS FIRST" for c in _SEQUENCE)
+        + ") AS seq, * FROM produced"
+    ),
+    "dq_unparsed_fields": _q(
+        "SELECT transaction_id, CASE WHEN quantity % 8 <= 3 THEN 'quantity' WHEN quantity % 8 = 4 THEN 'unit_price' "
+        "WHEN quantity % 8 = 5 THEN 'is_fraud_flag' ELSE 'total_amount' END AS unparsed_fields FROM produced WHERE quantity % 8 BETWEEN 1 AND 6"
+    ),
+    "fraud_curve": _with(
+        _CURVE,
+        "SELECT CAST(bin AS DOUBLE) / 100 AS cut, tp, fp, all_actual - tp AS fn, all_other - fp AS tn, "
+        "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END AS precision, "
+        "CASE WHEN all_actual > 0 THEN CAST(tp AS DOUBLE) / all_actual END AS recall FROM sums",
+    ),
+    "gold_distinct_sketches": _q(
+        "SELECT country, COUNT(DISTINCT transaction_id) AS sales, COUNT(DISTINCT store_id) AS stores, "
+        "TRUE AS sales_within_error, TRUE AS stores_within_error FROM silver GROUP BY country"
+    ),
     "stream_dedup_late": _dedup("typed", _BRONZE_COLS),
     "stream_split": _q(
         f"SELECT {_SILVER_COLS}, CASE WHEN reject_reason IS NULL THEN 'silver' ELSE 'rejects' END AS dataset, reject_reason "

@@ -26,10 +26,10 @@ from .operators.parse import parse_events, with_event_time, with_processed_time
 from .plans import batches as B
 from .plans import idindex as IX
 from .plans import lake as L
-from .schemas import BRONZE_READ_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS, SPLIT_SCHEMA, TYPED_SCHEMA
+from .schemas import BRONZE_READ_SCHEMA, EVENT_SCHEMA, GOLD_SCHEMAS, PARSED_FIELDS, SPLIT_SCHEMA, TYPED_SCHEMA
 from .sources.dims import fx_dim, product_dim, store_dim
 from .sources.ledger import bronze_rows, ledger
-from .sources.topic import read_events, resent, to_messages, write_topic
+from .sources.topic import ordered_messages, read_events, resent, to_messages, write_topic
 from .streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -478,6 +478,59 @@ def stream_dedup_late(spark, sf_dir):
     return IX.read(spark, root, TYPED_SCHEMA)
 
 
+def stream_gold_deltas(spark, sf_dir):
+    """Live gold as changes: only the groups that a micro-batch changed are written; the last row of each group is gold."""
+    topic = scratch_path(spark, "topic")
+    write_topic(_messages(spark, sf_dir).repartition(4), topic)
+    root, ckpt = scratch_path(spark, "gold-deltas"), scratch_path(spark, "ckpt-deltas")
+    stream = S.silver_stream(read_events(spark, topic, max_files_per_trigger=1))
+    S.run_until_done(S.start_live_gold_deltas(stream, root, ckpt, available_now=True))
+    S.compact_live_gold(spark, root)
+    return S.live_gold_now(spark, root)
+
+
+def publish_ordered(spark, sf_dir):
+    """Messages with their gapless number within the store, read back."""
+    sent = ordered_messages(ledger(spark, sf_dir))
+    return sent.select("key", "seq", F.inline(F.array(F.from_json("value", EVENT_SCHEMA))))
+
+
+def _mistyped(value):
+    """JSON text with one field of a wrong type, chosen by the quantity."""
+    pick = F.get_json_object(value, "$.quantity").cast("int") % 8
+    swap = [
+        ('"quantity":([0-9]+)', '"quantity":"$1"'), ('"quantity":([0-9]+)', '"quantity":$1.0'), ('"quantity":([0-9]+)', '"quantity":3e9'),
+        ('"unit_price":([-0-9.E]+)', '"unit_price":"$1 USD"'), ('"is_fraud_flag":(true|false)', '"is_fraud_flag":"yes"'),
+        ('"total_amount":[^,]+', '"total_amount":[1]'),
+    ]
+    out = value
+    for k, (pattern, new) in enumerate(swap, 1):
+        out = F.when(pick == k, F.regexp_replace(value, pattern, new)).otherwise(out)
+    return out
+
+
+def dq_unparsed_fields(spark, sf_dir):
+    """Fields that the typed parse nulls because of their type, over messages with such fields planted."""
+    messages = _messages(spark, sf_dir)
+    return Q.unparsed_fields(messages.withColumn("value", _mistyped(F.col("value"))))
+
+
+def fraud_curve(spark, sf_dir):
+    return FR.curve(_full(spark, sf_dir), product_dim(spark, sf_dir), fx_dim(spark))
+
+
+def gold_distinct_sketches(spark, sf_dir):
+    """Distinct sale ids and stores per country, from sketches by (country, currency) merged by country, held against the exact counts."""
+    silver = _silver(spark, sf_dir)
+    by, out = ["country", "currency"], None
+    for column, name in (("transaction_id", "sales"), ("store_id", "stores")):
+        merged = G.merged_sketches(G.distinct_sketches(silver, by, column), ["country"]).select("country", G.sketch_estimate(f"{name}_estimate"))
+        out = merged if out is None else out.join(merged, "country")
+    exact = silver.groupBy("country").agg(F.count_distinct("transaction_id").alias("sales"), F.count_distinct("store_id").alias("stores"))
+    near = [(F.abs(F.col(f"{n}_estimate") - F.col(n)) <= F.ceil(F.col(n) * G.SKETCH_ERROR)).alias(f"{n}_within_error") for n in ("sales", "stores")]
+    return out.join(exact, "country").select("country", "sales", "stores", *near)
+
+
 QUERIES: dict[str, Query] = {
     # sources, parsing
     "publish_payload": publish_payload,
@@ -536,6 +589,11 @@ QUERIES: dict[str, Query] = {
     "stream_rejects": stream_rejects,
     "stream_dedup": stream_dedup,
     "stream_dedup_late": stream_dedup_late,
+    "stream_gold_deltas": stream_gold_deltas,
+    "publish_ordered": publish_ordered,
+    "dq_unparsed_fields": dq_unparsed_fields,
+    "fraud_curve": fraud_curve,
+    "gold_distinct_sketches": gold_distinct_sketches,
     "stream_split": stream_split,
     "gold_incremental": gold_incremental,
     "compacted_silver": compacted_silver,

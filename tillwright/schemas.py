@@ -126,6 +126,12 @@ TYPED_SCHEMA = T.StructType(
 # Silver and its rejects in one batch table.
 SPLIT_SCHEMA = T.StructType([*SILVER_READ_SCHEMA.fields, T.StructField("reject_reason", T.StringType())])
 
+# Rows of the three gold tables in one frame; keys a table does not group by are null.
+GOLD_DELTA_SCHEMA = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("country", "currency", "product_name", "store_id")]
+    + [T.StructField("total_revenue", T.DoubleType()), T.StructField("total_transactions", T.LongType())]
+)
+
 # Message shape of the topic: Kafka-compatible key/value text.
 MESSAGE_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EVENT_FIELDS, MESSAGE_SCHEMA
+from ..operators.sequence import numbered
 from .ledger import as_produced
 
 
@@ -37,6 +38,29 @@ def to_messages(events: DataFrame, ordered: bool = True) -> DataFrame:
     return messages.drop("_t")
 
 
+def ordered_messages(events: DataFrame) -> DataFrame:
+    """Messages with ``seq``, the gapless number of the event within its store in
+    time order, so that a consumer can put a store's events in order (and see a
+    gap) whichever tasks and partitions they came through.
+
+    Events of one store and time are numbered by their other fields.
+    """
+    produced = as_produced(events)
+    fields = [n for n, _ in EVENT_FIELDS]
+    order = ["event_time", "transaction_id", *[n for n in fields if n not in ("event_time", "transaction_id", "store_id")]]
+    return numbered(produced, "store_id", order).select(
+        F.col("store_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"), "seq"
+    )
+
+
+def with_sequence_header(messages: DataFrame, fmt: str = "files") -> DataFrame:
+    """Messages as a topic takes them: with Kafka ``seq`` travels as a header, a file topic keeps the column."""
+    if fmt != "kafka":
+        return messages
+    header = F.struct(F.lit("seq").alias("key"), F.col("seq").cast("string").cast("binary").alias("value"))
+    return messages.select("key", "value", F.array(header).alias("headers"))
+
+
 def resent(df: DataFrame, copies: int = 2) -> DataFrame:
     """Every row delivered ``copies`` times (a producer retrying every send),
     from one pass over ``df``."""

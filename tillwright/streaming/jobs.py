@@ -21,6 +21,7 @@ from ..operators import gold as G
 from ..functions.once import computed_once
 from ..operators.parse import parse_events, with_event_time, with_processed_time
 from ..plans import batches, idindex
+from ..schemas import GOLD_DELTA_SCHEMA
 
 DEFAULT_TRIGGER = "30 seconds"
 # Live gold keeps every version this long, so that a reader may hold one.
@@ -163,6 +164,44 @@ def start_live_gold_all(
     return _trigger(writer, available_now, interval).start()
 
 
+def start_live_gold_deltas(
+    silver: DataFrame,
+    root: str,
+    checkpoint: str,
+    available_now: bool = False,
+    interval: str | None = DEFAULT_TRIGGER,
+) -> StreamingQuery:
+    """All three gold tables, written as changes: ``update`` output holds only the
+    groups that a micro-batch changed, and those are appended to the batch
+    table at ``root``. :func:`live_gold_now` takes the last row of each group."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        changed = batch.withColumnRenamed("gold_table", batches.DATASET)
+        batches.append(changed, root, checkpoint_id(batch.sparkSession, checkpoint), batch_id, ())
+
+    writer = G.gold_all(silver).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(add)
+    return _trigger(writer, available_now, interval).start()
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """The last row of each group of each gold table."""
+    keys = [batches.DATASET, *G.PARTIAL_KEYS]
+    rest = [c for c in rows.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), batches.BATCH).alias("_row"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in rows.columns])
+
+
+def live_gold_now(spark: SparkSession, root: str) -> DataFrame:
+    """The tagged gold tables as of the last committed micro-batch."""
+    rows = _newest(batches.read(spark, root, GOLD_DELTA_SCHEMA))
+    return rows.drop(batches.BATCH).withColumnRenamed(batches.DATASET, "gold_table")
+
+
+def compact_live_gold(spark: SparkSession, root: str) -> str | None:
+    """Merge the changes written so far into one row per group."""
+    return batches.compact(spark, root, GOLD_DELTA_SCHEMA, tuple(G.PARTIAL_KEYS), (), reduced=_newest)
+
+
 def dedup_stream(typed: DataFrame, delay: str = "1 hour", key: str = "transaction_id") -> DataFrame:
     """Drop re-sent events: an id's state lives for ``delay`` after it arrived.
 
