@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillwright.llm import urls
@@ -27,7 +28,7 @@ def rule(host, path):
 EDGES = [
     None, "", "no scheme", "://", "http://", "http://NET", "http://net/", "http://x.NET/a", "http://xnet/", "HTTP://Example.NET/en/1", "http://example.net/en",
     "http://a.b.org/fr/x?y#z", "http://É.org/FR/", "http://example.com/de/?q=/en/", "http://example.com?/de/", "http://example.com#x", "a://b://c/d",
-    "http://example.net:80/en/", "http://h/\n1", "http://h//" + "/a" * 300, "http://h/" + "x" * 50_000, "http://example.com/de/5.html", "http://example.com/de/5.html",
+    "http://example.net:80/en/", "http://h/\n1", "http://h//" + "/a" * 300, "http://h2/" + "/b" * 20_000, "http://h/" + "x" * 50_000, "http://example.com/de/5.html", "http://example.com/de/5.html",
 ]
 
 
@@ -65,6 +66,20 @@ def test_similar_branches_are_merged(spark):
     assert [got[i]["verdict"] for i in range(5)] == ["block"] * 3 + ["allow"] * 2
 
 
+@pytest.mark.parametrize("sections", [31, 32, 33, 400])
+def test_a_bad_section_is_blocked_at_any_fan_out(spark, sections):
+    labels = [(f"http://h.info/s{s}x/{k}", int(s == 0)) for s in range(sections) for k in range(40)]
+    got = judged(spark, ["http://h.info/s0x/777", "http://h.info/s1x/777"], labels)
+    assert [(got[i]["template"], got[i]["verdict"]) for i in range(2)] == [("/s0x/*", "block"), ("/s1x/*", "allow")]
+
+
+def test_thousands_of_rare_segments_are_one_wildcard(spark):
+    name = [f"user-{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(10_000)]
+    labels = [(f"http://h.info/{name[k]}/{('home', 'photos')[k % 2]}", k % 2) for k in range(10_000)]
+    got = judged(spark, ["http://h.info/someone/photos", "http://h.info/someone/home"], labels)
+    assert [(got[i]["template"], got[i]["verdict"]) for i in range(2)] == [("/*/photos", "block"), ("/*/home", "allow")]
+
+
 def test_random_urls(spark):
     rng = random.Random(1)
     bits = ["http", "://", "/", "?", "#", "net", "example", ".", "com", "org", "/fr/", "/de/", "/en/", "A", "é", "12", "\n"]

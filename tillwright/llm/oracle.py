@@ -61,11 +61,13 @@ WITH rests AS (
         THEN '*' || regexp_extract(s, '^[A-Za-z0-9_-]{{12,}}{_EXTENSION}\z', 1)
       ELSE s END) AS g FROM paths
 ), nodes AS (
-  SELECT host, path, n, k, i, i || ':' || array_to_string(g[1 : i - 1], '/') AS parent, g[i] AS segment FROM cut, unnest(range(1, len(g) + 1)) AS u(i)
-), wide AS (SELECT host, parent FROM nodes GROUP BY host, parent HAVING count(DISTINCT segment) > {urls.MAX_CHILDREN}),
+  SELECT host, path, n, k, i, g[i] AS segment FROM cut, unnest(range(1, len(g) + 1)) AS u(i)
+), rare AS (
+  SELECT host, i, segment FROM nodes WHERE NOT starts_with(segment, '*') GROUP BY host, i, segment HAVING sum(n + 1) < {urls.MIN_SUPPORT}
+), pooled AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY host, i) AS members FROM rare) WHERE members > 1),
 shaped AS (
-  SELECT host, path, n, k, string_agg(CASE WHEN w.parent IS NULL THEN segment ELSE '*' END, '/' ORDER BY i) AS template
-  FROM nodes LEFT JOIN wide w USING (host, parent) GROUP BY host, path, n, k
+  SELECT host, path, n, k, string_agg(CASE WHEN r.segment IS NULL THEN nodes.segment ELSE '*' END, '/' ORDER BY nodes.i) AS template
+  FROM nodes LEFT JOIN pooled r USING (host, i, segment) GROUP BY host, path, n, k
 ), t AS (SELECT host, template, sum(n) AS n, sum(k) AS k FROM shaped GROUP BY host, template),
 hosts AS (
   SELECT host, (sum(k) + 20::DOUBLE * (SELECT coalesce(sum(k) / greatest(sum(n), 1)::DOUBLE, 0) FROM t)) / (sum(n) + 20::DOUBLE) AS ph FROM t GROUP BY host
@@ -74,8 +76,8 @@ hosts AS (
     len(string_split(template, '/')) || regexp_extract(template, '(\*?(?:\.[A-Za-z]{{1,5}})?)\z', 1) AS shape FROM t JOIN hosts USING (host)
 ), gaps AS (
   SELECT *, coalesce(CAST(p - lag(p) OVER s > {urls.Z}::DOUBLE * sqrt(ph * (1 - ph) * (1 / (n + 20::DOUBLE) + 1 / (lag(n) OVER s + 20::DOUBLE))) AS INT), 0) AS gap
-  FROM sib WINDOW s AS (PARTITION BY host, parent, shape ORDER BY p, template)
-), runs AS (SELECT *, sum(gap) OVER (PARTITION BY host, parent, shape ORDER BY p, template ROWS UNBOUNDED PRECEDING) AS run FROM gaps),
+  FROM sib WINDOW s AS (PARTITION BY host, parent, shape ORDER BY p, n, template)
+), runs AS (SELECT *, sum(gap) OVER (PARTITION BY host, parent, shape ORDER BY p, n, template ROWS UNBOUNDED PRECEDING) AS run FROM gaps),
 judged AS (
   SELECT host, template, (sum(k) OVER r + 20::DOUBLE * ph) / (sum(n) OVER r + 20::DOUBLE) AS purity FROM runs WINDOW r AS (PARTITION BY host, parent, shape, run)
 )

@@ -2,9 +2,10 @@ r"""URL filters: host rules, and a path-template tree judged by labelled purity.
 
 1. *Templates.* A path is cut at ``/`` into segments. A segment that looks
    like an identifier (digits, hex, long mixed strings) becomes ``*``, its
-   file extension kept. Every prefix of a path is a node of its host's tree;
-   a node with more than ``MAX_CHILDREN`` different children is variable
-   there, and those children become ``*`` too.
+   file extension kept. A segment that few rows of its host have at its depth
+   (labels and distinct paths together below ``MIN_SUPPORT``) becomes ``*``
+   too, if it has siblings as rare; one with more rows stays a node of the
+   host's tree, however many siblings it has.
 2. *Branches.* Sibling branches (below one node of a host's tree, of equal
    depth and equal last segment's shape) are ordered by their smoothed share of bad labels; neighbours closer than
    ``Z`` standard errors are merged into one branch, so rare templates borrow
@@ -14,15 +15,17 @@ r"""URL filters: host rules, and a path-template tree judged by labelled purity.
    host's share is smoothed towards the corpus in the same way. Explicit
    rules decide before templates; the longest fitting rule wins.
 
-Only DataFrame functions run here. Nodes are counted by partial aggregation
-before any shuffle; the per-template tables are joined back on (host,
-template), small rows only, where a hot host is spread over its templates.
+Only DataFrame functions run here. Segments are counted by partial aggregation
+before any shuffle, in time linear in a path's length; the per-template tables are joined back on (host,
+template), small rows only, where a hot host is spread over its templates. Siblings
+are ordered by their distinct pairs of counts, not one by one.
 
 Defined results: a null url, or one without ``://``, has empty host and path,
 fits no rule and forms the template of the empty path of the empty host; an
 empty path fits no rule (each rule's path starts with ``/``); rows repeating
 a ``page_id`` are judged each by its own url; without labels every template
-is allowed.
+is allowed. Only page_id and url are read (of labels url and bad); other
+columns may have any name and are not returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,8 +43,8 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Different children from which a node's children are one variable segment.
-MAX_CHILDREN = 32
+#: Labels and distinct paths from which a segment is a section of its own.
+MIN_SUPPORT = 8
 Z = 1.0
 PRIOR = 20.0
 BLOCK = 0.6
@@ -73,43 +76,26 @@ def _general(segments: Column) -> Column:
     return F.transform(segments, lambda s: F.when(s.rlike(VARIABLE), F.concat(F.lit("*"), F.regexp_extract(s, VARIABLE, 1))).otherwise(s))
 
 
-def _prefix_keys(segments: Column) -> Column:
-    """For each segment, a hash of all segments before it (the parent node)."""
-    start = F.struct(F.lit(0).cast("bigint").alias("h"), F.array().cast("array<bigint>").alias("all"))
-    return F.aggregate(
-        segments,
-        start,
-        lambda a, s: F.struct(F.xxhash64(a["h"], s).alias("h"), F.array_append(a["all"], a["h"]).alias("all")),
-    )["all"]
-
-
 def templates(paths: DataFrame) -> DataFrame:
-    """Distinct (host, path, ...) rows with ``template``."""
+    """Distinct (host, path, n, ...) rows with ``template``; n is the path's number of labels."""
     df = paths.withColumn("_segments", _general(F.split(F.col("path"), "/")))
-    df = df.withColumn("_parents", _prefix_keys(F.col("_segments")))
-    # Many paths are one after generalising: take each once before its nodes are made.
-    general = df.groupBy("host", "_segments").agg(F.first("_parents").alias("_parents"))
-    nodes = general.select("host", F.inline(F.arrays_zip("_parents", "_segments"))).distinct()
-    wide = nodes.groupBy("host", "_parents").agg(F.count("*").alias("n")).filter(F.col("n") > MAX_CHILDREN)
-    marked = (
-        general.select("host", "_segments", F.explode("_parents").alias("_parents"))
-        .join(wide.select("host", "_parents"), ["host", "_parents"], "left_semi")
-        .groupBy("host", "_segments")
-        .agg(F.collect_set("_parents").alias("_wide"))
-    )
-    df = df.join(marked, ["host", "_segments"], "left")
-    wide_here = F.coalesce(F.col("_wide"), F.array().cast("array<bigint>"))
-    generalised = F.transform(
-        F.col("_segments"), lambda s, i: F.when(F.array_contains(wide_here, F.get(F.col("_parents"), i)), F.lit("*")).otherwise(s)
-    )
-    return df.withColumn("template", F.array_join(generalised, "/")).drop("_segments", "_parents", "_wide")
+    df = df.withColumn("_key", F.sha2(F.concat_ws("/", "host", F.array_join("_segments", "/")), 256))
+    # Many paths are one after generalising: take each once before it is cut up.
+    general = df.groupBy("host", "_key").agg(F.first("_segments").alias("_segments"), F.sum(F.col("n") + 1).alias("support"))
+    places = general.select("host", "_key", "support", F.posexplode("_segments").alias("depth", "segment"))
+    support = places.filter(~F.startswith("segment", F.lit("*"))).groupBy("host", "depth", "segment").agg(F.sum("support").alias("support"))
+    rare = support.filter(F.col("support") < MIN_SUPPORT).drop("support")
+    several = rare.groupBy("host", "depth").agg(F.count("*").alias("members")).filter("members > 1").drop("members")
+    rare = rare.join(several, ["host", "depth"]).withColumn("_rare", F.lit(True))
+    marked = places.drop("support").join(rare, ["host", "depth", "segment"], "left")
+    named = F.struct("depth", F.when(F.col("_rare"), F.lit("*")).otherwise(F.col("segment")).alias("segment"))
+    made = marked.groupBy("_key").agg(F.sort_array(F.collect_list(named)).alias("all"))  # the segments of one path
+    made = made.select("_key", F.array_join("all.segment", "/").alias("template"))
+    return df.join(made, "_key").drop("_segments", "_key")
 
 
 def branches(paths: DataFrame) -> DataFrame:
-    """(host, template, branch, purity) of (host, template, n, k): labelled and bad labels of each path.
-
-    A node has at most MAX_CHILDREN children, so each window of siblings is small.
-    """
+    """(host, template, branch, purity) of (host, template, n, k): labelled and bad labels of each path."""
     nodes = paths.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     hosts = nodes.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("k").alias("hk"))
     whole = hosts.agg((F.sum("hk") / F.greatest(F.sum("hn"), F.lit(1))).alias("p0"))
@@ -122,14 +108,18 @@ def branches(paths: DataFrame) -> DataFrame:
             "p": (F.col("k") + PRIOR * F.col("ph")) / (F.col("n") + PRIOR),
         }
     )
-    siblings = "PARTITION BY host, parent, shape ORDER BY p, template"
+    # Siblings of equal counts have equal shares and end up in one branch, so the
+    # order is over distinct counts: few rows, however many siblings a node has.
+    alike = ["host", "parent", "shape", "n", "k"]
+    counts = nodes.groupBy(*alike).agg(F.first("p").alias("p"), F.first("ph").alias("ph"), F.count("*").alias("m"), F.min("template").alias("least"))
+    siblings = "PARTITION BY host, parent, shape ORDER BY p, n"
     spread = F.sqrt(F.col("ph") * (1 - F.col("ph")) * (1 / (F.col("n") + PRIOR) + 1 / (F.expr(f"lag(n) OVER ({siblings})") + PRIOR)))
-    nodes = nodes.withColumn("_gap", F.coalesce((F.col("p") - F.expr(f"lag(p) OVER ({siblings})") > Z * spread).cast("int"), F.lit(0)))
-    nodes = nodes.withColumn("_run", F.expr(f"sum(_gap) OVER ({siblings} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
+    counts = counts.withColumn("_gap", F.coalesce((F.col("p") - F.expr(f"lag(p) OVER ({siblings})") > Z * spread).cast("int"), F.lit(0)))
+    counts = counts.withColumn("_run", F.expr(f"sum(_gap) OVER ({siblings} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
     run = "PARTITION BY host, parent, shape, _run"
-    purity = F.expr(f"(sum(k) OVER ({run}) + {PRIOR} * ph) / (sum(n) OVER ({run}) + {PRIOR})")
-    branch = F.expr(f"min(template) OVER ({run})")
-    return nodes.select("host", "template", branch.alias("branch"), purity.alias("purity"))
+    purity = F.expr(f"(sum(k * m) OVER ({run}) + {PRIOR} * ph) / (sum(n * m) OVER ({run}) + {PRIOR})")
+    counts = counts.select(*alike, F.expr(f"min(least) OVER ({run})").alias("branch"), purity.alias("purity"))
+    return nodes.select("template", *alike).join(counts, alike).select("host", "template", "branch", "purity")
 
 
 def judged(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
