@@ -53,7 +53,7 @@ def test_unseen_layouts(field):
 def test_blocks_of_odd_markup():
     page = (
         "<!DOCTYPE html><!-- <p>no</p> --><head><title>no</title><style>p{}</style></head><p>a &amp; <b>b</b>c<p>d\n  e<br>f"
-        "<script>if (a < b) '</p>'</script><div hidden>no</div><ul><li>g<li>h &#233; &lt;i&gt;</ul></nope><p>x < y<p>&nbsp;</p>tail<form>no</form"
+        "<script>if (a < b) '</p>'</script><div hidden>no</div><ul><li>g<li>h &#233; &lt;i&gt;</ul></nope><p>x < y<p>&nbsp;</p>tail<select><option>no</select>"
     )
     assert [b.text for b in htmlcrf.blocks(page)] == ["a & bc", "d e", "f", "g", "h é <i>", "x < y", "tail"]
     assert htmlcrf.blocks("") == [] and htmlcrf.blocks("<<<>>") != None  # noqa: E711
@@ -61,6 +61,34 @@ def test_blocks_of_odd_markup():
     htmlcrf.blocks("<a title='" + "<" * 20000)
 
 
+STORY = ["The valley lies far from any road, and few have seen it.", "In spring the river rises, and the meadows are full of flowers.", "Nobody knows who built the old bridge over the gorge."]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<form><article>{}</article></form>",
+        "<form action=/x><div class=content>{}</div></form>",
+        '<article title="the hidden valley">{}</article>',
+        '<article data-x="display:none">{}</article>',
+        '<article><div class="text hidden md">{}</div></article>',
+        "<article title='class=menu hidden'>{}</article>",
+    ],
+)
+def test_articles_that_no_attribute_value_or_form_may_hide(field, page):
+    whole = f"<html><body><nav><ul><li><a href=/>menu</a></li></ul></nav>{page.format(''.join(f'<p>{p}</p>' for p in STORY))}<footer>&copy; us</footer></body></html>"
+    assert field.extract(whole) == " ".join(STORY)
+
+
+def test_formulas_stay_and_hidden_elements_and_other_forms_go(field):
+    page = (
+        f"<html><body><article><p>{STORY[0]}</p><p>The energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> is <svg><text>drawn</text></svg> here, says the sign.</p><p>{STORY[1]}</p>"
+        f"<p hidden>no</p><p style='color:red; display : none'>no</p><p>{STORY[2]}</p></article>"
+        '<form action="/go"><label>Search</label><input name="q"><p>Type a word and press the button.</p><button>no</button></form></body></html>'
+    )
+    assert field.extract(page) == f"{STORY[0]} The energy E=m is drawn here, says the sign. {STORY[1]} {STORY[2]}"
+
+
 def test_viterbi_is_the_best_of_all_labellings():
     rng = np.random.default_rng(1)
     for _ in range(30):

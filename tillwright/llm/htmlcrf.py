@@ -1,7 +1,9 @@
 """HTML extraction: a linear-chain conditional random field over DOM leaf blocks.
 
 A page is cut into leaf blocks: runs of text between block-level tags, with
-the tags, classes and ids of all their ancestors. A block's features are
+the tags, classes and ids of all their ancestors. Only scripts, styles, controls
+and elements with a ``hidden`` attribute or ``display: none`` are left out before the field
+decides; forms, formulas and drawings are ancestors like others. A block's features are
 those ancestors and properties of its text (length, share of link text,
 punctuation, words of notices). The field has two labels, article and other;
 Viterbi decoding picks the best label sequence, and the article's blocks are
@@ -47,9 +49,12 @@ FEATURES = 1 << 15
 KEPT_SCORES = 100_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style template noscript textarea select option button svg math iframe object canvas head title form".split())
+# Scripts, controls and what is never shown: all else is for the field to judge.
+HIDDEN = frozenset("script style template noscript textarea select option button iframe object canvas head title".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var".split())
+# Parts of formulas and drawings inside a line.
+INLINE |= frozenset("math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mspace semantics svg g path circle rect line ellipse polygon polyline text tspan use".split())
 # Tags that end an open element of the listed tags.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -60,8 +65,9 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|[^<]++|<""",
     re.DOTALL,
 )
-_NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
-_HIDES = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'<>]++)))?+""")
+_DISPLAY_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
+_NAMED = ("class", "id", "role")
 # Words of notices, in lower case.
 NOTICE = (
     "cookie", "subscri", "newsletter", "privacy", "copyright", "©", "all rights", "log in", "login", "sign in", "sign up", "share", "tweet",
@@ -143,10 +149,12 @@ def blocks(page: str) -> list[Block]:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
             continue
-        names = [f"t:{tag}"]
-        for found in _NAMES.findall(m[3]):
-            names += [f"n:{n}" for n in re.findall(r"[a-z]+", "".join(found).lower())]
-        hides = tag in HIDDEN or bool(_HIDES.search(m[3]))
+        names, hides = [f"t:{tag}"], tag in HIDDEN
+        for attribute, *values in _ATTRIBUTE.findall(m[3]):
+            attribute, value = attribute.lower(), "".join(values)
+            if attribute in _NAMED:
+                names += [f"n:{n}" for n in re.findall(r"[a-z]+", value.lower())]
+            hides = hides or attribute == "hidden" or (attribute == "style" and bool(_DISPLAY_NONE.search(value)))
         stack.append((tag, tuple(names), hides))
         hidden += hides
         links += tag == "a"
@@ -276,6 +284,7 @@ BOILERPLATE = (
 )
 CONTAINERS = (
     "<article>{}</article>", "<article>{}</article>", "<article>{}</article>", '<article class="post">{}</article>', "<main><article>{}</article></main>", "<main>{}</main>",
+    "<form><article>{}</article></form>", '<form action="/page" id="page"><div class="content">{}</div></form>',
     '<div class="content">{}</div>', '<div id="main" class="article-body">{}</div>', '<section class="story entry">{}</section>', '<div class="post"><div class="text">{}</div></div>',
 )
 PARAGRAPHS = ("<p>{}</p>",) * 8 + ("<p>{}", "<p><b>{}<br>", "<div>{}</div>", "<h2>{}</h2>", "<h3>{}</h3>", "<blockquote><p>{}</p></blockquote>", "<ul><li>{}</li></ul>", "<pre>{}</pre>", "<p>{}<br>", "<table><tr><td>{}</td></tr></table>")
