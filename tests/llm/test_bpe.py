@@ -44,6 +44,18 @@ def test_word_bpe_equals_library(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize(("make", "name"), [(bpe.Tokenizer, "word_bpe_49k.json"), (tokenfile._Library, "byte_bpe_50k.json")])
+def test_every_code_point_as_the_library(make, name):
+    """Each code point between letters, after a space and beside a digit and a sign; all at once and, where that differs, alone."""
+    ours, library = make(vocabulary(name)), tokenizers.Tokenizer.from_file(vocabulary(name))
+    points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for k in range(0, len(points), 1 << 15):
+        text = "\n".join(f"a{chr(i)}B1 {chr(i)}x!{chr(i)}" for i in points[k : k + (1 << 15)])
+        if ours.encode([text])[0].tolist() != library.encode(text, add_special_tokens=False).ids:
+            wrong = [hex(i) for i in points[k : k + (1 << 15)] if ours.encode([f"a{chr(i)}B1 {chr(i)}x!{chr(i)}"])[0].tolist() != library.encode(f"a{chr(i)}B1 {chr(i)}x!{chr(i)}", add_special_tokens=False).ids]
+            raise AssertionError(wrong[:20])
+
+
 def test_empty_table(spark):
     assert bpe.encoded(spark.createDataFrame([], "doc_id long, text string"), vocabulary("word_bpe_49k.json")).count() == 0
 

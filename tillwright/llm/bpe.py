@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import functools
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import appended, passes, with_arrays
-from .pieces import Table, encode_texts
+from .pieces import Table, encode_texts, folded
 
 _NEVER = np.iinfo(np.int64).max
 
@@ -125,16 +124,9 @@ class Tokenizer:
         self.control = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.table = Table(lambda words: self.merges.encode([w.encode() for w in words]), spaced=False)
 
-    def _normal(self, text: str) -> str:
-        """NFC and lower case; white space need not be unified, as it only separates words."""
-        if not text.isascii():
-            # Lower case goes by character: a final sigma is not special.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.lower()
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, offsets of length n + 1)."""
-        return encode_texts(texts, self.table, self.control, self._normal)
+        return encode_texts(texts, self.table, self.control, folded)
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """Texts of runs of ids: their strings, joined by spaces, as the tokenizer file has no decoder."""

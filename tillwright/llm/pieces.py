@@ -8,7 +8,8 @@ Two cuts are known, both as `tokenizers` files define them (contractions are
 * *bare*: contractions, ``\p{L}+``, ``\p{N}``, ``[^\s\p{L}\p{N}]+``, white
   space dropped.
 
-Characters are classed by a table over all code points, runs of a class are
+Characters are classed by a table over all code points that the library itself
+fills (only its letters, digits and spaces are asked for), runs of a class are
 found by comparing neighbours, and pre-tokens are told apart by 64-bit hashes.
 """
 
@@ -16,15 +17,13 @@ from __future__ import annotations
 
 import functools
 import re
-import unicodedata
 from collections.abc import Callable
 
 import numpy as np
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from . import textnum
 
-#: White space of Unicode.
-SPACES = "\t\n\x0b\x0c\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 SPACE, LETTER, NUMBER, OTHER = range(4)
 #: Pre-tokens whose ids a table keeps; beyond, it starts anew.
 TABLE_SIZE = 2_000_000
@@ -32,16 +31,25 @@ TABLE_SIZE = 2_000_000
 
 @functools.lru_cache(1)
 def _classes() -> np.ndarray:
+    """Class of every code point, as the tokenizers library's own tables have it (Python's may be older or newer)."""
     of = np.full(0x110000, OTHER, np.uint8)
-    kinds = {"L": LETTER, "N": NUMBER}
-    for i in range(0x110000):
-        k = kinds.get(unicodedata.category(chr(i))[0])
-        if k:
-            of[i] = k
-    of[[ord(c) for c in SPACES]] = SPACE
+    known = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    every, at = "".join(map(chr, known)), np.array(known)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        found = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(every)
+        for _, (start, end) in found:
+            of[at[start:end]] = kind
     return of
 
 
+_NORMAL = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+
+
+def folded(text: str) -> str:
+    """NFC and lower case, by the library's tables; white space need not be unified, as it only separates words."""
+    return text.lower() if text.isascii() else _NORMAL.normalize_str(text)
+
+
 @functools.lru_cache(1)
 def _values() -> np.ndarray:
     return textnum.mixed(np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
