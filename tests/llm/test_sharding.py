@@ -74,3 +74,46 @@ def test_ranks_are_gapless_in_order(spark):
         for got in by.values():
             got.sort()
             assert [r[0] for r in got] == list(range(len(got))) and [r[1:] for r in got] == sorted(r[1:] for r in got)
+
+
+def least_cut(sizes, capacity):
+    """The lowest cut of groups of these sizes over shards of this capacity, by trying all ways to lay them out."""
+    best = [sum(sizes)]
+
+    def lay(k, room, cut):
+        if cut >= best[0]:
+            return
+        if k == len(sizes):
+            best[0] = cut
+            return
+
+        def split(left, shard, held, room):
+            if shard == len(room):
+                if not left:
+                    lay(k + 1, room, cut + held - 1)
+                return
+            for take in range(min(left, room[shard]), -1, -1):
+                split(left - take, shard + 1, held + (take > 0), [*room[:shard], room[shard] - take, *room[shard + 1 :]])
+
+        split(sizes[k], 0, 0, room)
+
+    lay(0, list(capacity), 0)
+    return best[0]
+
+
+@pytest.mark.parametrize("sizes", [(4, 4, 4), (6, 3, 3), (5, 4, 2, 1), (7, 2, 2), (3, 3, 3, 2)])
+def test_the_cut_is_within_three_of_the_best_one(spark, sizes):
+    """Half of the rows are linked with none; full of linked rows, shards have no room to move in and more is cut."""
+    linked = [f"group {g}" for g, s in enumerate(sizes) for _ in range(s)]
+    texts = linked + [f"alone {k}" for k in range(len(linked))]
+    n = len(texts)
+    rows = list(enumerate(random.Random(3).sample(texts, n)))
+    capacity = [n // 3 + (t < n % 3) for t in range(3)]
+    assert sum(cuts(placed(spark, rows, 3)).values()) <= least_cut(sizes, capacity) + 3
+
+
+def test_propagation_goes_on_as_long_as_the_cut_falls(spark):
+    rng = random.Random(8)
+    rows = [(i, "hot" if i % 3 == 0 else f"t{rng.randrange(300)}") for i in range(1500)]
+    out = [sum(cuts(placed(spark, rows, 12, patience=p)).values()) for p in (1, 10)]
+    assert out[1] <= out[0] and out[1] < 60  # of 1,000 rows in groups of three; nothing is unlinked

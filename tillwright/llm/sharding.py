@@ -16,7 +16,8 @@ table (``n_shards`` squared rows) reaches the driver.
 
 Defined results: null is an empty text; rows that repeat a ``doc_id`` or a
 text are placed each; shard sizes differ by at most one row; fewer rows than
-shards leave shards empty.
+shards leave shards empty; only doc_id and text are read, other columns may
+have any name and are not returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from .common import dropped, ranked, staged, staged_at
 
 SHARDS = 24
-#: Rounds at most; propagation ends earlier when no move is granted.
-ROUNDS = 10
+#: Rounds in a row without a lower cut after which propagation ends.
+PATIENCE = 10
 
 
 def _quotas(wishes: dict[tuple[int, int], int], room: list[int]) -> list[tuple[int, int, int]]:
@@ -59,25 +60,35 @@ def wanted(state: DataFrame, members: DataFrame, n_shards: int, open_shards: lis
     )
 
 
-def propagated(state: DataFrame, members: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> DataFrame:
+def cut_copies(state: DataFrame, members: DataFrame) -> int:
+    """Over all links, the shards beyond the first that hold members of it."""
+    places = members.join(state, "v").select("link", "shard").distinct()
+    return places.groupBy("link").agg((F.count("*") - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+
+
+def propagated(state: DataFrame, members: DataFrame, capacity: list[int], patience: int = PATIENCE) -> DataFrame:
     """(v, shard) after balanced label propagation of ``state`` (v, shard) over ``members`` (v, link).
 
     ``capacity``: rows that each shard may hold; ``state`` must respect it.
+    Rounds go on until no move is granted, or ``patience`` rounds in a row have
+    not lowered the cut; the state of the lowest cut is returned.
     """
     spark, n = state.sparkSession, len(capacity)
-    at = None
-    swapping = False
+    swapping, waited = False, 0
     room = list(capacity)
     for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect():
         room[r["shard"]] -= r["n"]
-    for _ in range(rounds):
+    best, least, at, best_at = state, cut_copies(state, members), None, None
+    while least and waited < patience:
         open_shards = list(range(n)) if swapping else [t for t in range(n) if room[t] > 0]
-        wishes = {}
+        granted, movers_at = [], None
         if open_shards:
             movers, movers_at = staged_at(wanted(state, members, n, open_shards), "movers")
             wishes = {(r["s"], r["t"]): r["n"] for r in movers.groupBy("s", "t").agg(F.count("*").alias("n")).collect()}
-        granted = _quotas(wishes, room)
+            granted = _quotas(wishes, room)
         if not granted:
+            if movers_at:
+                dropped(spark, movers_at)
             if swapping:
                 break
             swapping = True
@@ -94,13 +105,19 @@ def propagated(state: DataFrame, members: DataFrame, capacity: list[int], rounds
             moved = moved.unionByName(order.filter("rank < quota").select("v", F.col("t").alias("to")))
         state, new_at = staged_at(state.join(moved, "v", "left").select("v", F.coalesce("to", "shard").alias("shard")), "shards")
         dropped(spark, movers_at)
-        if at:
+        if at and at != best_at:
             dropped(spark, at)
-        at = new_at
-    return state
+        at, cut = new_at, cut_copies(state, members)
+        if cut < least:
+            if best_at:
+                dropped(spark, best_at)
+            best, least, best_at, waited = state, cut, new_at, 0
+        else:
+            waited += 1
+    return best
 
 
-def balanced_shards(docs: DataFrame, n_shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(docs: DataFrame, n_shards: int = SHARDS, patience: int = PATIENCE) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, size, text_crc32, law,
     shard, slot, grown_shard and the text's ``link``."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -115,7 +132,7 @@ def balanced_shards(docs: DataFrame, n_shards: int = SHARDS, rounds: int = ROUND
     members = staged(rows.select("v", "link").join(shared, "link"), "members")
     # Row numbers are gapless, so their remainders fill no shard beyond its capacity.
     start = members.select("v", F.pmod("v", F.lit(n_shards)).cast("int").alias("shard"))
-    state = propagated(staged(start, "shards"), members, capacity, rounds)
+    state = propagated(staged(start, "shards"), members, capacity, patience)
 
     held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     free = ranked(rows.join(state.select("v"), "v", "left_anti").select("v"), ["v"], name="free")
