@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tillwright.llm import decontam
@@ -83,3 +85,24 @@ def test_long_text_and_empty_tables(spark):
     (row,) = found(spark, [(1, "a b")], []).collect()
     assert (row["n_words"], row["n_hit"], row["n_items"], row["contaminated"]) == (2, 0, 0, False)
     assert found(spark, [], [(1, "a")]).count() == 0
+
+
+def test_repetitive_texts_against_repetitive_items(spark):
+    rng = random.Random(6)
+    docs = [(d, " ".join(rng.choice("ab") for _ in range(rng.randint(0, 80)))) for d in range(30)] + [(40, "a b " * 60), (41, "a " * 200)]
+    items = [(1, "a " * 40), (2, "a b " * 25), (3, " ".join(rng.choice("ab") for _ in range(30))), (4, "b a b")]
+    assert sorted(map(tuple, found(spark, docs, items).select(COLUMNS).collect()), key=str) == brute(docs, items)
+
+
+def test_a_million_equal_words_stay_in_bounds():
+    """A text of 1,000,000 equal words and an item of 10,000: about as many matches as words, no list of pairs."""
+    batch = pa.RecordBatch.from_pydict({"text": ["x " * 1_000_000], "_n": [0], "_hits": [[]], "_matches": [[]]}, pa.schema([
+        ("text", pa.string()), ("_n", pa.int64()), ("_hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+        ("_matches", pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("doc_start", pa.int64()), ("n_words", pa.int64())]))),
+    ]))
+    tracemalloc.start()
+    (out,) = decontam._search(["i"], ["x " * 10_000])([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out["_hits"].to_pylist() == [[{"start": 0, "end": 1_000_000}]] and len(out["_matches"].values) == 1_009_981
+    assert peak < 1 << 30

@@ -3,13 +3,18 @@
 The corpus is cut into shards (runs of whole documents, a few hundred
 thousand words each). In every shard the suffixes of all documents are sorted
 by their first ``WINDOW`` words with prefix doubling, and every suffix of a
-test item is searched in that order by binary search. Equal ranges give all
-locations; consecutive locations on one diagonal are joined, which gives each
-longest verbatim match (``matches``). A document word inside a match is hit.
+test item is searched in that order by binary search. Equal ranges hold all
+locations, ordered by the word before; those with the item's own word before
+lie inside a longer match and are passed over as one range, so a repetitive
+text is not paired with every window of a repetitive item. Each location left
+begins a longest verbatim match (``matches``), whose end is found by binary
+search on hashes of runs. A document word inside a match is hit.
 
 The benchmark is the stated query set: it reaches the tasks in blocks of at
-most ``BLOCK_BYTES`` of text, one pass over the documents for each block, so
-memory does not grow with it. Documents are never shuffled or joined.
+most ``BLOCK_BYTES`` of text. The driver holds one block at a time, but every
+block is one more Python stage of the single pass over the documents, so a
+task's workers and the plan grow with the benchmark (a block a megabyte).
+Documents are never shuffled or joined.
 
 Words are compared by 64-bit hashes. Defined results: null and texts without
 words have no words and no hits; an item without words matches nothing; an
@@ -26,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +54,9 @@ class Suffixes:
         self.left = np.repeat(first[1:], np.diff(first)) - np.arange(self.n)  # words up to the document's end
         self.vocabulary, inverse = np.unique(hashes, return_inverse=True)
         self.levels = [(1, None, inverse.astype(np.int64) + 1)]
+        # The word before each position, 0 at a document's start.
+        self.before = np.concatenate([[0], inverse[:-1] + 1]).astype(np.int64) if self.n else np.zeros(0, np.int64)
+        self.before[first[:-1][first[:-1] < self.n]] = 0
         while 2 * self.levels[-1][0] <= WINDOW:
             width, _, rank = self.levels[-1]
             keys, inverse = np.unique(self._joined(rank, width, rank), return_inverse=True)
@@ -60,8 +69,17 @@ class Suffixes:
         after[inside] = then[inside + width]
         return rank * (self.n + 1) + after
 
-    def find(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row of ``windows``, position) of every occurrence of the rows, runs of as many word hashes each."""
+    def known(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of words from 1 on, 0 for words that the shard does not have."""
+        if not self.n:
+            return np.zeros(len(hashes), np.int64)
+        at = np.searchsorted(self.vocabulary, hashes)
+        at[at == len(self.vocabulary)] = 0
+        return np.where(self.vocabulary[at] == hashes, at + 1, 0)
+
+    def find(self, windows: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row of ``windows``, position) of every occurrence of the rows, runs of as many word hashes each,
+        that begins a match: the word before it is not ``before`` (0: no word the shard has)."""
         length = windows.shape[1]
         none = np.zeros(0, np.int64)
         if not self.n or not len(windows):
@@ -96,10 +114,21 @@ class Suffixes:
             done += size
         step_keys, order = keys[-1]
         lo, hi = np.searchsorted(step_keys, wanted, side="left"), np.searchsorted(step_keys, wanted, side="right")
-        counts = hi - lo
-        total = int(counts.sum())
-        within = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
-        return np.repeat(rows, counts), order[np.repeat(lo, counts) + within]
+        # Occurrences lie in the order of the word before them: those with the item's own
+        # word before are no beginnings of a match and are left out as one range.
+        words = len(self.vocabulary) + 1
+        group = np.searchsorted(step_keys, step_keys, side="left") * words + self.before[order]
+        own = lo * words + before[rows]
+        skip_lo, skip_hi = np.searchsorted(group, own, side="left"), np.searchsorted(group, own, side="right")
+        whole = before[rows] <= 0
+        skip_lo, skip_hi = (np.where(whole, hi, np.clip(x, lo, hi)) for x in (skip_lo, skip_hi))
+        out_rows, out_at = [], []
+        for start, stop in ((lo, skip_lo), (skip_hi, hi)):
+            counts = stop - start
+            within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+            out_rows.append(np.repeat(rows, counts))
+            out_at.append(order[np.repeat(start, counts) + within])
+        return np.concatenate(out_rows), np.concatenate(out_at)
 
     def _order(self, sizes: list[int]) -> list[tuple[np.ndarray, np.ndarray | None]]:
         """Per part of the length: sorted keys; the last with the suffix array."""
@@ -114,7 +143,7 @@ class Suffixes:
             else:
                 rank = joined
             done += size
-        order = np.argsort(rank, kind="stable")
+        order = np.lexsort((self.before, rank))
         if len(sizes) > 1:
             out.append((rank[order], order))
         else:
@@ -122,67 +151,106 @@ class Suffixes:
         return out
 
 
-def windows_of(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """By window length: (windows, item, first word) of all windows of the items."""
-    data, offsets = buffer_of(pa.array(texts, pa.string()))
-    hashes, _, _, first = textnum.words(data, offsets, textnum.ALNUM)
-    n_words = np.diff(first)
-    out = []
-    for length in np.unique(np.minimum(n_words, WINDOW)):
-        if not length:
-            continue
-        items = np.flatnonzero(np.minimum(n_words, WINDOW) == length)
-        counts = n_words[items] - length + 1
-        item = np.repeat(items, counts)
-        at = np.arange(len(item)) - np.repeat(np.cumsum(counts) - counts, counts)
-        out.append((hashes[(first[item] + at)[:, None] + np.arange(length)], item, at))
-    return out
-
-
-def runs(item: np.ndarray, diagonal: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Overlapping or touching spans of one item on one diagonal, joined: (item, diagonal, start, end)."""
-    order = np.lexsort((start, diagonal, item))
-    item, diagonal, start, end = item[order], diagonal[order], start[order], (start + length)[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (start[1:] > start[:-1] + 1)
+class Items:
+    """The words of a block of test items, and by window length (windows, item, first word) of all their windows."""
+
+    def __init__(self, texts: list[str | None]):
+        data, offsets = buffer_of(pa.array(texts, pa.string()))
+        self.hashes, _, _, self.first = textnum.words(data, offsets, textnum.ALNUM)
+        n_words = np.diff(self.first)
+        self.windows = []
+        for length in np.unique(np.minimum(n_words, WINDOW)):
+            if length:
+                items = np.flatnonzero(np.minimum(n_words, WINDOW) == length)
+                counts = n_words[items] - length + 1
+                item = np.repeat(items, counts)
+                at = np.arange(len(item)) - np.repeat(np.cumsum(counts) - counts, counts)
+                self.windows.append((int(length), item, at))
+
+    def rows(self, length: int, item: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return self.hashes[(self.first[item] + at)[:, None] + np.arange(length)]
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _sums(hashes: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """Prefix sums of a polynomial of the hashes."""
+    with np.errstate(over="ignore"):
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[: len(hashes)], dtype=np.uint64)])
+
+
+def extended(x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Most words, from ``least`` (known to be equal) to ``most``, that the words x from i and y from j have in common: binary search on hashes of runs."""
+    n = max(len(x), len(y), 1)
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.append(np.uint64(1), np.full(n, _BASE)), dtype=np.uint64)
+        sx, sy = _sums(x, powers), _sums(y, powers)
+        low, high = least.copy(), most.copy()
+        while True:
+            going = np.flatnonzero(low < high)
+            if not len(going):
+                return low
+            a, b = i[going], j[going]
+            middle = (low[going] + high[going] + 1) // 2
+            same = (sx[a + middle] - sx[a]) * powers[b] == (sy[b + middle] - sy[b]) * powers[a]
+            low[going] = np.where(same, middle, low[going])
+            high[going] = np.where(same, high[going], middle - 1)
+
+
+def _covered(doc: np.ndarray, start: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans joined where they overlap or touch, by document: (doc, start, end)."""
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], end[order]
+    base = doc * (size + 2)
+    reach = np.maximum.accumulate(end + base) if len(doc) else end
+    new = np.ones(len(doc), bool)
+    new[1:] = start[1:] + base[1:] > reach[:-1]
     firsts = np.flatnonzero(new)
-    lasts = np.append(firsts[1:], len(order)) - 1
-    return item[firsts], diagonal[firsts], start[firsts], end[lasts]
+    lasts = np.append(firsts[1:], len(doc)) - 1
+    return doc[firsts], start[firsts], (reach - base)[lasts] if len(doc) else end
+
+
+def _lists(old: pa.Array, doc: np.ndarray, new: pa.StructArray) -> pa.Array:
+    """Lists ``old`` with the rows ``new`` of each document behind."""
+    counts = np.asarray(pc.list_value_length(old)).astype(np.int64)
+    owner = np.concatenate([np.repeat(np.arange(len(old)), counts), doc])
+    values = pa.concat_arrays([old.flatten().cast(new.type), new])
+    order = np.argsort(owner, kind="stable")
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(old)))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values.take(pa.array(order)))
 
 
 def _search(ids: list[str], texts: list[str | None]):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = windows_of(texts)
+        block, names = Items(texts), pa.array(ids, pa.string())
         for batch in passes(batches, "text"):
             data, offsets = buffer_of(batch.column("text"))
             hashes, _, _, first = textnum.words(data, offsets, textnum.ALNUM)
             shard = Suffixes(hashes, first)
-            found = []
-            for rows, items, at in windows:
-                which, where = shard.find(rows)
-                found.append((items[which], where - at[which], where, np.full(len(which), rows.shape[1])))
-            item, diagonal, start, length = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 4
-            item, diagonal, start, end = runs(item, diagonal, start, length) if len(item) else (item, diagonal, start, start)
+            ends = np.repeat(first[1:], np.diff(first))
+            found = [(np.zeros(0, np.int64),) * 4]
+            for length, items, at in block.windows:
+                before = np.where(at > 0, shard.known(block.hashes[np.maximum(block.first[items] + at - 1, 0)]), 0)
+                which, where = shard.find(block.rows(length, items, at), before)
+                item, start = items[which], at[which]
+                most = np.minimum(np.diff(block.first)[item] - start, ends[where] - where) if len(where) else where
+                size = extended(block.hashes, block.first[item] + start, hashes, where, np.full(len(where), length), most)
+                found.append((item, start, where, size))
+            item, at, start, size = (np.concatenate(x) for x in zip(*found, strict=True))
             doc = np.searchsorted(first, start, side="right") - 1
-            order = np.lexsort((item, start, doc))
-            bounds = np.searchsorted(doc[order], np.arange(batch.num_rows + 1))
-            hits, matches = batch.column("_hits").to_pylist(), batch.column("_matches").to_pylist()
-            for d in range(batch.num_rows):
-                for k in order[bounds[d] : bounds[d + 1]].tolist():
-                    s, e = int(start[k] - first[d]), int(end[k] - first[d])
-                    matches[d].append({"item_id": ids[item[k]], "item_start": int(start[k] - diagonal[k]), "doc_start": s, "n_words": e - s})
-                    if hits[d] and s <= hits[d][-1]["end"] and hits[d][-1]["start"] <= s:
-                        hits[d][-1]["end"] = max(e, hits[d][-1]["end"])
-                    else:
-                        hits[d].append({"start": s, "end": e})
+            order = np.lexsort((at, item, start, doc))
+            item, at, start, size, doc = item[order], at[order], start[order], size[order], doc[order]
+            start = start - first[doc]
+            columns = [names.take(pa.array(item)), pa.array(at), pa.array(start), pa.array(size)]
+            matches = pa.StructArray.from_arrays(columns, ["item_id", "item_start", "doc_start", "n_words"])
+            hit_doc, hit_start, hit_end = _covered(doc, start, start + size, len(hashes))
+            hits = pa.StructArray.from_arrays([pa.array(hit_start), pa.array(hit_end)], ["start", "end"])
             yield with_arrays(
                 batch.drop_columns(["_hits", "_matches", "_n"]),
                 _n=pa.array(np.diff(first), pa.int64()),
-                _hits=pa.array(hits, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                _matches=pa.array(
-                    matches,
-                    pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("doc_start", pa.int64()), ("n_words", pa.int64())])),
-                ),
+                _hits=_lists(batch.column("_hits"), hit_doc, hits),
+                _matches=_lists(batch.column("_matches"), doc, matches),
             )
 
     return search
@@ -204,7 +272,10 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[tuple[list
 
 def search(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, items (sorted), items_sha256, contaminated and matches."""
-    df = docs.drop("_n", "_hits", "_matches").withColumns(
+    # Input columns go by names that no work column has, and get their own back at the end.
+    new = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "matches"]
+    carried = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c not in new and c != "text"}
+    df = docs.select("text", *[F.col(f"`{c}`").alias(name) for c, name in carried.items()]).withColumns(
         {"_n": F.lit(0).cast("bigint"), "_hits": F.array().cast(HITS), "_matches": F.array().cast(MATCHES)}
     )
     some = False
@@ -226,9 +297,11 @@ def search(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
     df = df.withColumns(
         {"n_words": F.col("_n"), "n_hit": step["n"], "items": F.array_sort(F.array_distinct(F.col("_matches")["item_id"])), "matches": F.col("_matches")}
     )
-    return df.withColumns(
+    df = df.withColumns(
         {"n_items": F.size("items").cast("bigint"), "items_sha256": F.sha2(F.array_join("items", ","), 256), "contaminated": F.col("n_hit") > 0}
-    ).drop("_n", "_hits", "_matches")
+    )
+    own = [F.col("text") if c == "text" else F.col(carried[c]).alias(c) for c in docs.columns if c not in new]
+    return df.select(*own, *new)
 
 
 def _chained(df: DataFrame, function) -> DataFrame:

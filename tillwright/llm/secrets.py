@@ -21,6 +21,7 @@ are kept, except those named like the new ones.
 from __future__ import annotations
 
 import bisect
+import itertools
 import functools
 import hashlib
 import re
@@ -162,6 +163,9 @@ def novel_spans(raw: bytes, lower: bytes, taken: list[tuple[int, int, int]]) ->
         return []
     ends = [m.end() for m in CONTEXT.finditer(raw)]
     spans = []
+    # By start, with the furthest end so far: one look-up tells whether a string touches any of them.
+    taken = sorted(taken)
+    begins, reach = [a for a, _, _ in taken], list(itertools.accumulate((b for _, _, b in taken), max))
     for m in CANDIDATE.finditer(raw):
         start, end = m.span()
         # The last context word before the string, else the first one in it.
@@ -171,7 +175,8 @@ def novel_spans(raw: bytes, lower: bytes, taken: list[tuple[int, int, int]]) ->
                 continue
             start = ends[k]
         for s, e in _parts(raw, start, end):
-            if any(s < b and a < e for a, _, b in taken):
+            before = bisect.bisect_left(begins, e)
+            if before and reach[before - 1] > s:
                 continue
             if novelty(raw[max(0, s - AROUND) : s], raw[s:e], raw[e : e + AROUND]) >= NOVEL:
                 spans.append((s, 3, e))
