@@ -11,8 +11,8 @@ Only half keys that several sets share are paired, as a table key can be
 shared only if both its halves are; and half keys shared by the very same sets
 are paired once, as their tables have the same members. A bucket's centre is
 the member whose half keys are shared most. Each set is first confirmed, on
-the full sets, against the best centre it meets, which makes most groups one
-component at one pair a set. A bucket whose members lie in one component is
+the full sets, against the centre of the largest bucket it is in, which makes most
+groups one component at one pair a set. A bucket whose members lie in one component is
 closed; in the others, members of other components than the centre's are
 confirmed against it. What is then open goes an exact way: a set can have a link to
 another component only if 75 % of its shingles occur in other components;
@@ -195,25 +195,29 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(with_both.select("x", "y", "set_x", "set_y"), _confirmed(percent), "x bigint, y bigint")
 
 
-def _centre_links(buckets: DataFrame, percent: int) -> DataFrame:
-    """(a, score, b): each bucket's members b with its centre a, the member of the highest score, if their sizes allow the similarity."""
-    centre = buckets.groupBy("key").agg(F.max(F.struct("score", "cid", "n_shingles")).alias("c")).select("key", "c.cid", "c.n_shingles", "c.score")
-    links = buckets.select("key", F.col("cid").alias("b"), F.col("n_shingles").alias("n_b")).join(
-        centre.select("key", F.col("cid").alias("a"), F.col("n_shingles").alias("n_a"), "score"), "key"
-    )
-    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return links.filter(fits & (F.col("a") != F.col("b"))).select("a", "score", "b")
+def _centres(buckets: DataFrame) -> DataFrame:
+    """(key, a, n_a): each bucket's centre, the member of the highest score."""
+    centre = buckets.groupBy("key").agg(F.max(F.struct("score", "cid", "n_shingles")).alias("c"))
+    return centre.select("key", F.col("c.cid").alias("a"), F.col("c.n_shingles").alias("n_a"))
 
 
-def _by_centre(buckets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (x, y) of each bucket's members with its centre."""
-    return _centre_links(buckets, percent).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+def _pairs(links: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (x, y) of links (a, n_a, cid, n_shingles) whose sizes allow the similarity."""
+    fits = 100 * F.least("n_a", "n_shingles") >= percent * F.greatest("n_a", "n_shingles")
+    return links.filter(fits & (F.col("a") != F.col("cid"))).select(F.least("a", "cid").alias("x"), F.greatest("a", "cid").alias("y")).distinct()
+
 
+def _by_largest_bucket(buckets: DataFrame, percent: int) -> DataFrame:
+    """One pair (x, y) for each set: with the centre of the largest bucket it is in."""
+    largest = buckets.groupBy("cid", "n_shingles").agg(F.max(F.struct("n", "key")).alias("b")).select("cid", "n_shingles", F.col("b.key").alias("key"))
+    return _pairs(largest.join(_centres(buckets), "key"), percent)
 
-def _by_best_centre(buckets: DataFrame, percent: int) -> DataFrame:
-    """One pair (x, y) for each set: with the centre of the highest score that it meets."""
-    best = _centre_links(buckets, percent).groupBy("b").agg(F.max(F.struct("score", "a")).alias("c"))
-    return best.select(F.least("c.a", "b").alias("x"), F.greatest("c.a", "b").alias("y")).distinct()
+
+def _by_centre(buckets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (x, y) of the centre of each bucket (key, cid, n_shingles, score, label) with the members of other components than its own."""
+    centres = _centres(buckets).join(buckets.select(F.col("cid").alias("a"), F.col("label").alias("label_a")).distinct(), "a")
+    others = (buckets["key"] == centres["key"]) & (buckets["label"] != centres["label_a"])
+    return _pairs(buckets.join(centres, others), percent)
 
 
 def _ends(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -224,8 +228,8 @@ def _ends(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, cid, label) of the buckets whose members lie in several components."""
-    mine = buckets.select("key", "cid").join(labels, "cid")
+    """``buckets`` with ``label``: those whose members lie in several components."""
+    mine = buckets.join(labels, "cid")
     spread = mine.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
     return mine.join(spread, "key")
 
@@ -276,7 +280,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = staged(classes, "classes")
     halves = staged(shared_halves(classes), "halves")
     every, every_at = staged_at(table_keys(halves), "table-keys")
-    shared = every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    shared = every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = staged(every.join(shared, "key"), "buckets")
     dropped(docs.sparkSession, every_at)
     members = staged(buckets.select("cid").distinct().join(classes.select("cid", "fp", "rep"), "cid"), "members")
@@ -286,11 +290,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = staged(sets.dropDuplicates(["cid"]).select("cid", "set"), "sets")
 
     # One confirmed pair per set first: it makes most groups one component.
-    pairs = staged(_by_best_centre(buckets, percent), "pairs")
+    pairs = staged(_by_largest_bucket(buckets, percent), "pairs")
     labels = staged(merged(members.select("cid", F.col("cid").alias("label")), confirmed(pairs, sets, percent)), "labels")
-    still = _open(buckets, labels).select("key").distinct()
-    again = _ends(_by_centre(buckets.join(still, "key"), percent), labels).filter("lx != ly").select("x", "y")
-    again = _ends(confirmed(staged(again, "pairs"), sets, percent), labels).select(F.col("lx").alias("x"), F.col("ly").alias("y"))
+    still = staged(_open(buckets, labels), "open")
+    again = staged(_by_centre(still, percent), "pairs")
+    again = _ends(confirmed(again, sets, percent), labels).select(F.col("lx").alias("x"), F.col("ly").alias("y"))
     labels = staged(merged(labels, again), "labels")
     still = staged(_open(buckets, labels), "open")
     if still.limit(1).count():
