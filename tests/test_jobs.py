@@ -43,3 +43,19 @@ def test_small_gold_is_one_sorted_file(spark):
     assert len(files) == 1
     revenue = [r.total_revenue for r in spark.read.parquet(path).collect()]
     assert revenue == sorted(revenue, reverse=True)
+
+
+def test_usd_gold_scans_the_topic_once(spark):
+    from tillwright.operators import clean as C
+    from tillwright.operators import enrich as E
+    from tillwright.sources.dims import fx_dim
+    from tillwright.sources.ledger import bronze_rows
+
+    root = scratch_path(spark, "t-usd")
+    jobs.main(["publish", "--sf-dir", SF_SMALL, "--topic", f"{root}/topic"])
+    jobs.main(["usd-gold", "--topic", f"{root}/topic", "--out", f"{root}/usd"])
+    silver = C.silver(bronze_rows(spark, SF_SMALL), stamp=False)
+    for by in ("country", "store", "product"):
+        want = E.usd_revenue(silver, fx_dim(spark), by)
+        got = spark.read.parquet(f"{root}/usd/{by}")
+        assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

@@ -37,6 +37,7 @@ from .operators import reports as R
 from .operators.parse import parse_events
 from .plans import batches as B
 from .plans import lake as L
+from .plans.files import remove
 from .schemas import PARSED_FIELDS, SPLIT_SCHEMA
 from .sources.dims import fx_dim, product_dim
 from .sources.ledger import ledger
@@ -217,8 +218,13 @@ def main(argv: list[str] | None = None) -> None:
             _print_all(FR.scores(spark.read.parquet(a.out)))
         else:
             silver = C.silver(events.select(*PARSED_FIELDS), stamp=False)
+            # The topic is scanned and parsed once; the three tables are cut from the small result.
+            root = a.out.rstrip("/")
+            E.usd_tables(silver, fx_dim(spark)).write.mode("overwrite").parquet(f"{root}/_stage")
+            tagged = spark.read.parquet(f"{root}/_stage")
             for by in ("country", "store", "product"):
-                E.usd_revenue(silver, fx_dim(spark), by).write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{by}")
+                E.usd_table(tagged, by).write.mode("overwrite").parquet(f"{root}/{by}")
+            remove(spark, f"{root}/_stage")
         return
 
     if a.job == "compact":

@@ -87,3 +87,22 @@ def usd_revenue(silver: DataFrame, fx: DataFrame, by: str) -> DataFrame:
         )
     )
 
+
+def usd_tables(silver: DataFrame, fx: DataFrame) -> DataFrame:
+    """Revenue in USD by country, store and product from one scan: rows are
+    aggregated by all keys together, GROUPING SETS triple only that result.
+    ``usd_table`` says which table a row belongs to; other keys are null."""
+    keys = ["country", "store_id", "product_name"]
+    rows = with_usd(silver, fx).groupBy(*keys).agg(F.sum("total_usd").alias("_usd"), F.count("transaction_id").alias("_n"))
+    grouped = rows.groupingSets([[F.col(k) for k in by] for by in _USD_KEYS.values()], *keys).agg(
+        F.round(F.sum("_usd"), 2).cast("double").alias("total_revenue_usd"),
+        F.sum("_n").alias("total_transactions"),
+        F.grouping_id(*keys).alias("_gid"),
+    )
+    tag = F.when(F.col("_gid") == 0b011, F.lit("country")).when(F.col("_gid") == 0b001, F.lit("store")).otherwise(F.lit("product"))
+    return grouped.select(tag.alias("usd_table"), *keys, "total_revenue_usd", "total_transactions")
+
+
+def usd_table(tagged: DataFrame, by: str) -> DataFrame:
+    """One table cut from :func:`usd_tables`."""
+    return tagged.filter(F.col("usd_table") == by).select(*_USD_KEYS[by], "total_revenue_usd", "total_transactions")

@@ -336,6 +336,14 @@ QUERIES: dict[str, str] = {
         "SELECT product_name, CAST(SUM(usd_cents) AS DOUBLE) / 100 AS total_revenue_usd, "
         "COUNT(transaction_id) AS total_transactions FROM usd GROUP BY product_name",
     ),
+    "gold_usd_one_scan": _with(
+        _USD,
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS usd_table, {', '.join(k if k in by else f'CAST(NULL AS VARCHAR) AS {k}' for k in ('country', 'store_id', 'product_name'))}, "
+            f"CAST(SUM(usd_cents) AS DOUBLE) / 100 AS total_revenue_usd, COUNT(transaction_id) AS total_transactions FROM usd GROUP BY {', '.join(by)}"
+            for name, by in (("country", ["country"]), ("store", ["store_id", "country"]), ("product", ["product_name"]))
+        ),
+    ),
     "dedup_transactions": _dedup("bronze", _BRONZE_COLS),
     # --- lake ---------------------------------------------------------------------------
     "scan_silver": _SILVER,

@@ -235,6 +235,10 @@ def _usd(by: str) -> Query:
     return lambda spark, sf_dir: E.usd_revenue(_silver(spark, sf_dir), fx_dim(spark), by)
 
 
+def gold_usd_one_scan(spark, sf_dir):
+    return E.usd_tables(_silver(spark, sf_dir), fx_dim(spark))
+
+
 def _later_text(event_time):
     """A later instant whose text sorts before the given one (other offset), or no time at all."""
     day_before = F.date_format(F.to_timestamp_ntz(F.substring(event_time, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")) - F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss")
@@ -568,6 +572,7 @@ QUERIES: dict[str, Query] = {
     "gold_usd_by_country": _usd("country"),
     "gold_usd_by_store": _usd("store"),
     "gold_usd_by_product": _usd("product"),
+    "gold_usd_one_scan": gold_usd_one_scan,
     "dedup_transactions": dedup_transactions,
     # lake
     "scan_silver": scan_silver,
