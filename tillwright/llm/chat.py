@@ -15,7 +15,9 @@ conversation is one stream, as its digest depends on the order of all turns.
 Defined results: null roles and texts are empty; a null ``conv_id`` is a
 conversation of its own; turns with equal numbers are ordered by role and
 text, null numbers come first; repeated rows are repeated turns; a turn longer
-than the budget has a window of its own and is not cut.
+than the budget has a window of its own and is not cut; only conv_id, turn,
+role and text are read, other columns may have any name and are not returned;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, staged
+from .common import appended, map_batches, staged, with_arrays
 
 BUDGET = 1024
 HISTORY = 256
@@ -154,14 +156,25 @@ def _window_batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in kinds.items()], list(kinds))
 
 
-def _formatter(path: str, budget: int, history: int):
+def _counter(path: str):
+    """Tokens of each turn as it will be written."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, now, rows, size = _tokenizer(path), None, [], 0
+        tok = _tokenizer(path)
         for batch in batches:
-            roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
-            whole = ["".join(rendered(r, t)) for r, t in zip(roles, texts, strict=True)]
+            whole = ["".join(rendered(r, t)) for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
             counts = [len(e.ids) for e in tok.encode_batch_fast(whole, add_special_tokens=False)]
-            for conv, role, text, n in zip(batch.column("conv_id").to_pylist(), roles, texts, counts, strict=True):
+            yield with_arrays(batch, tokens=pa.array(counts, pa.int64()))
+
+    return run
+
+
+def _formatter(budget: int, history: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, size = None, [], 0
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("conv_id", "role", "text", "tokens"))
+            for conv, role, text, n in zip(*columns, strict=True):
                 if now is None or conv != now.conv_id:
                     if now is not None:
                         rows += now.rest()
@@ -191,7 +204,9 @@ def formatted(conversations: DataFrame, path: str, budget: int = BUDGET, history
     turns = conversations.select(
         F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return map_batches(_in_order(turns, "turn", "role", "text"), _formatter(path, budget, history), WINDOWS)
+    # Tokens are counted where the turns lie, so a hot conversation's are counted by all tasks; only spans need its order.
+    counted = appended(turns, _counter(path), "tokens bigint")
+    return map_batches(_in_order(counted, "turn", "role", "text"), _formatter(budget, history), WINDOWS)
 
 
 class _Digest:

@@ -17,7 +17,8 @@ documents are gathered from them, which gives the library's own ids.
 Defined results: null is an empty text, which holds the end id alone; control
 strings of the tokenizer in a text become their ids; null ids come first, rows
 with equal ids are ordered by the hash of their texts; an empty table writes
-no block.
+no block; only doc_id and text are read, other columns may have any name and
+are not returned.
 """
 
 from __future__ import annotations
