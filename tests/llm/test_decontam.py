@@ -96,13 +96,33 @@ def test_repetitive_texts_against_repetitive_items(spark):
 
 def test_a_million_equal_words_stay_in_bounds():
     """A text of 1,000,000 equal words and an item of 10,000: about as many matches as words, no list of pairs."""
-    batch = pa.RecordBatch.from_pydict({"text": ["x " * 1_000_000], "_n": [0], "_hits": [[]], "_matches": [[]]}, pa.schema([
-        ("text", pa.string()), ("_n", pa.int64()), ("_hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-        ("_matches", pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("doc_start", pa.int64()), ("n_words", pa.int64())]))),
-    ]))
+    batch = pa.RecordBatch.from_pydict({"text": ["x " * 1_000_000]}, pa.schema([("text", pa.string())]))
+    benchmark = decontam.Blocks(1, lambda k: (pa.array(["i"]), ["x " * 10_000]))
     tracemalloc.start()
-    (out,) = decontam._search(["i"], ["x " * 10_000])([batch])
+    (out,) = decontam._search(benchmark)([batch])
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert out["_hits"].to_pylist() == [[{"start": 0, "end": 1_000_000}]] and len(out["_matches"].values) == 1_009_981
+    assert out["_hit"].to_pylist() == [1_000_000] and len(out["_matches"].values) == 1_009_981
     assert peak < 1 << 30
+
+
+def test_blocks_beyond_those_held_and_one_stage_for_any_number(spark):
+    docs, items = corpus(5)
+    items = [(i, text) for i, (_, text) in enumerate(items * 2)] + [(90, None), (91, "")]
+    assert len(items) > decontam.HELD_BLOCKS
+    out = found(spark, docs, items, block_bytes=1)
+    assert sorted(map(tuple, out.select(COLUMNS).collect()), key=str) == brute(docs, items)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+
+
+def test_blocks_are_bounded_and_read_one_at_a_time(spark):
+    items = [(i, f"w{i} " * 100) for i in range(40)] + [(40, "long " * 1000)]
+    blocks = decontam.packed(spark.createDataFrame(items, "item_id long, text string"), 600)
+    sizes, seen = [], []
+    for k in range(blocks.count):
+        ids, texts = blocks.load(k)
+        sizes.append(sum(len(t) for t in texts[:-1]))
+        seen += ids.to_pylist()
+    assert sorted(seen, key=int) == [str(i) for i, _ in items] and max(sizes) < 600
+    assert len(list(blocks)) == blocks.count and len(blocks.held) == decontam.HELD_BLOCKS

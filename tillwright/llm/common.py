@@ -6,6 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,13 +38,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Like :func:`staged`; also gives the path, for :func:`dropped`."""
+def staged_at(df: DataFrame, name: str, **options) -> tuple[DataFrame, str]:
+    """Like :func:`staged`, with options of the writer; also gives the path, for :func:`dropped`."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def shared_table(uri: str) -> pa.Table:
+    """A Parquet file in the shared folder, read inside a task. Spark's ``s3a`` is ``s3`` to pyarrow."""
+    scheme, mark, rest = uri.partition("://")
+    files, path = fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + mark + rest)
+    return pq.read_table(path, filesystem=files)
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Remove a staged table of ours that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -10,11 +10,13 @@ text is not paired with every window of a repetitive item. Each location left
 begins a longest verbatim match (``matches``), whose end is found by binary
 search on hashes of runs. A document word inside a match is hit.
 
-The benchmark is the stated query set: it reaches the tasks in blocks of at
-most ``BLOCK_BYTES`` of text. The driver holds one block at a time, but every
-block is one more Python stage of the single pass over the documents, so a
-task's workers and the plan grow with the benchmark (a block a megabyte).
-Documents are never shuffled or joined.
+The benchmark is the stated query set. Spark packs it into blocks of about
+``BLOCK_BYTES`` of text, one file each, in the shared folder; tasks read them
+there, so no text of it passes the driver or the plan, and documents take one
+pass, never shuffled or joined. A task keeps the first ``HELD_BLOCKS`` blocks
+in memory and reads the others again for each of its shards, one at a time.
+The files are opened with pyarrow, which knows local paths, ``hdfs``, ``s3``
+(``s3a`` too), ``gs`` and ``abfs``.
 
 Words are compared by 64-bit hashes. Defined results: null and texts without
 words have no words and no hits; an item without words matches nothing; an
@@ -27,22 +29,22 @@ like the new ones.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum
-from .common import buffer_of, map_batches, passes, with_arrays
+from .common import appended, buffer_of, map_batches, passes, shared_table, staged_at, with_arrays
 
 WINDOW = 10
 #: Text of one block of the benchmark, in bytes.
 BLOCK_BYTES = 1 << 20
+#: Blocks that a task keeps in memory.
+HELD_BLOCKS = 16
 
-HITS = "array<struct<start: bigint, end: bigint>>"
 MATCHES = "array<struct<item_id: string, item_start: bigint, doc_start: bigint, n_words: bigint>>"
 
 
@@ -211,63 +213,105 @@ def _covered(doc: np.ndarray, start: np.ndarray, end: np.ndarray, size: int) ->
     return doc[firsts], start[firsts], (reach - base)[lasts] if len(doc) else end
 
 
-def _lists(old: pa.Array, doc: np.ndarray, new: pa.StructArray) -> pa.Array:
-    """Lists ``old`` with the rows ``new`` of each document behind."""
-    counts = np.asarray(pc.list_value_length(old)).astype(np.int64)
-    owner = np.concatenate([np.repeat(np.arange(len(old)), counts), doc])
-    values = pa.concat_arrays([old.flatten().cast(new.type), new])
-    order = np.argsort(owner, kind="stable")
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(old)))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), values.take(pa.array(order)))
+class Blocks:
+    """Blocks of the benchmark, each given by ``load(number)`` as (item ids, texts); the first few stay in memory."""
 
+    def __init__(self, count: int, load: Callable[[int], tuple[pa.Array, list[str | None]]], held: int = HELD_BLOCKS):
+        self.count, self.load, self.most = count, load, held
+        self.held: dict[int, tuple[pa.Array, Items]] = {}
 
-def _search(ids: list[str], texts: list[str | None]):
+    def __iter__(self) -> Iterator[tuple[pa.Array, Items]]:
+        for k in range(self.count):
+            block = self.held.get(k)
+            if block is None:
+                names, texts = self.load(k)
+                block = names, Items(texts)
+                if k < self.most:
+                    self.held[k] = block
+            yield block
+
+
+def _matches(shard: Suffixes, block: Items, hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(item, its word, word of the shard, words) of every longest match with a block's items."""
+    found = [(np.zeros(0, np.int64),) * 4]
+    for length, items, at in block.windows:
+        before = np.where(at > 0, shard.known(block.hashes[np.maximum(block.first[items] + at - 1, 0)]), 0)
+        which, where = shard.find(block.rows(length, items, at), before)
+        item, start = items[which], at[which]
+        most = np.minimum(np.diff(block.first)[item] - start, ends[where] - where) if len(where) else where
+        size = extended(block.hashes, block.first[item] + start, hashes, where, np.full(len(where), length), most)
+        found.append((item, start, where, size))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _search(benchmark: Blocks):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, names = Items(texts), pa.array(ids, pa.string())
         for batch in passes(batches, "text"):
             data, offsets = buffer_of(batch.column("text"))
             hashes, _, _, first = textnum.words(data, offsets, textnum.ALNUM)
             shard = Suffixes(hashes, first)
             ends = np.repeat(first[1:], np.diff(first))
-            found = [(np.zeros(0, np.int64),) * 4]
-            for length, items, at in block.windows:
-                before = np.where(at > 0, shard.known(block.hashes[np.maximum(block.first[items] + at - 1, 0)]), 0)
-                which, where = shard.find(block.rows(length, items, at), before)
-                item, start = items[which], at[which]
-                most = np.minimum(np.diff(block.first)[item] - start, ends[where] - where) if len(where) else where
-                size = extended(block.hashes, block.first[item] + start, hashes, where, np.full(len(where), length), most)
-                found.append((item, start, where, size))
+            names, found, items = [pa.array([], pa.string())], [(np.zeros(0, np.int64),) * 4], 0
+            for ids, block in benchmark:
+                item, *rest = _matches(shard, block, hashes, ends)
+                # Only names of items that match are kept, numbered on from block to block.
+                matching, number = np.unique(item, return_inverse=True)
+                names.append(ids.take(pa.array(matching)))
+                found.append((number + items, *rest))
+                items += len(matching)
             item, at, start, size = (np.concatenate(x) for x in zip(*found, strict=True))
             doc = np.searchsorted(first, start, side="right") - 1
             order = np.lexsort((at, item, start, doc))
             item, at, start, size, doc = item[order], at[order], start[order], size[order], doc[order]
             start = start - first[doc]
-            columns = [names.take(pa.array(item)), pa.array(at), pa.array(start), pa.array(size)]
+            columns = [pa.concat_arrays(names).take(pa.array(item)), pa.array(at), pa.array(start), pa.array(size)]
             matches = pa.StructArray.from_arrays(columns, ["item_id", "item_start", "doc_start", "n_words"])
+            lists = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))]).astype(np.int32)
             hit_doc, hit_start, hit_end = _covered(doc, start, start + size, len(hashes))
-            hits = pa.StructArray.from_arrays([pa.array(hit_start), pa.array(hit_end)], ["start", "end"])
+            n_hit = np.zeros(batch.num_rows, np.int64)
+            np.add.at(n_hit, hit_doc, hit_end - hit_start)
             yield with_arrays(
-                batch.drop_columns(["_hits", "_matches", "_n"]),
+                batch,
                 _n=pa.array(np.diff(first), pa.int64()),
-                _hits=_lists(batch.column("_hits"), hit_doc, hits),
-                _matches=_lists(batch.column("_matches"), doc, matches),
+                _hit=pa.array(n_hit),
+                _matches=pa.ListArray.from_arrays(pa.array(lists), matches),
             )
 
     return search
 
 
-def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[tuple[list[str], list[str | None]]]:
-    """(item ids, texts) of the benchmark, about ``most`` bytes of text at a time."""
-    ids, texts, size = [], [], 0
-    for r in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text").toLocalIterator():
-        ids.append(r["item_id"])
-        texts.append(r["text"])
-        size += len(r["text"] or "")
-        if size >= most:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+def _packed(most: int):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, size = [], [], 0
+        for batch in batches:
+            for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                ids.append(item)
+                texts.append(text)
+                size += len(text or "")
+                if size >= most:
+                    yield pa.RecordBatch.from_pydict({"ids": [ids], "texts": [texts]}, PACKED)
+                    ids, texts, size = [], [], 0
+        if ids:
+            yield pa.RecordBatch.from_pydict({"ids": [ids], "texts": [texts]}, PACKED)
+
+    return pack
+
+
+PACKED = pa.schema([("ids", pa.list_(pa.string())), ("texts", pa.list_(pa.string()))])
+
+
+def packed(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Blocks:
+    """The benchmark as blocks of about ``most`` bytes of text, one file each in the shared folder."""
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text").hint("rebalance")
+    blocks = map_batches(rows, _packed(most), "ids array<string>, texts array<string>")
+    table, _ = staged_at(blocks, "benchmark", maxRecordsPerFile=1)
+    paths = sorted(table.inputFiles())
+
+    def load(k: int) -> tuple[pa.Array, list[str | None]]:
+        block = shared_table(paths[k])
+        return block["ids"].combine_chunks().flatten().cast(pa.string()), block["texts"].combine_chunks().flatten().to_pylist()
+
+    return Blocks(len(paths), load)
 
 
 def search(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -275,36 +319,18 @@ def search(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
     # Input columns go by names that no work column has, and get their own back at the end.
     new = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "matches"]
     carried = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c not in new and c != "text"}
-    df = docs.select("text", *[F.col(f"`{c}`").alias(name) for c, name in carried.items()]).withColumns(
-        {"_n": F.lit(0).cast("bigint"), "_hits": F.array().cast(HITS), "_matches": F.array().cast(MATCHES)}
-    )
-    some = False
-    for ids, texts in blocks(benchmark, block_bytes):
-        df = _chained(df, _search(ids, texts))
-        some = True
-    if not some:
-        df = _chained(df, _search([], []))
-    # Blocks are searched one after the other: join the spans of different blocks.
-    ordered = F.array_sort("_hits")
-    step = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("to")),
-        lambda a, h: F.struct(
-            (a["n"] + F.greatest(F.lit(0).cast("bigint"), h["end"] - F.greatest(h["start"], a["to"]))).alias("n"),
-            F.greatest(a["to"], h["end"]).alias("to"),
-        ),
-    )
+    df = docs.select("text", *[F.col(f"`{c}`").alias(name) for c, name in carried.items()])
+    df = appended(df, _search(packed(benchmark, block_bytes)), f"_n bigint, _hit bigint, _matches {MATCHES}")
     df = df.withColumns(
-        {"n_words": F.col("_n"), "n_hit": step["n"], "items": F.array_sort(F.array_distinct(F.col("_matches")["item_id"])), "matches": F.col("_matches")}
+        {
+            "n_words": F.col("_n"),
+            "n_hit": F.col("_hit"),
+            "items": F.array_sort(F.array_distinct(F.col("_matches")["item_id"])),
+            "matches": F.col("_matches"),
+        }
     )
     df = df.withColumns(
         {"n_items": F.size("items").cast("bigint"), "items_sha256": F.sha2(F.array_join("items", ","), 256), "contaminated": F.col("n_hit") > 0}
     )
     own = [F.col("text") if c == "text" else F.col(carried[c]).alias(c) for c in docs.columns if c not in new]
     return df.select(*own, *new)
-
-
-def _chained(df: DataFrame, function) -> DataFrame:
-    names = ["_n", "_hits", "_matches"]
-    df = df.select(*[c for c in df.columns if c not in names], *names)
-    return map_batches(df, function, df.schema)
