@@ -145,3 +145,25 @@ def test_windows_with_few_hash_bits_are_confirmed_by_words(spark, monkeypatch):
     df, found = quality._prepared(docs)
     got = {r["doc_id"]: r["n"] for r in df.select("doc_id", found["n_repeat_words"].alias("n")).collect()}
     assert got[1] == 0
+
+
+def test_all_labelled_ids_are_used(spark):
+    labels = spark.range(27_500).select(F.col("id").alias("doc_id"), (F.col("id") < 25_000).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    assert quality.trusted_ids(labels).count() == 25_000 and quality.rejected_ids(labels).count() == 2_500
+
+
+def test_judged_scores_leave_a_rows_own_ngrams_out(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PRIOR", 100)
+    rows = corpus(3)
+    docs, good = spark.createDataFrame(rows, "doc_id long, text string"), {d for d, _ in rows if d % 4}
+    labels = spark.createDataFrame([(d, int(d in good), 0) for d, _ in rows], "doc_id long, quality int, toxic int")
+    shares, target = quality.counted(quality.bucket_counts(docs, labels))
+    got = Counter({(r["good"], r["score"]): r["n"] for r in quality.judged_scores(docs, labels, shares, target).collect()})
+    want = Counter()
+    for d, text in rows:
+        own, g = buckets(words(text)), int(d in good)
+        if len(words(text)) >= quality.MIN_WORDS:
+            c, rest = Counter(own), sum(target) - g * len(own) + 100
+            want[g, round(sum(math.log((target[b] - g * c[b] + 100 * shares[b]) / rest / shares[b]) for b in own) / len(own), 3)] += 1
+    assert sum(got.values()) == sum(want.values())
+    assert all(abs(a[1] - b[1]) < 0.002 and a[0] == b[0] for a, b in zip(sorted(got.elements()), sorted(want.elements()), strict=True))

@@ -2,23 +2,22 @@
 
 Each text is a bag of hashed word unigrams and bigrams. Two multinomials over
 ``BUCKETS`` buckets are counted: one of the whole corpus (every row), one of
-the trusted target (labelled rows of good quality that are not toxic, at most
-``TRUSTED`` of them, those with the smallest hashed ids). A text's score is
+the trusted target (every labelled row of good quality that is not toxic). A text's score is
 the mean log ratio of the two over its n-grams, so length cancels out; every
 text below the threshold is rejected, with no sampling of the decision. The
 target is smoothed towards the corpus by ``PRIOR`` pseudo n-grams: buckets the
 target knows little of weigh little, and without trusted rows every score is 0.
 
 Scores shrink towards 0 as buckets fill, so the threshold is found anew at each
-run: the best split of the scores of labelled rows, at most ``JUDGED`` trusted
-and as many rejected ids (smallest hashed ids), each trusted row scored
-without its own n-grams in the target. Without rows of both kinds, or a split
+run: the best split of the scores of all trusted and all rejected rows, each
+trusted row scored without its own n-grams in the target. Without rows of both kinds, or a split
 that helps, it is ``MIN_SCORE``.
 
 Only DataFrame functions run here. Counting, judging and scoring are one scan each:
-the counts meet in one partial aggregation over the buckets, and the bounded
-weight table (``BUCKETS`` numbers) is part of the scoring expression, so
-scoring needs no shuffle.
+the counts meet in one partial aggregation over the buckets, the rounded scores
+of judged rows in another, and the bounded tables (``BUCKETS`` numbers) are
+part of the scoring expressions, so neither judging nor scoring shuffles n-grams. Labelled ids are
+broadcast while they are few (``broadcast_if_small``), else joined by a shuffle.
 
 Defined results: null is an empty text; a text without words has score 0,
 zero counts and fails the base rules; rows repeating a ``doc_id`` are judged
@@ -35,18 +34,18 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.once import computed_once
+from ..sources.tables import broadcast_if_small
+
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 BUCKETS = 1 << 16
-TRUSTED = 20_000
 PRIOR = 20_000
 #: Threshold that labels do not decide: n-grams are on average less than half as likely in the target.
 MIN_SCORE = -math.log(2)
-#: Ids of each kind whose scores choose the threshold.
-JUDGED = 2_000
 #: Share of rejected rows that must go for each equal share of trusted rows lost.
 LOST = 10
 #: Decimals of the scores the threshold is chosen from (bounds what comes to the driver).
@@ -65,14 +64,15 @@ def _with_words(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_text", text).withColumn("_words", words_of(F.col("_text")))
 
 
+def _bucket(*gram: Column) -> Column:
+    """Bucket of an n-gram (BUCKETS is a power of two)."""
+    return F.xxhash64(*gram).bitwiseAND(F.lit(BUCKETS - 1).cast("bigint")).cast("int")
+
+
 def _buckets(words: Column) -> Column:
     """Buckets of all unigrams and bigrams."""
-    one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
-    two = F.transform(
-        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda w, i: F.pmod(F.xxhash64(w, words[i + 1]), F.lit(BUCKETS)).cast("int"),
-    )
-    return F.concat(one, two)
+    two = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: _bucket(w, words[i + 1]))
+    return F.concat(F.transform(words, lambda w: _bucket(w)), two)
 
 
 def _prepared(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
@@ -116,27 +116,28 @@ def _prepared(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     }
 
 
-def _first_ids(labels: DataFrame, quality: Column, most: int) -> DataFrame:
-    """At most ``most`` ids that ``quality``, an aggregate of their labels, holds for."""
-    ids = labels.groupBy("doc_id").agg(quality.alias("q")).filter("q AND doc_id IS NOT NULL")
-    return ids.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def judged_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, good): 1 for every id whose labels all say good quality and none toxic, 0 for every id whose labels all say bad quality."""
+    trusted = (F.min(F.coalesce("quality", F.lit(0))) == 1) & (F.max(F.coalesce("toxic", F.lit(0))) == 0)
+    rejected = F.max(F.coalesce("quality", F.lit(1))) == 0
+    ids = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.when(trusted, F.lit(1)).when(rejected, F.lit(0)).alias("good"))
+    return ids.filter("good IS NOT NULL")
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """At most ``most`` ids whose every label says good quality and none says toxic."""
-    return _first_ids(labels, (F.min(F.coalesce("quality", F.lit(0))) == 1) & (F.max(F.coalesce("toxic", F.lit(0))) == 0), most)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All ids whose every label says good quality and none says toxic."""
+    return judged_ids(labels).filter("good = 1").select("doc_id")
 
 
-def rejected_ids(labels: DataFrame, most: int = JUDGED) -> DataFrame:
-    """At most ``most`` ids whose every label says bad quality."""
-    return _first_ids(labels, F.max(F.coalesce("quality", F.lit(1))) == 0, most)
+def rejected_ids(labels: DataFrame) -> DataFrame:
+    """All ids whose every label says bad quality."""
+    return judged_ids(labels).filter("good = 0").select("doc_id")
 
 
 def bucket_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, n_corpus, n_target) over all rows of ``docs``."""
-    marked = docs.select("doc_id", "text").join(
-        F.broadcast(trusted_ids(labels).withColumn("_trusted", F.lit(1))), "doc_id", "left"
-    )
+    trusted = broadcast_if_small(trusted_ids(labels).withColumn("_trusted", F.lit(1)))
+    marked = docs.select("doc_id", "text").join(trusted, "doc_id", "left")
     exploded = _with_words(marked).select("_trusted", F.explode(_buckets(F.col("_words"))).alias("bucket"))
     return exploded.groupBy("bucket").agg(F.count("*").alias("n_corpus"), F.count("_trusted").alias("n_target"))
 
@@ -164,25 +165,36 @@ def _table(numbers: list, form: str) -> Column:
 def score(words: Column, weight: list[float]) -> Column:
     """Mean weight of a text's n-grams (0 without words)."""
     table = _table(weight, ".5f")
-    total = F.aggregate(_buckets(words), F.lit(0.0), lambda a, b: a + F.get(table, b))
+    # A unigram and the bigram it begins, together. After the last word comes null, which hashes
+    # leave out: that word's own bucket is then counted twice, and taken off again.
+    both = F.transform(words, lambda w, i: F.get(table, _bucket(w)) + F.get(table, _bucket(w, F.get(words, i + 1))))
+    total = F.aggregate(both, F.lit(0.0), lambda a, x: a + x) - F.get(table, _bucket(F.get(words, F.size(words) - 1)))
     return F.when(F.size(words) == 0, F.lit(0.0)).otherwise(total / (2 * F.size(words) - 1))
 
 
 def judged_scores(docs: DataFrame, labels: DataFrame, shares: list[float], target: list[int]) -> DataFrame:
-    """(good, score, n): rounded scores of the judged rows that are long enough, and how many rows have them.
+    """(good, score, n): rounded scores of all judged rows that are long enough, and how many rows have them.
 
-    A trusted row (one of the first JUDGED, so it is in the target) is scored as if it were not in the target.
+    A trusted row is scored as if it were not in the target. A row's n-grams are
+    counted as runs of its sorted buckets, in the row.
     """
-    good, bad = trusted_ids(labels, min(JUDGED, TRUSTED)).withColumn("good", F.lit(1)), rejected_ids(labels).withColumn("good", F.lit(0))
-    known = docs.select("doc_id", "text").join(F.broadcast(good.unionByName(bad)), "doc_id")
-    known = _with_words(known).filter(F.size("_words") >= MIN_WORDS).withColumn("_row", F.monotonically_increasing_id())
-    grams = known.select("good", "_row", F.size("_words").alias("_n"), F.explode(_buckets(F.col("_words"))).alias("bucket"))
-    grams = grams.groupBy("_row", "good", "_n", "bucket").agg(F.count("*").alias("c"))
-    own, length, n_target = F.col("good") * F.col("c"), 2 * F.col("_n") - 1, sum(target)
-    share, known_t = F.get(_table(shares, ".9e"), F.col("bucket")), F.get(_table(target, "d"), F.col("bucket"))
-    weight = F.log((known_t - own + PRIOR * share) / (n_target - F.col("good") * length + PRIOR) / share)
-    scored = grams.withColumn("_w", F.col("c") * weight).groupBy("_row", "good", "_n").agg(F.sum("_w").alias("_w"))
-    return scored.groupBy("good", F.round(F.col("_w") / length, DIGITS).alias("score")).agg(F.count("*").alias("n"))
+    known = docs.select("doc_id", "text").join(broadcast_if_small(judged_ids(labels)), "doc_id")
+    known = _with_words(known).filter(F.size("_words") >= MIN_WORDS)
+    known = computed_once(known.select("good", "_words"), "_s", F.sort_array(_buckets(F.col("_words")))).select("good", "_s")
+    s = F.col("_s")
+    # Where runs of equal buckets end.
+    known = computed_once(known, "_ends", F.filter(F.transform(s, lambda x, i: F.when(F.get(s, i + 1) == x, F.lit(-1)).otherwise(i)), lambda i: i >= 0))
+    ends, good, length, n_target = F.col("_ends"), F.col("good"), F.size("_s"), sum(target)
+    share, count = _table(shares, ".9e"), _table(target, "d")
+
+    def weight(end: Column, k: Column) -> Column:
+        bucket, c = F.get(s, end), end - F.coalesce(F.get(ends, k - 1), F.lit(-1))
+        p = F.get(share, bucket)
+        return c * F.log((F.get(count, bucket) - good * c + PRIOR * p) / p)
+
+    total = F.aggregate(F.transform(ends, weight), F.lit(0.0), lambda a, b: a + b)
+    scored = total / length - F.log(n_target - good * length + F.lit(float(PRIOR)))
+    return known.groupBy("good", F.round(scored, DIGITS).alias("score")).agg(F.count("*").alias("n"))
 
 
 def best_split(scores: list[tuple[int, float, int]]) -> float:
