@@ -119,3 +119,16 @@ def test_live_gold_writes_only_changed_groups(spark):
     assert B.read(spark, root, GOLD_DELTA_SCHEMA).count() == 150
     run([8])
     assert S.live_gold_now(spark, root).filter("store_id = 'S8'").first()["total_transactions"] == 2
+
+
+def test_a_variant_is_parsed_only_where_a_typed_field_is_null(spark):
+    from tillwright.operators import quality as Q
+    from tillwright.queries import dq_unparsed_fields
+
+    text = spark.createDataFrame([('{"transaction_id":"a","quantity":"3"}',)], "value string")
+    plan = Q.unparsed_fields(text)._jdf.queryExecution().optimizedPlan().toString()
+    variant = next(m for m in ("parse_json", "parseJson") if m in plan)
+    above, below = plan.split(variant, 1)
+    assert "from_json" in below and "from_json" not in above and any("Filter" in line and "typed" in line for line in below.split("\n"))
+    plan = dq_unparsed_fields(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1

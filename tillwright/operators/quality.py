@@ -130,17 +130,20 @@ def unparsed_fields(messages: DataFrame) -> DataFrame:
     """Events with fields that are there but have a wrong type, which the typed
     parse makes null: ``transaction_id`` and the names, in producer order.
 
-    The text is parsed once to typed fields and once to a Variant, in one pass;
-    a field counts if the Variant has a value that is not null and the typed
-    field is null. Text that is no JSON object has no fields.
+    The text is parsed once to typed fields and, if one of them is null, once
+    to a Variant; a field counts if the Variant has a value that is not null
+    and the typed field is null, so only null fields are looked up in the
+    Variant. Text that is no JSON object has no fields.
     """
-    text = message_text(messages)
-    both = F.struct(F.from_json("value", EVENT_SCHEMA).alias("typed"), F.try_parse_json("value").alias("raw"))
-    both = text.select(F.inline(F.array(both)))
+    typed = message_text(messages).select("value", F.inline(F.array(F.struct(F.from_json("value", EVENT_SCHEMA).alias("typed")))))
+    some_null = F.lit(False)
+    for n, _ in EVENT_FIELDS:
+        some_null = some_null | F.col(f"typed.{n}").isNull()
+    both = computed_once(typed.filter(some_null), "raw", F.try_parse_json("value")).drop("value")
 
     def wrong(name: str) -> Column:
         raw = F.try_variant_get("raw", f"$.{name}", "variant")
-        return raw.isNotNull() & ~F.is_variant_null(raw) & F.col(f"typed.{name}").isNull()
+        return F.col(f"typed.{name}").isNull() & raw.isNotNull() & ~F.is_variant_null(raw)
 
     names = F.array_compact(F.array(*[F.when(wrong(n), F.lit(n)) for n, _ in EVENT_FIELDS]))
     found = both.select(F.col("typed.transaction_id").alias("transaction_id"), F.inline(F.array(F.struct(names.alias("names")))))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .config import scratch_path
 from .functions import line_total as exact_line_total
+from .functions.once import computed_once
 from .operators import clean as C
 from .operators import dedup as D
 from .operators import enrich as E
@@ -499,9 +500,8 @@ def publish_ordered(spark, sf_dir):
     return sent.select("key", "seq", F.inline(F.array(F.from_json("value", EVENT_SCHEMA))))
 
 
-def _mistyped(value):
-    """JSON text with one field of a wrong type, chosen by the quantity."""
-    pick = F.get_json_object(value, "$.quantity").cast("int") % 8
+def _mistyped(value, pick):
+    """JSON text with one field of a wrong type, chosen by ``pick``."""
     swap = [
         ('"quantity":([0-9]+)', '"quantity":"$1"'), ('"quantity":([0-9]+)', '"quantity":$1.0'), ('"quantity":([0-9]+)', '"quantity":3e9'),
         ('"unit_price":([-0-9.E]+)', '"unit_price":"$1 USD"'), ('"is_fraud_flag":(true|false)', '"is_fraud_flag":"yes"'),
@@ -515,8 +515,9 @@ def _mistyped(value):
 
 def dq_unparsed_fields(spark, sf_dir):
     """Fields that the typed parse nulls because of their type, over messages with such fields planted."""
-    messages = _messages(spark, sf_dir)
-    return Q.unparsed_fields(messages.withColumn("value", _mistyped(F.col("value"))))
+    pick = F.get_json_object("value", "$.quantity").cast("int") % 8
+    messages = computed_once(_messages(spark, sf_dir), "_pick", pick)
+    return Q.unparsed_fields(messages.withColumn("value", _mistyped(F.col("value"), F.col("_pick"))))
 
 
 def fraud_curve(spark, sf_dir):
