@@ -264,3 +264,36 @@ def test_a_failed_side_query_is_raised(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="failed"):
         S.run_all_until_done([ok, bad])
     assert not ok.isActive
+
+
+def test_a_compaction_plans_tasks_by_rows_whatever_the_file_size(spark, monkeypatch):
+    root = scratch_path(spark, "t-b-rows")
+    for k in range(2):
+        B.append(silver_rows(spark, 1000, 1000 * k), root, "w", k)
+    planned = []
+    real = type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda df, n, *c: planned.append(n) or real(df, n, *c))
+    monkeypatch.setattr(B, "ROWS_PER_TASK", 500)
+    path = B.compact(spark, root, SPLIT_SCHEMA, target_bytes=1024)
+    assert planned == [4]  # not one for each kilobyte
+    ranges = spark.read.parquet(f"{path}/_ranges").collect()
+    assert len(ranges) > 20 and sum(r["n_rows"] for r in ranges) == 2000
+    assert len(ids(spark, root, "silver")) == 2000
+
+
+def test_only_files_to_read_come_to_the_driver(spark, monkeypatch):
+    root = scratch_path(spark, "t-b-hits")
+    for k in range(2):
+        B.append(silver_rows(spark, 1000, 1000 * k), root, "w", k)
+    B.compact(spark, root, SPLIT_SCHEMA, target_bytes=1024)
+    rows, real = [], type(spark.range(1)).collect
+
+    def collect(df):
+        found = real(df)
+        if "file" in df.columns and "kind" not in df.columns:
+            rows.extend(found)
+        return found
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", collect)
+    paths, skipped = B.files_with(spark, root, "store_id", "R0007", "silver")
+    assert len(rows) == len(paths) and skipped > 0
