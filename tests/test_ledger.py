@@ -22,3 +22,17 @@ def test_pruned_events_are_the_full_ones(spark):
     pruned = bronze_rows(spark, SIZES[0])
     assert sorted(map(str, pruned.collect())) == sorted(map(str, full.select(*pruned.columns).collect()))
     assert "orders.parquet" not in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_table_is_joined_in_more_tasks(spark, monkeypatch):
+    """Beyond the session's partitions, their number follows the lines, with the same rows."""
+    from tillwright.sources import ledger as L
+
+    few = L.ledger(spark, SIZES[0])
+    monkeypatch.setattr(L, "LINES_PER_TASK", 200)
+    many = L.ledger(spark, SIZES[0])
+    parts = -(-spark.read.parquet(f"{SIZES[0]}/lineitem.parquet").count() // 200)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(l_orderkey") == 1 and f", {parts})" in plan.split("hashpartitioning(l_orderkey")[1].split("\n")[0]
+    assert f", {parts})" in plan.split("hashpartitioning(o_orderkey")[1].split("\n")[0]
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()

@@ -132,3 +132,22 @@ def test_dedup_across_micro_batches_within_the_watermark(spark):
     run()
     got = sorted(r.transaction_id for r in spark.read.parquet(sink).collect())
     assert got == ["a", "b", "c", "d"]
+
+
+def test_a_large_topic_has_more_files_not_more_batches(spark, monkeypatch):
+    from tillwright import queries as Q
+    from tillwright.plans.files import children
+
+    def n_files(topic):
+        return sum(p.endswith(".parquet") for p, _ in children(spark, topic))
+
+    small, one = Q._dealt(spark, SF_SMALL, Q._messages(spark, SF_SMALL), 4)
+    assert one == 1 and n_files(small) == 4
+    monkeypatch.setattr(Q, "MESSAGES_PER_FILE", 500)
+    large, each = Q._dealt(spark, SF_SMALL, Q._messages(spark, SF_SMALL), 4)
+    assert each >= 3 and n_files(large) == 4 * each
+    assert Q._files_per_batch(spark, small, 3) == 3
+    monkeypatch.setattr(Q, "MICRO_BATCHES", 2)
+    assert Q._files_per_batch(spark, large, 3) == 2 * each
+    a, b = (spark.read.parquet(t) for t in (small, large))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
