@@ -36,3 +36,21 @@ def test_a_large_table_is_joined_in_more_tasks(spark, monkeypatch):
     assert plan.count("hashpartitioning(l_orderkey") == 1 and f", {parts})" in plan.split("hashpartitioning(l_orderkey")[1].split("\n")[0]
     assert f", {parts})" in plan.split("hashpartitioning(o_orderkey")[1].split("\n")[0]
     assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+
+
+def test_large_dimensions_are_joined_in_more_tasks(spark, monkeypatch):
+    """Dimensions of too many rows to broadcast are joined in tasks that follow the lines, the orders last, with the same rows."""
+    from tillwright.sources import ledger as L
+
+    few = {buyers: L.ledger(spark, SIZES[0], buyers) for buyers in (True, False)}
+    monkeypatch.setattr(L, "LINES_PER_TASK", 200)
+    monkeypatch.setattr(L, "broadcast_limit", lambda spark: 5)
+    n = -(-spark.read.parquet(f"{SIZES[0]}/lineitem.parquet").count() // 200)
+    for buyers in (True, False):
+        many = L.ledger(spark, SIZES[0], buyers)
+        plan = many._jdf.queryExecution().executedPlan().toString()
+        for key in ["l_suppkey", "s_suppkey", "l_partkey", "p_partkey", *(["l_orderkey", "o_custkey", "c_custkey"] if buyers else [])]:
+            dealt = plan.split(f"hashpartitioning({key}")
+            assert len(dealt) == 2 and f", {n})" in dealt[1].split("\n")[0], (buyers, key)
+        assert not buyers or plan.index("hashpartitioning(l_orderkey") < plan.index("hashpartitioning(l_partkey")
+        assert few[buyers].exceptAll(many).isEmpty() and many.exceptAll(few[buyers]).isEmpty()

@@ -10,8 +10,9 @@ rows. The fault code ``h`` (0-99) selects:
     8 price 0                    9 price 100.00 (flagged)  10 unknown currency
     11 unknown sku               12 infinite total
 
-Join plan: every dimension table joins the fact stream directly, so the
-broadcast-or-shuffle choice rests on each table's own size; ``orders`` (as
+Join plan: every dimension table joins the fact stream directly. Parts,
+suppliers and customers are broadcast while their own rows are few, else joined
+by a shuffled hash join (:func:`_with_dimension`); ``orders`` (as
 big as the facts divided by ~4) is joined on ``o_orderkey`` by a shuffle join,
 only where an event's order columns are asked for.
 """
@@ -23,9 +24,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import EVENT_FIELDS, FX_RATES, MONEY, PARSED_FIELDS, PRICE_CAP
 from .dims import fx_dim, store_code
-from .tables import parts_for, row_count, table
+from .tables import broadcast_limit, parts_for, row_count, table
 
-# Lines that one task of the orders join holds: what it and a sort after it need is 1.3 KB a line.
+# Lines that one task of a shuffle join holds: what the orders join and a sort after it need is 1.3 KB a line.
 LINES_PER_TASK = 250_000
 
 
@@ -41,6 +42,22 @@ def cents_to_double(cents: Column) -> Column:
     return cents.cast("double") / F.lit(100.0)
 
 
+def _dealt(rows: DataFrame, n_parts: int, key: str) -> DataFrame:
+    """``rows`` in ``n_parts`` partitions by ``key``, if the session's partitions are fewer: those would grow with the table."""
+    return rows.repartition(n_parts, key) if n_parts > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+
+
+def _with_dimension(rows: DataFrame, dim: DataFrame, key: str, dim_key: str, few: bool, n_parts: int) -> DataFrame:
+    """``rows`` joined with a dimension: broadcast if it holds ``few`` rows, else by a shuffle.
+
+    The shuffle join hashes the dimension's share of each of ``n_parts`` tasks
+    and streams the rows past it, so that neither a large table nor a hot key
+    is sorted in a task.
+    """
+    on = rows[key] == dim[dim_key]
+    return rows.join(F.broadcast(dim), on) if few else _dealt(rows, n_parts, key).join(dim.hint("shuffle_hash"), on)
+
+
 def ledger(spark: SparkSession, sf_dir: str, buyers: bool = True) -> DataFrame:
     """All 18 event columns; ``event_time`` is a timestamp (no zone).
 
@@ -78,9 +95,6 @@ def ledger(spark: SparkSession, sf_dir: str, buyers: bool = True) -> DataFrame:
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    order_attrs = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
-        "o_orderkey", "o_orderpriority", "c_mktsegment"
-    )
     parts = table(spark, sf_dir, "part").select(
         "p_partkey",
         F.col("p_name").alias("product_name"),
@@ -96,23 +110,31 @@ def ledger(spark: SparkSession, sf_dir: str, buyers: bool = True) -> DataFrame:
     )  # nine literal rows
 
     # With buyers the facts are shuffled on l_orderkey for the orders join, so
-    # that join comes first, straight after the pruned, filtered scan; the
-    # dimension joins then run on every shuffle partition. Each dimension
-    # meets the facts as a plain table scan, so Spark's size check
-    # (autoBroadcastJoinThreshold at planning, AQE at run time) sees a
-    # reliable size: small tables are broadcast, big ones shuffle-joined.
+    # that join comes straight after the pruned, filtered scan; broadcast
+    # dimensions are joined after it, on every shuffle partition. A dimension of
+    # too many rows to broadcast is joined before: the last shuffle is then the
+    # one on l_orderkey, whose tasks hold LINES_PER_TASK however hot a part or
+    # store is. Sizes are rows counted in the footers, not estimates.
     # The hint keeps Spark from broadcasting the *fact* side when pruning and
     # pushed filters make its compressed-file estimate look small.
+    def few(name: str) -> bool:
+        return row_count(spark, sf_dir, name) <= broadcast_limit(spark)
+
+    dims = [(suppliers, "l_suppkey", "s_suppkey", few("supplier")), (parts, "l_partkey", "p_partkey", few("part"))]
+    n_parts = parts_for(row_count(spark, sf_dir, "lineitem"), LINES_PER_TASK) if buyers or not all(d[-1] for d in dims) else 1
+    for dim in dims:
+        if not dim[-1]:
+            lines = _with_dimension(lines, *dim, n_parts)
     if buyers:
-        n_parts = parts_for(row_count(spark, sf_dir, "lineitem"), LINES_PER_TASK)
-        if n_parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
-            # The session's partitions would grow with the table: more of them, so that a task's memory does not.
-            lines = lines.repartition(n_parts, "l_orderkey")
-        lines = lines.join(order_attrs.hint("shuffle_merge"), lines.l_orderkey == order_attrs.o_orderkey)
+        buyer = _with_dimension(orders, customers, "o_custkey", "c_custkey", few("customer"), n_parts)
+        order_attrs = buyer.select("o_orderkey", "o_orderpriority", "c_mktsegment").hint("shuffle_merge")
+        lines = _dealt(lines, n_parts, "l_orderkey")
+        lines = lines.join(order_attrs, lines.l_orderkey == order_attrs.o_orderkey)
+    for dim in dims:
+        if dim[-1]:
+            lines = _with_dimension(lines, *dim, n_parts)
     joined = (
-        lines.join(parts, lines.l_partkey == parts.p_partkey)
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-        .join(nations, F.col("s_nationkey") == nations.n_nationkey)
+        lines.join(nations, F.col("s_nationkey") == nations.n_nationkey)
         .join(regions, F.col("n_regionkey") == regions.r_regionkey)
         .join(fx, (F.col("n_nationkey") % F.lit(len(FX_RATES))) == fx.fx_id)
     )
