@@ -167,3 +167,13 @@ def test_judged_scores_leave_a_rows_own_ngrams_out(spark, monkeypatch):
             want[g, round(sum(math.log((target[b] - g * c[b] + 100 * shares[b]) / rest / shares[b]) for b in own) / len(own), 3)] += 1
     assert sum(got.values()) == sum(want.values())
     assert all(abs(a[1] - b[1]) < 0.002 and a[0] == b[0] for a, b in zip(sorted(got.elements()), sorted(want.elements()), strict=True))
+
+
+def test_plans_do_not_spell_out_the_tables(spark):
+    """A table of all buckets written out in the plan is kept by the driver once for each description of it."""
+    docs = spark.createDataFrame([(1, "a b " * 40), (2, "c d " * 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    numbers = [1 / quality.BUCKETS] * quality.BUCKETS, [1] * quality.BUCKETS
+    for df in (quality.quality(docs, labels), quality.judged_scores(docs, labels, *numbers)):
+        df.collect()
+        assert len(df._jdf.queryExecution().toString()) < 200_000

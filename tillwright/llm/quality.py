@@ -15,8 +15,9 @@ that helps, it is ``MIN_SCORE``.
 
 Only DataFrame functions run here. Counting, judging and scoring are one scan each:
 the counts meet in one partial aggregation over the buckets, the rounded scores
-of judged rows in another, and the bounded tables (``BUCKETS`` numbers) are
-part of the scoring expressions, so neither judging nor scoring shuffles n-grams. Labelled ids are
+of judged rows in another, so neither judging nor scoring shuffles n-grams. The bounded tables
+(``BUCKETS`` numbers) are a broadcast table and a scalar subquery: as literals they would be
+written out in every description of the plan, which the driver keeps. Labelled ids are
 broadcast while they are few (``broadcast_if_small``), else joined by a shuffle.
 
 Defined results: null is an empty text; a text without words has score 0,
@@ -31,7 +32,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.once import computed_once
@@ -50,6 +52,8 @@ MIN_SCORE = -math.log(2)
 LOST = 10
 #: Decimals of the scores the threshold is chosen from (bounds what comes to the driver).
 DIGITS = 3
+#: Judged rows add up whole numbers of this part of 1, so that their scores do not depend on the order of n-grams.
+UNIT = 1e9
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -61,7 +65,7 @@ def words_of(text: Column) -> Column:
 
 def _with_words(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumn("_text", text).withColumn("_words", words_of(F.col("_text")))
+    return computed_once(docs.withColumn("_text", text), "_words", words_of(F.col("_text")))
 
 
 def _bucket(*gram: Column) -> Column:
@@ -71,18 +75,29 @@ def _bucket(*gram: Column) -> Column:
 
 def _buckets(words: Column) -> Column:
     """Buckets of all unigrams and bigrams."""
-    two = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: _bucket(w, words[i + 1]))
+    two = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda w, v: _bucket(w, v))
     return F.concat(F.transform(words, lambda w: _bucket(w)), two)
 
 
+def _bucket_rows(df: DataFrame, *carried: str) -> DataFrame:
+    """(*carried, bucket): a row for each unigram and each bigram of ``_words``."""
+    words = F.col("_words")
+    # A word and the one after it, in generated code (a lambda over the words is interpreted).
+    pairs = F.arrays_zip(words.alias("word"), F.slice(words, 2, F.size(words)).alias("next"))
+    grams = df.select(*carried, F.inline(pairs))
+    two = F.when(F.col("next").isNotNull(), _bucket(F.col("word"), F.col("next")))
+    return grams.select(*carried, F.explode(F.array(_bucket(F.col("word")), two)).alias("bucket")).filter("bucket IS NOT NULL")
+
+
 def _prepared(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     """``docs`` with columns that the statistics are made of, and the expressions of STATISTICS."""
     df = _with_words(docs)
     words, text, n = F.col("_words"), F.col("_text"), F.size("_words")
     lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
     df = df.withColumns({"_lines": lines, "_bits": F.length(F.bin(n.cast("bigint")))})
-    grams = F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(0))), lambda w, i: F.xxhash64(w, words[i + 1], words[i + 2]))
-    df = df.withColumn("_grams", grams)
+    short = F.greatest(n - 2, F.lit(0))
+    two = F.zip_with(F.slice(words, 1, short), F.slice(words, 2, short), lambda a, b: F.xxhash64(a, b))
+    df = df.withColumn("_grams", F.zip_with(two, F.slice(words, 3, short), lambda h, c: F.xxhash64(h, c)))
     # Texts whose hashes all differ repeat no window; only the others are sorted.
     repeating = F.size(F.array_distinct("_grams")) < F.size("_grams")
     grams = F.when(repeating, F.col("_grams")).otherwise(F.array().cast("array<bigint>"))
@@ -138,8 +153,7 @@ def bucket_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, n_corpus, n_target) over all rows of ``docs``."""
     trusted = broadcast_if_small(trusted_ids(labels).withColumn("_trusted", F.lit(1)))
     marked = docs.select("doc_id", "text").join(trusted, "doc_id", "left")
-    exploded = _with_words(marked).select("_trusted", F.explode(_buckets(F.col("_words"))).alias("bucket"))
-    return exploded.groupBy("bucket").agg(F.count("*").alias("n_corpus"), F.count("_trusted").alias("n_target"))
+    return _bucket_rows(_with_words(marked), "_trusted").groupBy("bucket").agg(F.count("*").alias("n_corpus"), F.count("_trusted").alias("n_target"))
 
 
 def counted(counts: DataFrame) -> tuple[list[float], list[int]]:
@@ -158,43 +172,51 @@ def weights(shares: list[float], target: list[int]) -> list[float]:
     return [math.log((t + PRIOR * p) / (n_target + PRIOR) / p) for t, p in zip(target, shares, strict=True)]
 
 
-def _table(numbers: list, form: str) -> Column:
-    return F.split(F.lit(",".join(format(x, form) for x in numbers)), ",").cast("array<double>")
+def _table(spark: SparkSession, weight: list[float]) -> Column:
+    """All weights, as a scalar subquery over one row."""
+    numbers = pa.array([[float(format(x, ".5f")) for x in weight]], pa.list_(pa.float64()))
+    return spark.createDataFrame(pa.table({"weight": numbers})).scalar()
 
 
-def score(words: Column, weight: list[float]) -> Column:
+def score(words: Column, table: Column) -> Column:
     """Mean weight of a text's n-grams (0 without words)."""
-    table = _table(weight, ".5f")
-    # A unigram and the bigram it begins, together. After the last word comes null, which hashes
-    # leave out: that word's own bucket is then counted twice, and taken off again.
-    both = F.transform(words, lambda w, i: F.get(table, _bucket(w)) + F.get(table, _bucket(w, F.get(words, i + 1))))
-    total = F.aggregate(both, F.lit(0.0), lambda a, x: a + x) - F.get(table, _bucket(F.get(words, F.size(words) - 1)))
-    return F.when(F.size(words) == 0, F.lit(0.0)).otherwise(total / (2 * F.size(words) - 1))
+
+    def total(weight: Column) -> Column:
+        # A unigram and the bigram it begins, together. After the last word comes null, which hashes
+        # leave out: that word's own bucket is then counted twice, and taken off again.
+        both = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda w, v: F.get(weight, _bucket(w)) + F.get(weight, _bucket(w, v)))
+        return F.aggregate(both, F.lit(0.0), lambda a, x: a + x) - F.get(weight, _bucket(F.get(words, F.size(words) - 1)))
+
+    # The table goes by reference, as the one element of an array.
+    summed = F.get(F.transform(F.array(table), total), F.lit(0))
+    return F.when(F.size(words) == 0, F.lit(0.0)).otherwise(summed / (2 * F.size(words) - 1))
 
 
 def judged_scores(docs: DataFrame, labels: DataFrame, shares: list[float], target: list[int]) -> DataFrame:
     """(good, score, n): rounded scores of all judged rows that are long enough, and how many rows have them.
 
     A trusted row is scored as if it were not in the target. A row's n-grams are
-    counted as runs of its sorted buckets, in the row.
+    counted as runs of its sorted buckets, in the row; only sums by row are shuffled.
     """
     known = docs.select("doc_id", "text").join(broadcast_if_small(judged_ids(labels)), "doc_id")
+    known = known.select("good", "text", F.monotonically_increasing_id().alias("_row"))
     known = _with_words(known).filter(F.size("_words") >= MIN_WORDS)
-    known = computed_once(known.select("good", "_words"), "_s", F.sort_array(_buckets(F.col("_words")))).select("good", "_s")
-    s = F.col("_s")
-    # Where runs of equal buckets end.
-    known = computed_once(known, "_ends", F.filter(F.transform(s, lambda x, i: F.when(F.get(s, i + 1) == x, F.lit(-1)).otherwise(i)), lambda i: i >= 0))
-    ends, good, length, n_target = F.col("_ends"), F.col("good"), F.size("_s"), sum(target)
-    share, count = _table(shares, ".9e"), _table(target, "d")
-
-    def weight(end: Column, k: Column) -> Column:
-        bucket, c = F.get(s, end), end - F.coalesce(F.get(ends, k - 1), F.lit(-1))
-        p = F.get(share, bucket)
-        return c * F.log((F.get(count, bucket) - good * c + PRIOR * p) / p)
-
-    total = F.aggregate(F.transform(ends, weight), F.lit(0.0), lambda a, b: a + b)
-    scored = total / length - F.log(n_target - good * length + F.lit(float(PRIOR)))
-    return known.groupBy("good", F.round(scored, DIGITS).alias("score")).agg(F.count("*").alias("n"))
+    known = computed_once(known.select("_row", "good", "_words"), "_s", F.sort_array(_buckets(F.col("_words")))).select("_row", "good", "_s")
+    s, n = F.col("_s"), F.size("_s")
+    # Where runs of equal buckets end, counted from 1, and how long they are.
+    more = F.zip_with(s, F.slice(s, 2, n), lambda x, y: x.eqNullSafe(y))
+    ends = F.array_remove(F.zip_with(F.sequence(F.lit(1), n), more, lambda i, more: F.when(more, F.lit(0)).otherwise(i)), 0)
+    known = computed_once(known, "_ends", ends)
+    starts = F.concat(F.array(F.lit(0)), F.slice("_ends", 1, F.size("_ends") - 1))
+    runs = known.select("_row", "good", "_s", F.inline(F.arrays_zip(F.col("_ends").alias("end"), starts.alias("start"))))
+    runs = runs.select("_row", "good", F.get("_s", F.col("end") - 1).alias("bucket"), (F.col("end") - F.col("start")).alias("c"))
+    numbers = pa.table({"bucket": pa.array(range(BUCKETS), pa.int32()), "share": pa.array(shares, pa.float64()), "count": pa.array(target, pa.int64())})
+    runs = runs.join(F.broadcast(docs.sparkSession.createDataFrame(numbers)), "bucket")
+    c, good, p = F.col("c"), F.col("good"), F.col("share")
+    weight = c * F.log((F.col("count") - good * c + PRIOR * p) / p)
+    rows = runs.groupBy("_row", "good").agg(F.sum(F.rint(weight * UNIT).cast("bigint")).alias("total"), F.sum("c").alias("length"))
+    scored = F.col("total") / UNIT / F.col("length") - F.log(sum(target) - good * F.col("length") + F.lit(float(PRIOR)))
+    return rows.groupBy("good", F.round(scored, DIGITS).alias("score")).agg(F.count("*").alias("n"))
 
 
 def best_split(scores: list[tuple[int, float, int]]) -> float:
@@ -230,7 +252,9 @@ def quality(docs: DataFrame, labels: DataFrame, min_score: float | None = None)
     carried = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c not in new and c != "text"}
     bare = docs.select("text", *[F.col(f"`{c}`").alias(name) for c, name in carried.items()])
     df, found = _prepared(bare)
-    found["score"] = score(F.col("_words"), weight)
+    # A column first, as lambdas may hold no subquery; used once, it is never written to a row.
+    df = df.withColumn("_weights", _table(docs.sparkSession, weight)).withColumn("_score", score(F.col("_words"), F.col("_weights")))
+    found["score"] = F.col("_score")
     # A one-element inline keeps these as plain columns above it: a filter on
     # them must not carry the expressions (with arrays sorted inside) below.
     once = F.inline(F.array(F.struct(*[e.alias(c) for c, e in found.items()])))
