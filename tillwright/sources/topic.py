@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import FREED_SHUFFLES, session_settings
 from ..schemas import EVENT_FIELDS, MESSAGE_SCHEMA
 from ..operators.sequence import numbered
 from .ledger import as_produced
@@ -69,11 +70,13 @@ def resent(df: DataFrame, copies: int = 2) -> DataFrame:
 
 def write_topic(messages: DataFrame, target: str, fmt: str = "files", options: dict | None = None) -> None:
     """Publish messages (batch). ``fmt="kafka"`` needs ``options`` with
-    ``kafka.bootstrap.servers`` and ``topic``; ``"files"`` appends Parquet."""
-    if fmt == "kafka":
-        messages.write.format("kafka").options(**(options or {})).save()
-    else:
-        messages.write.mode("append").option("compression", "zstd").parquet(target)
+    ``kafka.bootstrap.servers`` and ``topic``; ``"files"`` appends Parquet.
+    The shuffle files of ``messages`` go when they are written."""
+    with session_settings(messages.sparkSession, FREED_SHUFFLES):
+        if fmt == "kafka":
+            messages.write.format("kafka").options(**(options or {})).save()
+        else:
+            messages.write.mode("append").option("compression", "zstd").parquet(target)
 
 
 def read_events(
