@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tillwright import queries as Q
-from tillwright.config import FREED_SHUFFLES, scratch_path, session_settings
+from tillwright.config import FREED_SHUFFLES, scratch_path, session_settings, shared_dir
+from tillwright.operators.sequence import numbered
 from tillwright.plans import batches as B
+from tillwright.plans.files import children
 from tillwright.schemas import MESSAGE_SCHEMA, SPLIT_SCHEMA
 from tillwright.sources.topic import read_events, write_topic
 from tillwright.streaming import jobs as S
@@ -39,6 +41,15 @@ def test_a_written_topic_leaves_no_shuffle_files(spark):
     assert not left_by(spark, lambda: write_topic(rows, topic)) and spark.read.parquet(topic).count() == 40
 
 
+def test_numbering_leaves_its_laid_out_rows_only(spark):
+    rows = spark.range(60).select((F.col("id") % 7).alias("key"), "id").repartition(3, "key")
+    held = {}
+    assert not left_by(spark, lambda: held.update(out=numbered(rows, "key", ["id"])))
+    folders = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p, _ in children(spark, shared_dir(spark))}
+    assert "numbered" in folders and "unnumbered" not in folders
+    assert all(r["seq"] == r["id"] // 7 + 1 for r in held["out"].collect())
+
+
 def test_micro_batches_and_a_compaction_leave_no_shuffle_files(spark):
     topic, (root, ckpt) = Q._topic(spark, SF_SMALL), (scratch_path(spark, n) for n in ("t-freed-split", "t-freed-ckpt"))
     split = S.split_stream(read_events(spark, topic, max_files_per_trigger=3))

@@ -4,7 +4,9 @@ Rows are range-partitioned on key and order together, so a key with a third of
 all rows is cut along its order over many tasks. Each task numbers its own run;
 only one count for each (partition, key) meets in the prefix sums. The laid
 out rows are written once to the shared folder, so that counting and numbering see
-the same partitions, also after a lost executor.
+the same partitions, also after a lost executor. So are the rows as they come, until
+they are laid out: what computes them then runs once, not again to find the
+ranges, and its shuffle files are gone when those of the layout are written.
 """
 
 from __future__ import annotations
@@ -12,19 +14,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import scratch_path
+from ..config import FREED_SHUFFLES, scratch_path, session_settings
+from ..plans.files import remove
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    with session_settings(df.sparkSession, FREED_SHUFFLES):
+        df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame, key: str, order: list[str], name: str = "seq") -> DataFrame:
     """``df`` with a number from 1 per ``key`` (null is a key of its own) in the order of the columns ``order``, nulls first."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = df.repartitionByRange(parts, key, *order).sortWithinPartitions(key, *order)
+    came = scratch_path(spark, "unnumbered")
+    laid = _written(df, came).repartitionByRange(parts, key, *order).sortWithinPartitions(key, *order)
     place = F.monotonically_increasing_id()
     laid = laid.withColumns({"_part": F.shiftright(place, 33), "_at": place.bitwiseAND(F.lit((1 << 33) - 1))})
-    path = scratch_path(spark, "numbered")
-    laid.write.parquet(path)
-    laid = spark.read.schema(laid.schema).parquet(path)
+    laid = _written(laid, scratch_path(spark, "numbered"))
+    remove(spark, came)
     counts = laid.groupBy("_part", key).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = counts.select(
