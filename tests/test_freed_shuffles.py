@@ -13,7 +13,7 @@ from tillwright import queries as Q
 from tillwright.config import FREED_SHUFFLES, scratch_path, session_settings, shared_dir
 from tillwright.operators.sequence import numbered
 from tillwright.plans import batches as B
-from tillwright.plans.files import children
+from tillwright.plans.files import children, exists
 from tillwright.schemas import MESSAGE_SCHEMA, SPLIT_SCHEMA
 from tillwright.sources.topic import read_events, write_topic
 from tillwright.streaming import jobs as S
@@ -50,6 +50,23 @@ def test_numbering_leaves_its_laid_out_rows_only(spark):
     assert all(r["seq"] == r["id"] // 7 + 1 for r in held["out"].collect())
 
 
+def test_a_dealt_topic_is_written_a_micro_batch_at_a_time(spark, monkeypatch):
+    writes, write = [], Q.write_topic
+    monkeypatch.setattr(Q, "write_topic", lambda rows, path: (writes.append(path), write(rows, path))[1])
+    monkeypatch.setattr(Q, "MESSAGES_PER_FILE", 1000)
+    sent = Q._messages(spark, SF_SMALL)
+    topic, files = Q._dealt(spark, SF_SMALL, sent, 4, copies=2)
+    assert files == 3 and writes == [writes[0], *[topic] * 4] and not exists(spark, writes[0])
+    names = [p for p, _ in sorted(children(spark, topic), key=lambda c: c[1]) if p.endswith(".parquet")]
+    assert len(names) == 4 * files
+    got = spark.read.parquet(topic).groupBy("key", "value").count()
+    want = sent.groupBy("key", "value").agg((2 * F.count("*")).alias("count"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    # Most copies lie in another micro-batch than their first.
+    rows = spark.read.parquet(topic).select("value", F.col("_metadata.file_path").alias("file"))
+    assert rows.groupBy("value").agg(F.count_distinct("file").alias("n")).filter("n = 2").count() > 4000
+
+
 def test_micro_batches_and_a_compaction_leave_no_shuffle_files(spark):
     topic, (root, ckpt) = Q._topic(spark, SF_SMALL), (scratch_path(spark, n) for n in ("t-freed-split", "t-freed-ckpt"))
     split = S.split_stream(read_events(spark, topic, max_files_per_trigger=3))
