@@ -13,6 +13,7 @@ from tillwright import queries as Q
 from tillwright.config import FREED_SHUFFLES, scratch_path, session_settings, shared_dir
 from tillwright.operators.sequence import numbered
 from tillwright.plans import batches as B
+from tillwright.plans import idindex as IX
 from tillwright.plans.files import children, exists
 from tillwright.schemas import MESSAGE_SCHEMA, SPLIT_SCHEMA
 from tillwright.sources.topic import read_events, write_topic
@@ -67,6 +68,26 @@ def test_a_dealt_topic_is_written_a_micro_batch_at_a_time(spark, monkeypatch):
     assert rows.groupBy("value").agg(F.count_distinct("file").alias("n")).filter("n = 2").count() > 4000
 
 
+def test_dedup_by_index_leaves_the_table_only(spark, monkeypatch):
+    root = scratch_path(spark, "t-freed-index")
+    rows = spark.createDataFrame([(f"i{i % 50}", i) for i in range(90)], "transaction_id string, n int")
+    probes = []
+    monkeypatch.setattr(IX, "probed", lambda *a, real=IX.probed: probes.append(1) or real(*a))
+
+    def run():
+        IX.append_new(rows.filter("n < 40").repartition(3), root, "w", 0)
+        IX.append_new(rows.repartition(3), root, "w", 1)
+
+    assert not left_by(spark, run) and probes == [1]
+    assert all("/_folder=" in p for p, _ in children(spark, f"{root}/data"))
+    got = IX.read(spark, root, rows.schema).collect()
+    assert sorted((r["transaction_id"], r["n"]) for r in got) == sorted((f"i{i}", i) for i in range(50))
+    monkeypatch.setattr(B, "append", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        IX.append_new(rows, root, "w", 2)
+    assert all("/_folder=" in p for p, _ in children(spark, f"{root}/data"))
+
+
 def test_micro_batches_and_a_compaction_leave_no_shuffle_files(spark):
     topic, (root, ckpt) = Q._topic(spark, SF_SMALL), (scratch_path(spark, n) for n in ("t-freed-split", "t-freed-ckpt"))
     split = S.split_stream(read_events(spark, topic, max_files_per_trigger=3))

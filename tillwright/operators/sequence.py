@@ -14,14 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import FREED_SHUFFLES, scratch_path, session_settings
-from ..plans.files import remove
-
-
-def _written(df: DataFrame, path: str) -> DataFrame:
-    with session_settings(df.sparkSession, FREED_SHUFFLES):
-        df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from ..config import scratch_path
+from ..plans.files import remove, written
 
 
 def numbered(df: DataFrame, key: str, order: list[str], name: str = "seq") -> DataFrame:
@@ -29,10 +23,10 @@ def numbered(df: DataFrame, key: str, order: list[str], name: str = "seq") -> Da
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     came = scratch_path(spark, "unnumbered")
-    laid = _written(df, came).repartitionByRange(parts, key, *order).sortWithinPartitions(key, *order)
+    laid = written(df, came).repartitionByRange(parts, key, *order).sortWithinPartitions(key, *order)
     place = F.monotonically_increasing_id()
     laid = laid.withColumns({"_part": F.shiftright(place, 33), "_at": place.bitwiseAND(F.lit((1 << 33) - 1))})
-    laid = _written(laid, scratch_path(spark, "numbered"))
+    laid = written(laid, scratch_path(spark, "numbered"))
     remove(spark, came)
     counts = laid.groupBy("_part", key).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
