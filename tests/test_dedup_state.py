@@ -27,6 +27,16 @@ def run(spark, topic, sink, ckpt):
     return any(k.startswith("rocksdb") for k in q.lastProgress["stateOperators"][0]["customMetrics"])
 
 
+@pytest.fixture(autouse=True)
+def unset(spark):
+    """The jobs' own tests leave a provider in the session."""
+    own = spark.conf.get(PROVIDER, None)
+    spark.conf.unset(PROVIDER)
+    yield
+    if own is not None:
+        spark.conf.set(PROVIDER, own)
+
+
 @pytest.mark.parametrize("first", [None, ON_HEAP])
 def test_ids_lie_on_disk_unless_the_session_or_the_checkpoint_says_otherwise(spark, first):
     topic, sink, ckpt = (scratch_path(spark, n) for n in ("t-state-topic", "t-state", "t-state-ckpt"))
