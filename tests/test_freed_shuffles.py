@@ -88,6 +88,11 @@ def test_dedup_by_index_leaves_the_table_only(spark, monkeypatch):
     assert all("/_folder=" in p for p, _ in children(spark, f"{root}/data"))
 
 
+def test_an_appended_batch_leaves_no_shuffle_files(spark):
+    rows = spark.range(30).select("id", F.lit("R1").alias("country"), F.lit("silver").alias(B.DATASET)).repartition(3, "id")
+    assert not left_by(spark, lambda: B.append(rows, scratch_path(spark, "t-freed-batch"), "w", 0))
+
+
 def test_micro_batches_and_a_compaction_leave_no_shuffle_files(spark):
     topic, (root, ckpt) = Q._topic(spark, SF_SMALL), (scratch_path(spark, n) for n in ("t-freed-split", "t-freed-ckpt"))
     split = S.split_stream(read_events(spark, topic, max_files_per_trigger=3))
